@@ -155,12 +155,16 @@ def raw_movie_details(spark: SparkSession, sf_dir: str, day: int | None = None,
     film = fx(spark, sf_dir, "film")
     companies = company_arrays(spark, sf_dir)
     if day is not None:
+        # The day's figures; on the last day titles change, which a merge must ignore.
         seen = fx(spark, sf_dir, "day").where(F.col("day") == day).select(
             "movie_id", F.col("popularity").alias("day_pop"),
-            F.col("vote_count").alias("day_votes"))
+            F.col("vote_count").alias("day_votes"), F.col("gross").alias("day_gross"))
         film = (film.join(seen, "movie_id")
                 .withColumn("popularity", F.col("day_pop"))
-                .withColumn("vote_count", F.col("day_votes")))
+                .withColumn("vote_count", F.col("day_votes"))
+                .withColumn("revenue", F.coalesce("day_gross", F.lit(0))))
+        if day == DAYS[-1]:
+            film = film.withColumn("title", F.upper("title"))
     genre = F.struct(F.col("genre_a_id").cast("bigint").alias("id"),
                      F.col("genre_a").alias("name"))
     genre2 = F.struct(F.col("genre_b_id").cast("bigint").alias("id"),
@@ -222,7 +226,8 @@ def raw_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``box_office`` rows as they land: money as display strings.
 
     Built from ``orders``: one row per order, ``imdb_id = 'tt' + orderkey``.
-    The string forms rotate with the order key: blank, a dash, ``$`` with
+    Pending orders (status ``P``) land without an imdb id. The string forms
+    rotate with the order key: blank, a dash, ``$`` with
     thousands separators, separators only, and a bare ``$`` amount; the
     intended numbers are ``o_totalprice`` rounded (gross), a tenth of it
     (opening) and a third of it (budget).
@@ -241,8 +246,9 @@ def raw_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(k == 3, grouped)
                 .otherwise(F.concat(F.lit("$"), v.cast("string"))))
 
+    imdb = F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0"))
     return orders.select(
-        F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0")).alias("imdb_id"),
+        F.when(F.col("o_orderstatus") != "P", imdb).alias("imdb_id"),
         shown(opening).alias("domestic_opening"),
         shown(gross).alias("worldwide_gross"),
         shown(budget).alias("budget"),

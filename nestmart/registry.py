@@ -55,6 +55,13 @@ def presented(df: DataFrame) -> DataFrame:
 
 # Oracle building blocks (DuckDB dialect) ------------------------------------
 
+def oracle(fx_names: list[str], body: str, *ctes: str) -> str:
+    """``WITH fx_... AS (...), <ctes> <body>`` in DuckDB's dialect."""
+    parts = [f"fx_{n} AS ({fx.sql(n, 'duckdb')})" for n in fx_names]
+    parts += [c.strip() for c in ctes]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
 ORACLE_FILM = """
 film AS (
   SELECT movie_id, title,
@@ -132,3 +139,202 @@ GROUP BY b.cast_id, p.name
 def q_report_by_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     movies = fx.film_table(spark, sf_dir)
     return presented(reports.report_by_cast(movies, fx.people(spark, sf_dir)))
+
+
+# Shared Spark-side steps -------------------------------------------------------
+
+def _clean_details(spark: SparkSession, sf_dir: str, day: int | None = None,
+                   dups: bool = False) -> DataFrame:
+    from nestmart.plans.clean import clean_movie_details
+    return clean_movie_details(fx.raw_movie_details(spark, sf_dir, day, duplicate_rule=dups))
+
+
+def _clean_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.clean import clean_credits
+    return clean_credits(fx.raw_movie_credits(spark, sf_dir))
+
+
+def _raw_box_office_with_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fx.raw_box_office(spark, sf_dir)
+    return raw.unionByName(raw.where(F.col("worldwide_gross").startswith("$")
+                                     & F.col("worldwide_gross").contains(",")))
+
+
+ORACLE_BO = """
+bo AS (
+  SELECT 'tt' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS imdb_id,
+         CASE WHEN o_orderkey % 5 IN (0, 1) THEN NULL
+              ELSE CAST(round(o_totalprice) AS BIGINT) END AS gross,
+         CASE WHEN o_orderkey % 5 = 3 THEN CAST(round(o_totalprice / 10) AS BIGINT) END AS opening,
+         CASE WHEN o_orderkey % 5 = 3 THEN CAST(round(o_totalprice / 3) AS BIGINT) END AS budget
+  FROM orders WHERE o_orderstatus <> 'P')"""
+
+ORACLE_COMPANY_COUNT = """
+comp AS (
+  SELECT l.movie_id, count(DISTINCT l.company_id) AS n
+  FROM fx_line l JOIN fx_company c ON l.company_id = c.company_id
+  GROUP BY l.movie_id)"""
+
+
+# Clean layer -------------------------------------------------------------------
+
+@register("clean_movie_details", oracle(["film", "line", "company"], """
+SELECT f.movie_id AS movie_id, f.imdb_id AS imdb_id, f.original_title AS original_title,
+       f.title AS title, CAST(NULLIF(f.budget, 0) AS BIGINT) AS budget,
+       CAST(CASE WHEN f.no_genres THEN NULL ELSE 2 END AS BIGINT) AS n_genres,
+       CAST(CASE WHEN f.no_genres THEN NULL ELSE f.genre_a_id END AS BIGINT) AS first_genre_id,
+       CASE WHEN f.no_genres THEN NULL ELSE f.genre_a END AS first_genre,
+       CAST(CASE WHEN f.no_country THEN 0 ELSE 1 END AS BIGINT) AS n_countries,
+       round(CAST(CAST(f.popularity AS FLOAT) AS DOUBLE), 6) AS popularity,
+       comp.n AS n_companies,
+       CAST(TRY_CAST(f.release_date AS DATE) AS VARCHAR) AS release_date,
+       NULLIF(f.revenue, 0) AS revenue,
+       CAST(f.runtime AS BIGINT) AS runtime,
+       round(CAST(CAST(f.vote_average AS FLOAT) AS DOUBLE), 6) AS vote_average,
+       f.vote_count AS vote_count
+FROM fx_film f LEFT JOIN comp ON f.movie_id = comp.movie_id
+WHERE f.popularity IS NOT NULL
+""", ORACLE_COMPANY_COUNT))
+def q_clean_movie_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _clean_details(spark, sf_dir, dups=True)
+    return presented(d.select(
+        "movie_id", "imdb_id", "original_title", "title", "budget",
+        F.size("genres").cast("bigint").alias("n_genres"),
+        F.col("genres")[0]["genre_id"].alias("first_genre_id"),
+        F.col("genres")[0]["genre_name"].alias("first_genre"),
+        F.size("origin_country").cast("bigint").alias("n_countries"),
+        "popularity",
+        F.size("production_companies").cast("bigint").alias("n_companies"),
+        "release_date", "revenue", "runtime", "vote_average", "vote_count"))
+
+
+@register("drop_null_keys", oracle(["film"], """
+SELECT movie_id AS id, round(popularity, 6) AS popularity FROM fx_film
+WHERE popularity IS NOT NULL
+UNION ALL
+SELECT movie_id, round(popularity, 6) FROM fx_film
+WHERE popularity IS NOT NULL AND (runtime - 61) % 10 = 0
+"""))
+def q_drop_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.keys import require
+    raw = fx.raw_movie_details(spark, sf_dir, duplicate_rule=True)
+    kept = require(raw.select(F.col("id").try_cast("bigint").alias("id"), "popularity"),
+                   ["id", "popularity"])
+    return presented(kept)
+
+
+@register("dedupe_by_key", oracle(["film"], """
+SELECT DISTINCT movie_id AS id, title, round(popularity, 6) AS popularity FROM fx_film
+"""))
+def q_dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.keys import dedupe
+    raw = fx.raw_movie_details(spark, sf_dir, duplicate_rule=True)
+    one = dedupe(raw.select(F.col("id").try_cast("bigint").alias("id"), "title", "popularity"),
+                 ["id"])
+    return presented(one)
+
+
+@register("zero_to_null", oracle(["film"], """
+SELECT movie_id, CAST(NULLIF(budget, 0) AS BIGINT) AS budget, NULLIF(revenue, 0) AS revenue,
+       vote_count
+FROM fx_film WHERE popularity IS NOT NULL
+"""))
+def q_zero_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _clean_details(spark, sf_dir)
+    return presented(d.select("movie_id", "budget", "revenue", "vote_count"))
+
+
+@register("empty_to_null", oracle(["film", "line", "company"], """
+SELECT f.movie_id AS movie_id, f.no_genres AS genres_null,
+       comp.n IS NULL AS companies_null,
+       CAST(CASE WHEN f.no_country THEN 0 ELSE 1 END AS BIGINT) AS n_countries
+FROM fx_film f LEFT JOIN comp ON f.movie_id = comp.movie_id
+WHERE f.popularity IS NOT NULL
+""", ORACLE_COMPANY_COUNT))
+def q_empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _clean_details(spark, sf_dir)
+    return presented(d.select(
+        "movie_id", F.col("genres").isNull().alias("genres_null"),
+        F.col("production_companies").isNull().alias("companies_null"),
+        F.size("origin_country").cast("bigint").alias("n_countries")))
+
+
+@register("array_retype", oracle(["film"], """
+SELECT movie_id, CAST(0 AS BIGINT) AS pos, CAST(genre_a_id AS BIGINT) AS genre_id,
+       genre_a AS genre_name
+FROM fx_film WHERE popularity IS NOT NULL AND NOT no_genres
+UNION ALL
+SELECT movie_id, CAST(1 AS BIGINT), CAST(genre_b_id AS BIGINT), genre_b
+FROM fx_film WHERE popularity IS NOT NULL AND NOT no_genres
+"""))
+def q_array_retype(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.nested import explode_with_position
+    d = _clean_details(spark, sf_dir)
+    return presented(explode_with_position(d, ["movie_id"], "genres"))
+
+
+@register("try_cast_money", """
+SELECT CASE WHEN o_orderstatus = 'P' THEN NULL
+            ELSE 'tt' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') END AS imdb_id,
+       CASE WHEN o_orderkey % 5 = 3 THEN CAST(round(o_totalprice / 10) AS BIGINT) END
+         AS domestic_opening,
+       CASE WHEN o_orderkey % 5 IN (0, 1) THEN NULL
+            ELSE CAST(round(o_totalprice) AS BIGINT) END AS worldwide_gross,
+       CASE WHEN o_orderkey % 5 = 3 THEN CAST(round(o_totalprice / 3) AS BIGINT) END AS budget
+FROM orders
+""")
+def q_try_cast_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.functions.columns import money_to_long
+    raw = fx.raw_box_office(spark, sf_dir)
+    return presented(raw.select(
+        "imdb_id",
+        money_to_long("domestic_opening", strip_dollar=False).alias("domestic_opening"),
+        money_to_long("worldwide_gross", strip_dollar=True).alias("worldwide_gross"),
+        money_to_long("budget", strip_dollar=False).alias("budget")))
+
+
+@register("clean_box_office", oracle([], """
+SELECT imdb_id, opening AS domestic_opening, gross AS worldwide_gross, budget FROM bo
+""", ORACLE_BO))
+def q_clean_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.clean import clean_box_office
+    return presented(clean_box_office(_raw_box_office_with_dups(spark, sf_dir)))
+
+
+@register("filter_crew_jobs", oracle(["line"], """
+SELECT movie_id, person_id, CAST(gender AS BIGINT) AS gender, name, department, job
+FROM fx_line WHERE is_crew AND job IN ('Director', 'Writer', 'Screenplay')
+"""))
+def q_filter_crew_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.clean import clean_crew
+    return presented(clean_crew(_clean_credits(spark, sf_dir)))
+
+
+@register("filter_cast_order", oracle(["line"], """
+SELECT movie_id, person_id, CAST(gender AS BIGINT) AS gender, name, ord AS "order",
+       department
+FROM fx_line WHERE NOT is_crew AND ord <= 20
+"""))
+def q_filter_cast_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.clean import clean_cast
+    return presented(clean_cast(_clean_credits(spark, sf_dir)))
+
+
+@register("explode_cast", oracle(["line"], """
+SELECT movie_id, person_id, ord AS "order", department
+FROM fx_line WHERE NOT is_crew
+"""))
+def q_explode_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.nested import explode_entries
+    credits = _clean_credits(spark, sf_dir)
+    return presented(explode_entries(credits, ["movie_id"], "cast").select(
+        "movie_id", "person_id", "order", "department"))
+
+
+@register("lookup_keys", oracle(["film"], """
+SELECT imdb_id FROM fx_film WHERE imdb_id IS NOT NULL AND imdb_id <> ''
+"""))
+def q_lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.functions.columns import non_blank
+    raw = fx.raw_movie_details(spark, sf_dir)
+    return raw.where(non_blank("imdb_id")).select("imdb_id")
