@@ -37,13 +37,16 @@ def collect_crews(crew: DataFrame) -> DataFrame:
                           ["person_id", "job"], ["person_id", "job"], "crews")
 
 
-def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,
-                 box_office: DataFrame, run_date: str | dt.date) -> DataFrame:
-    """The day's ``staging_movies``: one nested row per film (CJ-5).
-
-    Box office wins over details for budget and gross; the opening gross
-    only exists in box office. The day's figures become a one-element
-    ``metrics`` array stamped with the run date.
+def film_join_chain(details: DataFrame, cast: DataFrame, crew: DataFrame,
+                    box_office: DataFrame) -> DataFrame:
+    """Films ⟕ collected casts ⟕ collected crews ⟕ box office (JO-1).
+
+    The right sides are unique per key (one collected row per film, one box
+    office row per imdb id), so no film is multiplied. Casts and crews join on
+    ``movie_id`` like the film side is keyed, so the planner can reuse one
+    hash partitioning for both; box office joins on the imdb id, with NULL
+    ids spread out (see ``spread_null_key``). Box office columns keep a
+    ``bo_`` prefix.
     """
     films = details.select(
         "movie_id", "imdb_id", "original_title", "title",
@@ -60,11 +63,22 @@ def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,
         F.col("domestic_opening").alias("bo_opening"),
         F.col("worldwide_gross").alias("bo_gross"),
     )
-    joined = (films
-              .join(collect_casts(cast), "movie_id", "left")
-              .join(collect_crews(crew), "movie_id", "left")
-              .join(bo, spread_null_key(F.col("imdb_id"), F.col("movie_id"))
-                    == F.col("bo_imdb_id"), "left"))
+    return (films
+            .join(collect_casts(cast), "movie_id", "left")
+            .join(collect_crews(crew), "movie_id", "left")
+            .join(bo, spread_null_key(F.col("imdb_id"), F.col("movie_id"))
+                  == F.col("bo_imdb_id"), "left"))
+
+
+def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,
+                 box_office: DataFrame, run_date: str | dt.date) -> DataFrame:
+    """The day's ``staging_movies``: one nested row per film (CJ-5).
+
+    Box office wins over details for budget and gross (SC-7); the opening
+    gross only exists in box office. The day's figures become a one-element
+    ``metrics`` array stamped with the run date.
+    """
+    joined = film_join_chain(details, cast, crew, box_office)
     metric = F.struct(
         as_float64("popularity").alias("popularity"),
         F.col("vote_count").cast("bigint").alias("vote_count"),

@@ -338,3 +338,239 @@ def q_lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nestmart.functions.columns import non_blank
     raw = fx.raw_movie_details(spark, sf_dir)
     return raw.where(non_blank("imdb_id")).select("imdb_id")
+
+
+# Model layer -------------------------------------------------------------------
+
+def _day_clean(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFrame]:
+    from nestmart.plans.clean import clean_day
+    return clean_day(fx.raw_movie_details(spark, sf_dir, day), fx.raw_movie_credits(spark, sf_dir),
+                     fx.raw_box_office(spark, sf_dir))
+
+
+def _day_staging(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFrame]:
+    from nestmart.plans.model import model_day
+    return model_day(_day_clean(spark, sf_dir, day), fx.day_date(day))
+
+
+def _first(arr: str, field: str) -> Column:
+    return F.get(F.col(arr), 0)[field]
+
+
+ORACLE_ENTRY_COUNTS = """
+cast_n AS (SELECT movie_id, count(*) AS n FROM fx_line
+           WHERE NOT is_crew AND ord <= 20 GROUP BY movie_id),
+crew_n AS (SELECT movie_id, count(*) AS n FROM fx_line
+           WHERE is_crew AND job IN ('Director', 'Writer', 'Screenplay') GROUP BY movie_id)"""
+
+ORACLE_DAY0 = """
+d0 AS (
+  SELECT f.movie_id, f.imdb_id, f.title, f.no_genres, f.budget, d.popularity, d.vote_count,
+         d.gross, bo.imdb_id AS bo_imdb_id, bo.opening, bo.budget AS bo_budget, bo.gross AS bo_gross
+  FROM fx_film f JOIN fx_day d ON f.movie_id = d.movie_id AND d.day = 0
+  LEFT JOIN bo ON f.imdb_id = bo.imdb_id)"""
+
+
+@register("model_movies", oracle(["film", "line", "day"], """
+SELECT d0.movie_id AS movie_id, d0.imdb_id AS imdb_id, d0.title AS title,
+       CAST(CASE WHEN d0.no_genres THEN NULL ELSE 2 END AS BIGINT) AS n_genres,
+       c.n AS n_casts, cr.n AS n_crews,
+       d0.opening AS opening_gross,
+       coalesce(d0.bo_budget, CAST(NULLIF(d0.budget, 0) AS BIGINT)) AS movie_budget,
+       coalesce(d0.bo_gross, d0.gross) AS gross,
+       round(CAST(CAST(d0.popularity AS FLOAT) AS DOUBLE), 6) AS popularity,
+       d0.vote_count AS vote_count,
+       '2024-01-01' AS collect_date
+FROM d0 LEFT JOIN cast_n c ON d0.movie_id = c.movie_id
+LEFT JOIN crew_n cr ON d0.movie_id = cr.movie_id
+""", ORACLE_BO, ORACLE_DAY0, ORACLE_ENTRY_COUNTS))
+def q_model_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _day_staging(spark, sf_dir, 0)["movies"]
+    return presented(m.select(
+        "movie_id", "imdb_id", "title",
+        F.size("genres").alias("n_genres"), F.size("casts").alias("n_casts"),
+        F.size("crews").alias("n_crews"), "opening_gross", "movie_budget",
+        _first("metrics", "gross").alias("gross"),
+        _first("metrics", "popularity").alias("popularity"),
+        _first("metrics", "vote_count").alias("vote_count"),
+        _first("metrics", "collect_date").alias("collect_date")))
+
+
+@register("left_join_chain", oracle(["film", "line", "day"], """
+SELECT d0.movie_id AS movie_id, c.n AS n_casts, cr.n AS n_crews,
+       d0.bo_imdb_id IS NOT NULL AS has_box_office
+FROM d0 LEFT JOIN cast_n c ON d0.movie_id = c.movie_id
+LEFT JOIN crew_n cr ON d0.movie_id = cr.movie_id
+""", ORACLE_BO, ORACLE_DAY0, ORACLE_ENTRY_COUNTS))
+def q_left_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.model import film_join_chain
+    c = _day_clean(spark, sf_dir, 0)
+    j = film_join_chain(c["movie_details"], c["cast_of_movies"], c["crew_of_movies"],
+                        c["box_office"])
+    return presented(j.select("movie_id", F.size("casts").alias("n_casts"),
+                              F.size("crews").alias("n_crews"),
+                              F.col("bo_imdb_id").isNotNull().alias("has_box_office")))
+
+
+@register("gross_budget_fallback", oracle(["film", "day"], """
+SELECT movie_id,
+       coalesce(bo_budget, CAST(NULLIF(budget, 0) AS BIGINT)) AS movie_budget,
+       CASE WHEN bo_budget IS NOT NULL THEN 'box_office'
+            WHEN NULLIF(budget, 0) IS NOT NULL THEN 'details' END AS budget_source,
+       coalesce(bo_gross, gross) AS gross,
+       CASE WHEN bo_gross IS NOT NULL THEN 'box_office'
+            WHEN gross IS NOT NULL THEN 'details' END AS gross_source
+FROM d0
+""", ORACLE_BO, ORACLE_DAY0))
+def q_gross_budget_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.model import film_join_chain
+    c = _day_clean(spark, sf_dir, 0)
+    j = film_join_chain(c["movie_details"], c["cast_of_movies"], c["crew_of_movies"],
+                        c["box_office"])
+
+    def source(bo: str, own: str) -> Column:
+        return (F.when(F.col(bo).isNotNull(), F.lit("box_office"))
+                .when(F.col(own).isNotNull(), F.lit("details")))
+
+    return presented(j.select(
+        "movie_id",
+        F.coalesce("bo_budget", "budget").alias("movie_budget"),
+        source("bo_budget", "budget").alias("budget_source"),
+        F.coalesce("bo_gross", "revenue").alias("gross"),
+        source("bo_gross", "revenue").alias("gross_source")))
+
+
+@register("collect_casts", oracle(["line"], """
+SELECT movie_id,
+       row_number() OVER (PARTITION BY movie_id ORDER BY ord, person_id) - 1 AS pos,
+       person_id, ord AS "order"
+FROM fx_line WHERE NOT is_crew AND ord <= 20
+"""))
+def q_collect_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.nested import explode_with_position
+    from nestmart.plans.clean import clean_cast
+    from nestmart.plans.model import collect_casts
+    casts = collect_casts(clean_cast(_clean_credits(spark, sf_dir)))
+    return presented(explode_with_position(casts, ["movie_id"], "casts"))
+
+
+@register("collect_crews", oracle(["line"], """
+SELECT movie_id,
+       row_number() OVER (PARTITION BY movie_id ORDER BY person_id, job) - 1 AS pos,
+       person_id, job
+FROM fx_line WHERE is_crew AND job IN ('Director', 'Writer', 'Screenplay')
+"""))
+def q_collect_crews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.nested import explode_with_position
+    from nestmart.plans.clean import clean_crew
+    from nestmart.plans.model import collect_crews
+    crews = collect_crews(clean_crew(_clean_credits(spark, sf_dir)))
+    return presented(explode_with_position(crews, ["movie_id"], "crews"))
+
+
+@register("model_credits", oracle(["line"], """
+SELECT DISTINCT person_id, name, CAST(gender AS BIGINT) AS gender, department
+FROM fx_line
+WHERE (NOT is_crew AND ord <= 20) OR (is_crew AND job IN ('Director', 'Writer', 'Screenplay'))
+"""))
+def q_model_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(_day_staging(spark, sf_dir, 0)["credits"])
+
+
+@register("model_companies", oracle(["film", "line", "day", "company"], """
+SELECT DISTINCT c.company_id, c.company_name, c.company_country
+FROM fx_line l JOIN fx_day d ON l.movie_id = d.movie_id AND d.day = 0
+JOIN fx_company c ON l.company_id = c.company_id
+"""))
+def q_model_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(_day_staging(spark, sf_dir, 0)["production_companies"])
+
+
+# Dimension joins and nested reads over the film table ---------------------------
+
+ORACLE_FILMS_KEPT = """
+kept AS (SELECT movie_id FROM fx_film WHERE popularity IS NOT NULL)"""
+
+
+@register("company_join", oracle(["film", "line", "company"], """
+SELECT DISTINCT l.movie_id AS movie_id, c.company_id AS company_id, c.company_name AS company_name,
+       c.company_country AS company_country
+FROM fx_line l JOIN kept k ON l.movie_id = k.movie_id
+JOIN fx_company c ON l.company_id = c.company_id
+""", ORACLE_FILMS_KEPT))
+def q_company_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.reports import film_companies
+    companies = fx.fx(spark, sf_dir, "company")
+    return presented(film_companies(fx.film_table(spark, sf_dir), companies).select(
+        "movie_id", "company_id", "company_name", "company_country"))
+
+
+@register("crew_join", oracle(["film", "line"], """
+SELECT l.movie_id AS movie_id, l.person_id AS person_id, l.job AS job, p.name AS name,
+       p.department AS department
+FROM fx_line l JOIN kept k ON l.movie_id = k.movie_id
+JOIN (SELECT DISTINCT person_id, name, department FROM fx_line) p ON l.person_id = p.person_id
+WHERE l.is_crew AND l.job IN ('Director', 'Writer', 'Screenplay')
+""", ORACLE_FILMS_KEPT))
+def q_crew_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.reports import crew_with_names
+    joined = crew_with_names(fx.film_table(spark, sf_dir), fx.people(spark, sf_dir))
+    return presented(joined.select("movie_id", "person_id", "job", "name", "department"))
+
+
+@register("dim_join", oracle(["film", "line"], """
+SELECT l.movie_id AS movie_id, l.person_id AS person_id, l.ord AS "order", p.name AS name
+FROM fx_line l JOIN kept k ON l.movie_id = k.movie_id
+JOIN (SELECT DISTINCT person_id, name FROM fx_line) p ON l.person_id = p.person_id
+WHERE NOT l.is_crew AND l.ord <= 20
+""", ORACLE_FILMS_KEPT))
+def q_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.reports import cast_with_names
+    joined = cast_with_names(fx.film_table(spark, sf_dir), fx.people(spark, sf_dir))
+    return presented(joined.select("movie_id", "person_id", "order", "name"))
+
+
+@register("group_by_array", oracle(["film", "day"], """
+SELECT f.title AS title,
+       CASE WHEN f.no_genres THEN NULL ELSE f.genre_a END AS genre_1,
+       CASE WHEN f.no_genres THEN NULL ELSE f.genre_b END AS genre_2,
+       CAST(NULLIF(f.budget, 0) AS BIGINT) AS movie_budget,
+       count(DISTINCT f.movie_id) AS n_films,
+       count(*) AS n_days
+FROM fx_film f JOIN fx_day d ON f.movie_id = d.movie_id
+GROUP BY 1, 2, 3, 4
+"""))
+def q_group_by_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    movies = fx.film_table(spark, sf_dir)
+    grouped = movies.groupBy("title", "genres", "movie_budget").agg(
+        F.count("*").alias("n_films"), F.sum(F.size("metrics")).alias("n_days"))
+    return presented(grouped.select(
+        "title", F.get("genres", 0).alias("genre_1"), F.get("genres", 1).alias("genre_2"),
+        "movie_budget", "n_films", F.col("n_days").cast("bigint").alias("n_days")))
+
+
+@register("explode_metrics", oracle(["film", "day"], """
+SELECT movie_id, CAST(DATE '2024-01-01' + CAST(day AS INTEGER) AS VARCHAR) AS collect_date,
+       round(CAST(CAST(popularity AS FLOAT) AS DOUBLE), 6) AS popularity, vote_count,
+       round(CAST(CAST(vote_average AS FLOAT) AS DOUBLE), 6) AS vote_average, gross
+FROM fx_day
+"""))
+def q_explode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.nested import explode_entries
+    rows = explode_entries(fx.film_table(spark, sf_dir), ["movie_id"], "metrics")
+    return presented(rows.select("movie_id", "collect_date", "popularity", "vote_count",
+                                 "vote_average", "gross"))
+
+
+@register("array_field", oracle(["film", "line", "company", "day"], """
+SELECT movie_id,
+       row_number() OVER (PARTITION BY movie_id ORDER BY company_id) - 1 AS pos,
+       company_id
+FROM (SELECT DISTINCT l.movie_id, l.company_id
+      FROM fx_line l JOIN fx_day d ON l.movie_id = d.movie_id AND d.day = 0
+      JOIN fx_company c ON l.company_id = c.company_id) x
+"""))
+def q_array_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _day_staging(spark, sf_dir, 0)["movies"]
+    return presented(m.select("movie_id", F.posexplode("production_companies").alias(
+        "pos", "company_id")))
