@@ -574,3 +574,235 @@ def q_array_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _day_staging(spark, sf_dir, 0)["movies"]
     return presented(m.select("movie_id", F.posexplode("production_companies").alias(
         "pos", "company_id")))
+
+
+# Merges, publish, restructure, tables --------------------------------------------
+
+def _scratch_db(spark: SparkSession, label: str) -> str:
+    from nestmart.session import new_id, scratch_path
+    from nestmart.sources.tables import ensure_database
+    name = f"nestmart_{label}_{new_id()}"
+    ensure_database(spark, name, scratch_path(spark, label))
+    return name
+
+
+def _merged_days(spark: SparkSession, sf_dir: str, last_day: int) -> DataFrame:
+    """The film table after merging fixture days 0..last_day, as frames (no tables)."""
+    from nestmart import schemas
+    from nestmart.operators.merge import merge_movies
+    stored = spark.createDataFrame([], schemas.MOVIES)
+    for d in fx.DAYS[: last_day + 1]:
+        stored = merge_movies(stored, _day_staging(spark, sf_dir, d)["movies"], fx.day_date(d))
+    return stored
+
+
+def _series_rows(movies: DataFrame) -> DataFrame:
+    from nestmart.operators.nested import explode_with_position
+    rows = explode_with_position(movies, ["movie_id"], "metrics")
+    return presented(rows.select("movie_id", "pos", "collect_date", "popularity",
+                                 "vote_count", "gross"))
+
+
+def _oracle_series(last_day: int) -> str:
+    return oracle(["film", "day"], """
+SELECT g.movie_id AS movie_id, CAST(g.day - g.first_day AS BIGINT) AS pos,
+       CAST(DATE '2024-01-01' + CAST(g.day AS INTEGER) AS VARCHAR) AS collect_date,
+       round(CAST(CAST(p.popularity AS FLOAT) AS DOUBLE), 6) AS popularity,
+       p.vote_count AS vote_count,
+       CASE WHEN p.movie_id IS NULL THEN NULL ELSE coalesce(bo.gross, p.gross) END AS gross
+FROM grid g LEFT JOIN fx_day p ON g.movie_id = p.movie_id AND g.day = p.day
+JOIN fx_film f ON g.movie_id = f.movie_id
+LEFT JOIN bo ON f.imdb_id = bo.imdb_id
+""", ORACLE_BO, f"""
+first_seen AS (SELECT movie_id, min(day) AS first_day FROM fx_day
+               WHERE day <= {last_day} GROUP BY movie_id)""", f"""
+grid AS (SELECT s.movie_id, s.first_day, g.d AS day
+         FROM first_seen s, unnest([0, 1, 2]) AS g(d)
+         WHERE g.d >= s.first_day AND g.d <= {last_day})""")
+
+
+@register("append_metrics", _oracle_series(1))
+def q_append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series_rows(_merged_days(spark, sf_dir, 1))
+
+
+@register("merge_movies", _oracle_series(2))
+def q_merge_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series_rows(_merged_days(spark, sf_dir, 2))
+
+
+@register("full_join_coalesce", oracle(["film", "day"], """
+SELECT f.movie_id AS movie_id, f.title AS title, f.imdb_id AS imdb_id,
+       coalesce(bo.budget, CAST(NULLIF(f.budget, 0) AS BIGINT)) AS movie_budget,
+       bo.opening AS opening_gross, CAST(3 - s.first_day AS BIGINT) AS n_metrics,
+       CAST(DATE '2024-01-01' + CAST(s.first_day AS INTEGER) AS VARCHAR) AS first_date
+FROM first_seen s JOIN fx_film f ON s.movie_id = f.movie_id
+LEFT JOIN bo ON f.imdb_id = bo.imdb_id
+""", ORACLE_BO, """
+first_seen AS (SELECT movie_id, min(day) AS first_day FROM fx_day GROUP BY movie_id)"""))
+def q_full_join_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _merged_days(spark, sf_dir, 2)
+    return presented(m.select("movie_id", "title", "imdb_id", "movie_budget", "opening_gross",
+                              F.size("metrics").alias("n_metrics"),
+                              _first("metrics", "collect_date").alias("first_date")))
+
+
+@register("publish_day", _oracle_series(2))
+def q_publish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landed days through the whole daily job: raw JSON → clean → staging → tables."""
+    from nestmart.plans.job import run_day
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    from nestmart.sources.tables import qualified
+    db = _scratch_db(spark, "publish")
+    root = scratch_path(spark, "lake")
+    for d in fx.DAYS:
+        date = fx.day_date(d)
+        lake.write_raw_json(fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details")
+        lake.write_raw_json(fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits")
+        lake.write_raw_json(fx.raw_box_office(spark, sf_dir), root, date, "box_office")
+        run_day(spark, root, date, db)
+    return _series_rows(spark.table(qualified(db, "movies")))
+
+
+def _customer_people(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    c = fx.table(spark, sf_dir, "customer")
+    stored = c.where(F.col("c_nationkey") < 20).select(
+        F.col("c_custkey").alias("person_id"), F.col("c_name").alias("name"),
+        (F.col("c_nationkey") % 3).cast("bigint").alias("gender"),
+        F.col("c_mktsegment").alias("department"))
+    staged = c.where(F.col("c_nationkey") >= 5).select(
+        F.col("c_custkey").alias("person_id"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.upper("c_name"))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.lit(None))
+        .otherwise(F.col("c_name")).alias("name"),
+        ((F.col("c_nationkey") + 1) % 3).cast("bigint").alias("gender"),
+        F.col("c_mktsegment").alias("department"))
+    return stored, staged
+
+
+@register("merge_credits", """
+SELECT c_custkey AS person_id,
+       CASE WHEN c_nationkey >= 5 THEN
+              CASE c_mktsegment WHEN 'BUILDING' THEN upper(c_name)
+                                WHEN 'MACHINERY' THEN NULL ELSE c_name END
+            ELSE c_name END AS name,
+       CAST(CASE WHEN c_nationkey >= 5 THEN (c_nationkey + 1) % 3 ELSE c_nationkey % 3 END
+            AS BIGINT) AS gender,
+       c_mktsegment AS department
+FROM customer
+""")
+def q_merge_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.merge import merge_credits
+    stored, staged = _customer_people(spark, sf_dir)
+    return presented(merge_credits(stored, staged))
+
+
+@register("merge_companies", """
+SELECT s.s_suppkey AS company_id,
+       CASE WHEN s.s_nationkey >= 5 THEN
+              CASE WHEN s.s_acctbal < 0 THEN NULL ELSE upper(s.s_name) END
+            ELSE s.s_name END AS company_name,
+       n.n_name AS company_country
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+""")
+def q_merge_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.merge import merge_companies
+    comp = fx.table(spark, sf_dir, "supplier").join(
+        fx.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    stored = comp.where(F.col("s_nationkey") < 20).select(
+        F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("company_name"),
+        F.col("n_name").alias("company_country"))
+    staged = comp.where(F.col("s_nationkey") >= 5).select(
+        F.col("s_suppkey").alias("company_id"),
+        F.when(F.col("s_acctbal") >= 0, F.upper("s_name")).alias("company_name"),
+        F.col("n_name").alias("company_country"))
+    return presented(merge_companies(stored, staged))
+
+
+@register("restructure_metrics", oracle(["film", "day"], """
+SELECT movie_id, pos, CAST(DATE '2024-01-01' + CAST(day AS INTEGER) AS VARCHAR) AS collect_date,
+       round(CAST(CAST(popularity AS FLOAT) AS DOUBLE), 6) AS popularity, vote_count, gross
+FROM ranked
+WHERE movie_id % 11 <> 0 AND pos < n - CASE WHEN movie_id % 5 = 0 THEN 1 ELSE 0 END
+UNION ALL
+SELECT DISTINCT movie_id, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE),
+       CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+FROM fx_day WHERE movie_id % 11 = 0
+""", """
+ranked AS (
+  SELECT movie_id, day, popularity, vote_count, gross,
+         row_number() OVER (PARTITION BY movie_id ORDER BY day) - 1 AS pos,
+         count(*) OVER (PARTITION BY movie_id) AS n
+  FROM fx_day)"""))
+def q_restructure_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy parallel arrays built from the film table, then zipped back.
+
+    Legacy rule: every 5th film lost the last gross entry (zip truncates),
+    every 11th lost its vote-count array (zip gives an empty series).
+    """
+    from nestmart.plans.restructure import restructure_metrics
+    m = fx.film_table(spark, sf_dir)
+
+    def wrap(field: str) -> Column:
+        return F.transform("metrics", lambda x: F.struct(x[field].alias("value")))
+
+    gross = wrap("gross")
+    legacy = m.select(
+        *[c for c in m.columns if c != "metrics"],
+        wrap("popularity").alias("popularity"),
+        F.when(F.col("movie_id") % 11 != 0, wrap("vote_count")).alias("vote_count"),
+        wrap("vote_average").alias("vote_average"),
+        F.when(F.col("movie_id") % 5 == 0, F.slice(gross, F.lit(1), F.size(gross) - 1))
+        .otherwise(gross).alias("gross"),
+        wrap("collect_date").alias("current_date"),
+    )
+    out = restructure_metrics(legacy)
+    rows = out.select("movie_id", F.posexplode_outer("metrics").alias("pos", "m"))
+    return presented(rows.select("movie_id", "pos", "m.collect_date", "m.popularity",
+                                 "m.vote_count", "m.gross"))
+
+
+@register("table_swap", """
+SELECT s_suppkey, upper(s_name) AS s_name, s_acctbal FROM supplier
+""")
+def q_table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.sources.tables import create_table_as, qualified, swap_table
+    db = _scratch_db(spark, "swap")
+    sup = fx.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    create_table_as(sup, db, "suppliers")
+    create_table_as(sup.withColumn("s_name", F.upper("s_name")), db, "suppliers__next",
+                    bucket_by="s_suppkey", buckets=4)
+    swap_table(spark, db, "suppliers__next", "suppliers")
+    return presented(spark.table(qualified(db, "suppliers")))
+
+
+@register("staging_lifecycle", oracle(["film", "line", "day", "company"], """
+SELECT 'movies' AS table_name, count(*) AS n_rows FROM fx_day WHERE day = 0
+UNION ALL
+SELECT 'credits', count(DISTINCT person_id) FROM fx_line
+WHERE (NOT is_crew AND ord <= 20) OR (is_crew AND job IN ('Director', 'Writer', 'Screenplay'))
+UNION ALL
+SELECT 'production_companies', count(DISTINCT c.company_id)
+FROM fx_line l JOIN fx_day d ON l.movie_id = d.movie_id AND d.day = 0
+JOIN fx_company c ON l.company_id = c.company_id
+"""))
+def q_staging_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the day's staging tables, record their sizes, drop them, check they are gone."""
+    from functools import reduce
+
+    from nestmart.plans.publish import stage_day
+    from nestmart.session import scratch_path
+    from nestmart.sources.tables import STAGED, drop_staging, read_staging, table_exists
+    db = _scratch_db(spark, "staging")
+    stage_day(_day_staging(spark, sf_dir, 0), db)
+    sizes = [read_staging(spark, db, t).groupBy().count()
+             .select(F.lit(t).alias("table_name"), F.col("count").alias("n_rows"))
+             for t in STAGED]
+    out = scratch_path(spark, "staging-sizes")
+    reduce(DataFrame.unionByName, sizes).write.parquet(out)
+    drop_staging(spark, db)
+    left = [t for t in STAGED if table_exists(spark, db, f"staging_{t}")]
+    if left:
+        raise RuntimeError(f"staging tables still present after drop: {left}")
+    return spark.read.parquet(out)
