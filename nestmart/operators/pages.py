@@ -24,6 +24,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The class names and labels the page layout uses.
 SUMMARY_CLASS = "mojo-summary-table"
@@ -38,7 +39,7 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "param", "source", "track", "wbr"}
 
 FIELDS = ("domestic_opening", "worldwide_gross", "budget")
-RESULT_SCHEMA = "domestic_opening string, worldwide_gross string, budget string"
+RESULT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
 
 
 class _Node:

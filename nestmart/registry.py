@@ -806,3 +806,263 @@ def q_staging_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     if left:
         raise RuntimeError(f"staging tables still present after drop: {left}")
     return spark.read.parquet(out)
+
+
+# Selection, responses, pages -----------------------------------------------------
+
+@register("top_ids", """
+SELECT p_partkey AS id, p_retailprice AS popularity
+FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10000
+""")
+def q_top_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land ``part`` as a gzipped JSON-lines id export, read it back, keep the top 10,000."""
+    from nestmart.operators.selection import top_ids
+    from nestmart.session import scratch_path
+    from nestmart.sources.lake import read_id_export
+    path = scratch_path(spark, "id-export")
+    (fx.table(spark, sf_dir, "part")
+     .select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("popularity"))
+     .write.option("compression", "gzip").json(path))
+    return presented(top_ids(read_id_export(spark, path), k=10_000))
+
+
+def _first_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of the first fetch: errored events come back without a value."""
+    ev = fx.table(spark, sf_dir, "events")
+    return ev.select("event_id", F.when(F.col("event_type") != "error", F.col("value"))
+                     .alias("value"))
+
+
+def _retry_pass(spark: SparkSession, sf_dir: str, first: DataFrame) -> DataFrame:
+    """Re-fetch of the failed ids: events before noon now answer, later ones fail again."""
+    from nestmart.operators.selection import split_responses
+    _, failed = split_responses(first, F.col("value").isNull())
+    ev = fx.table(spark, sf_dir, "events").select("event_id", "ts", F.col("value").alias("v"))
+    return failed.select("event_id").join(ev, "event_id").select(
+        "event_id", F.when(F.hour("ts") < 12, F.col("v")).alias("value"))
+
+
+@register("response_failures", """
+SELECT event_id,
+       CASE WHEN event_type = 'error' OR value IS NULL THEN 'failed' ELSE 'ok' END AS status
+FROM events
+""")
+def q_response_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.selection import split_responses
+    ok, failed = split_responses(_first_pass(spark, sf_dir), F.col("value").isNull())
+    return ok.select("event_id", F.lit("ok").alias("status")).unionByName(
+        failed.select("event_id", F.lit("failed").alias("status")))
+
+
+@register("reconcile_strict", """
+SELECT event_id, round(value, 6) AS value FROM events
+WHERE event_type <> 'error' AND value IS NOT NULL
+UNION ALL
+SELECT event_id, round(value, 6) FROM events
+WHERE (event_type = 'error' OR value IS NULL) AND hour(ts) < 12 AND value IS NOT NULL
+""")
+def q_reconcile_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.selection import reconcile_strict
+    first = _first_pass(spark, sf_dir)
+    retry = _retry_pass(spark, sf_dir, first)
+    return presented(reconcile_strict(first, retry, F.col("value").isNull()))
+
+
+@register("reconcile_keep", """
+SELECT event_id, round(value, 6) AS value FROM events
+WHERE event_type <> 'error' AND value IS NOT NULL
+UNION ALL
+SELECT event_id, CASE WHEN hour(ts) < 12 THEN round(value, 6) END FROM events
+WHERE event_type = 'error' OR value IS NULL
+""")
+def q_reconcile_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.operators.selection import reconcile_keep
+    first = _first_pass(spark, sf_dir)
+    retry = _retry_pass(spark, sf_dir, first)
+    return presented(reconcile_keep(first, retry, F.col("value").isNull()))
+
+
+def _summary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box-office summary page per order, in the layout the extractor reads.
+
+    The layout varies with the order key: complete (0, 5), no performance
+    block (1), no Budget row (2), no summary block at all (3), no values
+    block (4). Figures: gross = total price, opening = a tenth, budget = a third.
+    """
+    o = fx.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 6
+    gross = F.format_number(F.round("o_totalprice").cast("bigint"), 0)
+    opening = F.format_number(F.round(F.col("o_totalprice") / 10).cast("bigint"), 0)
+    budget = F.format_number(F.round(F.col("o_totalprice") / 3).cast("bigint"), 0)
+    row = '<div class="a-section a-spacing-none">'
+    perf = F.concat(
+        F.lit('<div class="mojo-performance-summary-table">'),
+        F.lit(row + '<span class="a-size-small">Domestic</span>'
+              '<span class="a-size-medium">$'), opening, F.lit("</span></div>"),
+        F.lit(row + '<span class="a-size-small">Worldwide</span>\n'
+              '<span class="a-size-medium">\n  $'), gross, F.lit("\n</span></div></div>"))
+    values = F.concat(
+        F.lit('<div class="mojo-summary-values mojo-hidden-from-mobile">'),
+        F.lit(row + "<span>Domestic Distributor</span><span>Studio &amp; Co</span></div>"),
+        F.lit(row + "<span>Domestic Opening</span>\n<span class=\"money\">$"), opening,
+        F.lit("</span></div>"),
+        F.when(k != 2, F.concat(F.lit(row + "<span>Budget</span><span>$"), budget,
+                                F.lit("</span></div>"))).otherwise(F.lit("")),
+        F.lit(row + "<span>Release Date</span><span>Jan 1, 2024</span></div></div>"))
+    summary = F.concat(
+        F.lit('<div class="a-section mojo-summary-table">'),
+        F.when(k != 1, perf).otherwise(F.lit("")),
+        F.when(k != 4, values).otherwise(F.lit("")),
+        F.lit("</div>"))
+    html = F.concat(
+        F.lit('<html><head><title>Summary</title></head><body><div id="a-page">'),
+        F.when(k != 3, summary).otherwise(F.lit('<div class="a-section">No data</div>')),
+        F.lit("</div></body></html>"))
+    imdb = F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 7, "0"))
+    return o.select(imdb.alias("imdb_id"), html.alias("html"))
+
+
+@register("scrape_box_office", """
+SELECT 'tt' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS imdb_id,
+       CASE WHEN o_orderkey % 6 IN (1, 3, 4) THEN ''
+            ELSE format('{:,}', CAST(round(o_totalprice / 10) AS BIGINT)) END AS domestic_opening,
+       CASE WHEN o_orderkey % 6 IN (1, 3, 4) THEN ''
+            ELSE '$' || format('{:,}', CAST(round(o_totalprice) AS BIGINT)) END AS worldwide_gross,
+       CASE WHEN o_orderkey % 6 IN (1, 2, 3, 4) THEN ''
+            ELSE format('{:,}', CAST(round(o_totalprice / 3) AS BIGINT)) END AS budget
+FROM orders
+UNION ALL
+SELECT url, '', '', '' FROM pages
+""")
+def q_scrape_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary pages built from ``orders`` plus every raw web page of ``pages`` (no figures)."""
+    from nestmart.operators.pages import extract_box_office
+    web = fx.table(spark, sf_dir, "pages").select(F.col("url").alias("imdb_id"), "html")
+    return extract_box_office(_summary_pages(spark, sf_dir).unionByName(web))
+
+
+# Calendar --------------------------------------------------------------------
+
+ORACLE_CALENDAR_COLS = """
+CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key,
+strftime(d, '%Y-%m-%d') AS date_id,
+CAST(year(d) AS BIGINT) AS year,
+CAST(quarter(d) AS BIGINT) AS quarter,
+CAST(quarter(d) AS VARCHAR) AS quarter_name,
+CAST(month(d) AS BIGINT) AS month,
+strftime(d, '%B') AS month_name,
+strftime(d, '%b') AS month_name_short,
+CAST(day(d) AS BIGINT) AS day_of_month,
+CAST(dayofweek(d) + 1 AS BIGINT) AS day_of_week,
+strftime(d, '%A') AS day_name,
+strftime(d, '%a') AS day_name_short,
+CAST(strftime(d, '%U') AS BIGINT) AS week_of_year,
+CAST(dayofyear(d) AS BIGINT) AS day_of_year,
+dayofweek(d) IN (0, 6) AS is_weekend"""
+
+
+@register("dim_date", """
+WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS s, max(CAST(o_orderdate AS DATE)) AS e
+           FROM orders),
+days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
+SELECT """ + ORACLE_CALENDAR_COLS + """
+FROM days
+""")
+def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar spanning every order date (the default span is a parameter)."""
+    from nestmart.plans.calendar import dim_date_spanning
+    return presented(dim_date_spanning(fx.table(spark, sf_dir, "orders"), "o_orderdate"))
+
+
+@register("calendar_join", """
+SELECT o_orderkey, CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS BIGINT) AS date_key,
+       strftime(CAST(o_orderdate AS DATE), '%A') AS day_name,
+       CAST(strftime(CAST(o_orderdate AS DATE), '%U') AS BIGINT) AS week_of_year,
+       CAST(quarter(o_orderdate) AS VARCHAR) AS quarter_name,
+       dayofweek(o_orderdate) IN (0, 6) AS is_weekend
+FROM orders
+""")
+def q_calendar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from nestmart.plans.calendar import dim_date_spanning, join_calendar, span_days
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    cal = dim_date_spanning(orders, "o_orderdate")
+    joined = join_calendar(orders, "o_orderdate", cal, span_days(orders, "o_orderdate"))
+    return presented(joined.select("o_orderkey", "date_key", "day_name", "week_of_year",
+                                   "quarter_name", "is_weekend"))
+
+
+# Lake round trips and schema conforming ------------------------------------------
+
+@register("raw_json_roundtrip", oracle(["film", "day", "line", "company"], """
+SELECT f.movie_id AS id, f.imdb_id AS imdb_id, f.title AS title,
+       CAST(CASE WHEN f.no_genres THEN 0 ELSE 2 END AS BIGINT) AS n_genres,
+       coalesce(comp.n, 0) AS n_companies,
+       round(d.popularity, 6) AS popularity, f.release_date AS release_date,
+       round(CAST(coalesce(d.gross, 0) AS DOUBLE), 6) AS revenue
+FROM fx_film f JOIN fx_day d ON f.movie_id = d.movie_id AND d.day = 0
+LEFT JOIN comp ON f.movie_id = comp.movie_id
+""", ORACLE_COMPANY_COUNT))
+def q_raw_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land day 0's details as JSON-lines, read them back with the declared schema."""
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    root = scratch_path(spark, "lake")
+    date = fx.day_date(0)
+    lake.write_raw_json(fx.raw_movie_details(spark, sf_dir, 0), root, date, "movie_details")
+    raw = lake.read_raw_json(spark, root, date, "movie_details", multi_line=False)
+    return presented(raw.select(
+        F.col("id").cast("bigint").alias("id"), "imdb_id", "title",
+        F.size("genres").alias("n_genres"),
+        F.size("production_companies").alias("n_companies"),
+        "popularity", "release_date", "revenue"))
+
+
+@register("clean_parquet_roundtrip", oracle(["film", "day"], """
+SELECT f.movie_id AS movie_id, f.imdb_id AS imdb_id,
+       CAST(NULLIF(f.budget, 0) AS BIGINT) AS budget,
+       round(CAST(CAST(d.popularity AS FLOAT) AS DOUBLE), 6) AS popularity,
+       CAST(TRY_CAST(f.release_date AS DATE) AS VARCHAR) AS release_date,
+       d.gross AS revenue, d.vote_count AS vote_count
+FROM fx_film f JOIN fx_day d ON f.movie_id = d.movie_id AND d.day = 0
+"""))
+def q_clean_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write day 0's clean details to the clean layer and read them back."""
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    root = scratch_path(spark, "lake")
+    date = fx.day_date(0)
+    lake.write_clean(_clean_details(spark, sf_dir, 0), root, date, "movie_details")
+    back = lake.read_clean(spark, root, date, "movie_details")
+    return presented(back.select("movie_id", "imdb_id", "budget", "popularity", "release_date",
+                                 "revenue", "vote_count"))
+
+
+@register("conform_schema", oracle(["film", "line", "day"], """
+SELECT f.movie_id AS movie_id, CAST(f.runtime AS BIGINT) AS runtime,
+       c.n AS n_casts, c.first_person AS first_person, c.first_order AS first_order,
+       CAST(NULLIF(f.budget, 0) AS BIGINT) AS movie_budget
+FROM fx_film f LEFT JOIN (
+  SELECT movie_id, count(*) AS n, arg_min(person_id, ord * 1000000000 + person_id) AS first_person,
+         min(ord) AS first_order
+  FROM fx_line WHERE NOT is_crew AND ord <= 20 GROUP BY movie_id) c ON f.movie_id = c.movie_id
+WHERE f.popularity IS NOT NULL
+"""))
+def q_conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A film frame with shuffled columns, narrow or text types and reordered struct fields,
+    brought back to the declared ``movies`` schema."""
+    from nestmart import schemas
+    from nestmart.sources.conform import conform
+    m = fx.film_table(spark, sf_dir)
+    messy = m.select(
+        F.col("movie_budget").cast("string").alias("movie_budget"),
+        F.transform("casts", lambda c: F.struct(c["order"].cast("int").alias("order"),
+                                                c["person_id"].cast("string").alias("person_id")))
+        .alias("casts"),
+        F.col("runtime").cast("string").alias("runtime"),
+        F.col("movie_id").cast("int").alias("movie_id"),
+        "title", "metrics", F.lit("x").alias("not_in_schema"))
+    fit = conform(messy, schemas.MOVIES)
+    return presented(fit.select(
+        "movie_id", "runtime", F.size("casts").alias("n_casts"),
+        _first("casts", "person_id").alias("first_person"),
+        _first("casts", "order").alias("first_order"), "movie_budget"))
