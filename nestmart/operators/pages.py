@@ -106,7 +106,8 @@ def _clean(s: str) -> str:
 def extract_one(html: str | None) -> tuple[str, str, str]:
     """(domestic_opening, worldwide_gross, budget) of one page, blanks on failure."""
     blank = ("", "", "")
-    if not html:
+    if not html or SUMMARY_CLASS not in html:
+        # No summary block can exist without its class name in the text.
         return blank
     builder = _TreeBuilder()
     try:
@@ -151,7 +152,21 @@ def box_office_figures(html: Column) -> Column:
     return _extract_batch(html)
 
 
+def spread_for_python(df: DataFrame) -> DataFrame:
+    """Make sure a CPU-heavy Python step gets at least one task per core.
+
+    Large inputs already arrive in many file splits and are left alone (no
+    shuffle); a small input that fits one split would otherwise be parsed by a
+    single Python worker, so it is spread round-robin over the cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def extract_box_office(pages: DataFrame, key: str = "imdb_id", html: str = "html") -> DataFrame:
     """``(key, domestic_opening, worldwide_gross, budget)`` as strings, one row per page."""
-    return pages.select(key, box_office_figures(F.col(html)).alias("_f")).select(
+    return spread_for_python(pages).select(
+        key, box_office_figures(F.col(html)).alias("_f")).select(
         key, *[F.col(f"_f.{f}").alias(f) for f in FIELDS])
