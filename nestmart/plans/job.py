@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
-from nestmart.plans.clean import clean_day
+from nestmart.plans.clean import (clean_box_office, clean_cast, clean_credits, clean_crew,
+                                  clean_movie_details)
 from nestmart.plans.model import model_day
 from nestmart.plans.publish import publish_day
 from nestmart.sources import lake
@@ -22,10 +24,26 @@ CLEAN = ("movie_details", "crew_of_movies", "cast_of_movies", "box_office")
 
 def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
               multi_line: bool = False) -> None:
+    """Clean one landed day into the clean layer (four Parquet datasets).
+
+    The typed, de-duplicated credits feed both the cast and the crew output;
+    they are persisted (memory, spilling to disk) for the two writes so the
+    day's credits JSON is parsed and de-duplicated once. A lost cached block
+    is recomputed from its lineage.
+    """
     raw = {n: lake.read_raw_json(spark, lake_root, run_date, n, multi_line) for n in RAW}
-    clean = clean_day(raw["movie_details"], raw["movie_credits"], raw["box_office"])
-    for name, df in clean.items():
-        lake.write_clean(df, lake_root, run_date, name)
+    credits = clean_credits(raw["movie_credits"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        clean = {
+            "movie_details": clean_movie_details(raw["movie_details"]),
+            "crew_of_movies": clean_crew(credits),
+            "cast_of_movies": clean_cast(credits),
+            "box_office": clean_box_office(raw["box_office"]),
+        }
+        for name, df in clean.items():
+            lake.write_clean(df, lake_root, run_date, name)
+    finally:
+        credits.unpersist()
 
 
 def run_model_and_publish(spark: SparkSession, lake_root: str, run_date: str | dt.date,

@@ -1066,3 +1066,27 @@ def q_conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         "movie_id", "runtime", F.size("casts").alias("n_casts"),
         _first("casts", "person_id").alias("first_person"),
         _first("casts", "order").alias("first_order"), "movie_budget"))
+
+
+# Streaming --------------------------------------------------------------------
+
+@register("stream_days", _oracle_series(2))
+def q_stream_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days landed with markers, published by the landing stream in two runs."""
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    from nestmart.sources.tables import qualified
+    from nestmart.streaming.landing import mark_landed, process_landed_days
+    db = _scratch_db(spark, "stream")
+    root = scratch_path(spark, "lake")
+    checkpoint = scratch_path(spark, "landing-stream")
+    for d in fx.DAYS:
+        date = fx.day_date(d)
+        lake.write_raw_json(fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details")
+        lake.write_raw_json(fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits")
+        lake.write_raw_json(fx.raw_box_office(spark, sf_dir), root, date, "box_office")
+        mark_landed(spark, root, date)
+        if d == 0:
+            process_landed_days(spark, root, db, checkpoint)
+    process_landed_days(spark, root, db, checkpoint)
+    return _series_rows(spark.table(qualified(db, "movies")))
