@@ -87,3 +87,16 @@ def span_days(df: DataFrame, date_col: str) -> int:
     row = df.agg(F.datediff(F.max(F.col(date_col).cast("date")),
                             F.min(F.col(date_col).cast("date"))).alias("n")).first()
     return 0 if row is None or row["n"] is None else int(row["n"]) + 1
+
+
+def create_dim_date_table(spark: SparkSession, database: str | None,
+                          start: str | dt.date = DEFAULT_START,
+                          end: str | dt.date = DEFAULT_END, table: str = "dim_date") -> str:
+    """CREATE OR REPLACE the calendar table, rows in ``date_key`` order (CJ-10, TK-2).
+
+    The days are generated by one task, so ordering within the partition is
+    the total order; no range shuffle is needed.
+    """
+    from nestmart.sources.tables import create_table_as
+    cal = dim_date(spark, start, end).sortWithinPartitions("date_key")
+    return create_table_as(cal, database, table)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from nestmart.plans.job import run_day
 from nestmart.session import scratch_path
+from nestmart.sources.tables import STAGED, table_exists
 
 MARKER_DIR = "landed"
 MARKER_SCHEMA = T.StructType([T.StructField("run_date", T.StringType())])
@@ -62,4 +63,8 @@ def process_landed_days(spark: SparkSession, lake_root: str, database: str | Non
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+    # Batches run in the stream's own session; drop its stale file listings here.
+    for table in STAGED:
+        if table_exists(spark, database, table):
+            spark.catalog.refreshTable(f"{database}.{table}" if database else table)
     return checkpoint
