@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from nestmart.plans.clean import (clean_box_office, clean_cast, clean_credits, clean_crew,
                                   clean_movie_details)
+from nestmart.plans.concurrent import run_all
 from nestmart.plans.model import model_day
 from nestmart.plans.publish import publish_day
 from nestmart.sources import lake
@@ -40,8 +41,8 @@ def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
             "cast_of_movies": clean_cast(credits),
             "box_office": clean_box_office(raw["box_office"]),
         }
-        for name, df in clean.items():
-            lake.write_clean(df, lake_root, run_date, name)
+        run_all({name: (lambda df=df, name=name: lake.write_clean(df, lake_root, run_date, name))
+                 for name, df in clean.items()})
     finally:
         credits.unpersist()
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nestmart import schemas
 from nestmart.operators import merge
+from nestmart.plans.concurrent import run_all
 from nestmart.sources import tables
 
 MERGES = {
@@ -38,9 +39,9 @@ def stored_or_empty(spark: SparkSession, database: str | None, table: str) -> Da
 
 
 def stage_day(staging: dict[str, DataFrame], database: str | None) -> None:
-    """Write the day's three staging tables (IO-7)."""
-    for table, df in staging.items():
-        tables.write_staging(df, database, table)
+    """Write the day's three staging tables (IO-7), side by side."""
+    run_all({t: (lambda df=df, t=t: tables.write_staging(df, database, t))
+             for t, df in staging.items()})
 
 
 def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt.date,
@@ -48,12 +49,16 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
                    keep_staging: bool = False) -> None:
     """Merge the staged day into the live tables, swap, drop staging (CJ-8)."""
     buckets = buckets or default_buckets(spark)
-    for table in tables.STAGED:
+
+    def merge_one(table: str) -> None:
         stored = stored_or_empty(spark, database, table)
         staged = tables.read_staging(spark, database, table)
         merged = MERGES[table](stored, staged, run_date, replace_day)
         tables.create_table_as(merged, database, f"{table}__next",
                                bucket_by=schemas.KEYS[table], buckets=buckets)
+
+    # The three merges are independent; all must succeed before any swap.
+    run_all({t: (lambda t=t: merge_one(t)) for t in tables.STAGED})
     for table in tables.STAGED:
         tables.swap_table(spark, database, f"{table}__next", table)
     if not keep_staging:
