@@ -199,12 +199,12 @@ def q_clean_movie_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _clean_details(spark, sf_dir, dups=True)
     return presented(d.select(
         "movie_id", "imdb_id", "original_title", "title", "budget",
-        F.size("genres").cast("bigint").alias("n_genres"),
+        _size("genres").cast("bigint").alias("n_genres"),
         F.col("genres")[0]["genre_id"].alias("first_genre_id"),
         F.col("genres")[0]["genre_name"].alias("first_genre"),
-        F.size("origin_country").cast("bigint").alias("n_countries"),
+        _size("origin_country").cast("bigint").alias("n_countries"),
         "popularity",
-        F.size("production_companies").cast("bigint").alias("n_companies"),
+        _size("production_companies").cast("bigint").alias("n_companies"),
         "release_date", "revenue", "runtime", "vote_average", "vote_count"))
 
 
@@ -256,7 +256,7 @@ def q_empty_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(d.select(
         "movie_id", F.col("genres").isNull().alias("genres_null"),
         F.col("production_companies").isNull().alias("companies_null"),
-        F.size("origin_country").cast("bigint").alias("n_countries")))
+        _size("origin_country").cast("bigint").alias("n_countries")))
 
 
 @register("array_retype", oracle(["film"], """
@@ -353,6 +353,12 @@ def _day_staging(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFr
     return model_day(_day_clean(spark, sf_dir, day), fx.day_date(day))
 
 
+def _size(c: str | Column) -> Column:
+    """Array length, NULL for a NULL array whatever ``spark.sql.legacy.sizeOfNull`` says."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.when(col.isNotNull(), F.size(col))
+
+
 def _first(arr: str, field: str) -> Column:
     return F.get(F.col(arr), 0)[field]
 
@@ -388,8 +394,8 @@ def q_model_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _day_staging(spark, sf_dir, 0)["movies"]
     return presented(m.select(
         "movie_id", "imdb_id", "title",
-        F.size("genres").alias("n_genres"), F.size("casts").alias("n_casts"),
-        F.size("crews").alias("n_crews"), "opening_gross", "movie_budget",
+        _size("genres").alias("n_genres"), _size("casts").alias("n_casts"),
+        _size("crews").alias("n_crews"), "opening_gross", "movie_budget",
         _first("metrics", "gross").alias("gross"),
         _first("metrics", "popularity").alias("popularity"),
         _first("metrics", "vote_count").alias("vote_count"),
@@ -407,8 +413,8 @@ def q_left_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _day_clean(spark, sf_dir, 0)
     j = film_join_chain(c["movie_details"], c["cast_of_movies"], c["crew_of_movies"],
                         c["box_office"])
-    return presented(j.select("movie_id", F.size("casts").alias("n_casts"),
-                              F.size("crews").alias("n_crews"),
+    return presented(j.select("movie_id", _size("casts").alias("n_casts"),
+                              _size("crews").alias("n_crews"),
                               F.col("bo_imdb_id").isNotNull().alias("has_box_office")))
 
 
@@ -543,7 +549,7 @@ GROUP BY 1, 2, 3, 4
 def q_group_by_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     movies = fx.film_table(spark, sf_dir)
     grouped = movies.groupBy("title", "genres", "movie_budget").agg(
-        F.count("*").alias("n_films"), F.sum(F.size("metrics")).alias("n_days"))
+        F.count("*").alias("n_films"), F.sum(_size("metrics")).alias("n_days"))
     return presented(grouped.select(
         "title", F.get("genres", 0).alias("genre_1"), F.get("genres", 1).alias("genre_2"),
         "movie_budget", "n_films", F.col("n_days").cast("bigint").alias("n_days")))
@@ -643,7 +649,7 @@ first_seen AS (SELECT movie_id, min(day) AS first_day FROM fx_day GROUP BY movie
 def q_full_join_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _merged_days(spark, sf_dir, 2)
     return presented(m.select("movie_id", "title", "imdb_id", "movie_budget", "opening_gross",
-                              F.size("metrics").alias("n_metrics"),
+                              _size("metrics").alias("n_metrics"),
                               _first("metrics", "collect_date").alias("first_date")))
 
 
@@ -1012,8 +1018,8 @@ def q_raw_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lake.read_raw_json(spark, root, date, "movie_details", multi_line=False)
     return presented(raw.select(
         F.col("id").cast("bigint").alias("id"), "imdb_id", "title",
-        F.size("genres").alias("n_genres"),
-        F.size("production_companies").alias("n_companies"),
+        _size("genres").alias("n_genres"),
+        _size("production_companies").alias("n_companies"),
         "popularity", "release_date", "revenue"))
 
 
@@ -1063,7 +1069,7 @@ def q_conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         "title", "metrics", F.lit("x").alias("not_in_schema"))
     fit = conform(messy, schemas.MOVIES)
     return presented(fit.select(
-        "movie_id", "runtime", F.size("casts").alias("n_casts"),
+        "movie_id", "runtime", _size("casts").alias("n_casts"),
         _first("casts", "person_id").alias("first_person"),
         _first("casts", "order").alias("first_order"), "movie_budget"))
 
