@@ -67,9 +67,21 @@ GROSS_STRIP = r"\$|,"   # worldwide gross: dollar sign and thousands separators
 PLAIN_STRIP = ","       # opening and budget: thousands separators only
 
 
+# Fixed value: what a non-ANSI string-to-long cast accepts (a fraction is truncated).
+WHOLE_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
+
+
+def string_to_long(c: ColumnOrName) -> Column:
+    """String to bigint the way a non-ANSI cast does it: ``' 12 '`` → 12,
+    ``'1234.5'`` → 1234; anything else (blank, dash, exponent, overflow) → NULL."""
+    s = F.trim(_col(c))
+    return F.when(s.rlike(WHOLE_NUMBER),
+                  try_cast(F.regexp_extract(s, r"^([+-]?[0-9]+)", 1), "bigint"))
+
+
 def money_to_long(c: ColumnOrName, strip_dollar: bool) -> Column:
     """Parse a money string to bigint; blanks, dashes and leftovers give NULL."""
-    return try_cast(strip_chars(c, GROSS_STRIP if strip_dollar else PLAIN_STRIP), "bigint")
+    return string_to_long(strip_chars(c, GROSS_STRIP if strip_dollar else PLAIN_STRIP))
 
 
 def non_blank(c: ColumnOrName) -> Column:

@@ -19,6 +19,13 @@ def test_money_parsing_rules(spark):
     assert [r.budget for r in out] == [None, None, None, 1234, None, None]
 
 
+def test_string_to_long_matches_legacy_cast(spark):
+    vals = [" 12 ", "1234.5", "-7", "1e3", "", "12a", "99999999999999999999", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    out = [r.n for r in df.select(C.string_to_long("s").alias("n")).collect()]
+    assert out == [12, 1234, -7, None, None, None, None, None]
+
+
 def test_try_cast_bad_input_is_null(spark):
     row = spark.range(1).select(
         C.try_cast(F.lit(""), "bigint").alias("a"),
