@@ -148,8 +148,13 @@ def _extract_batch(html: pd.Series) -> pd.DataFrame:
 
 
 def box_office_figures(html: Column) -> Column:
-    """Struct ``(domestic_opening, worldwide_gross, budget)`` from a page column."""
-    return _extract_batch(html)
+    """Struct ``(domestic_opening, worldwide_gross, budget)`` from a page column.
+
+    The UDF's argument is computed on the JVM side: pages that do not even
+    contain the summary class name are passed as NULL, so only candidate
+    pages cross to Python; the others come back blank without being shipped.
+    """
+    return _extract_batch(F.when(html.contains(SUMMARY_CLASS), html))
 
 
 def spread_for_python(df: DataFrame) -> DataFrame:
