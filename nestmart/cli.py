@@ -1,6 +1,6 @@
 """Command line for ``spark-submit``: the daily job and its maintenance steps.
 
-  spark-submit -m nestmart.cli run-day --lake s3://lake --date 2024-01-01 --database dw
+  spark-submit --py-files nestmart.zip nestmart/cli.py run-day --lake s3://lake --date 2024-01-01 --database dw
   python -m nestmart.cli process-landed --lake s3://lake --database dw
   python -m nestmart.cli dim-date --database dw
   python -m nestmart.cli restructure --database dw
