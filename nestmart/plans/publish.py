@@ -28,10 +28,36 @@ MERGES = {
 }
 
 
+# Bucket sizing: a bucket is one merge task's share of the stored table.
+TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+GROW_FACTOR = 4
+
+
 def default_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def choose_buckets(spark: SparkSession, database: str | None, table: str,
+                   requested: int | None) -> int:
+    """Bucket count for the next version of ``table``.
+
+    An explicit count wins. Otherwise the stored table keeps its own count, so
+    the daily merge stays aligned with its layout whatever the session's
+    shuffle setting is, and doubles it only once buckets have grown beyond
+    ``GROW_FACTOR`` x ``TARGET_BUCKET_BYTES`` (the metrics series grows every
+    day). A new table starts at the session's shuffle partition count.
+    """
+    if requested:
+        return requested
+    if not tables.table_exists(spark, database, table):
+        return default_buckets(spark)
+    current = tables.bucket_count(spark, database, table) or default_buckets(spark)
+    size = tables.stored_bytes(spark, database, table)
+    while size / current > GROW_FACTOR * TARGET_BUCKET_BYTES:
+        current *= 2
+    return current
+
+
 def stored_or_empty(spark: SparkSession, database: str | None, table: str) -> DataFrame:
     if tables.table_exists(spark, database, table):
         return spark.table(tables.qualified(database, table))
@@ -48,14 +74,13 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
                    buckets: int | None = None, replace_day: bool = False,
                    keep_staging: bool = False) -> None:
     """Merge the staged day into the live tables, swap, drop staging (CJ-8)."""
-    buckets = buckets or default_buckets(spark)
-
     def merge_one(table: str) -> None:
+        n = choose_buckets(spark, database, table, buckets)
         stored = stored_or_empty(spark, database, table)
         staged = tables.read_staging(spark, database, table)
         merged = MERGES[table](stored, staged, run_date, replace_day)
         tables.create_table_as(merged, database, f"{table}__next",
-                               bucket_by=schemas.KEYS[table], buckets=buckets)
+                               bucket_by=schemas.KEYS[table], buckets=n)
 
     # The three merges are independent; all must succeed before any swap.
     run_all({t: (lambda t=t: merge_one(t)) for t in tables.STAGED})

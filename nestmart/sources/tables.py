@@ -29,6 +29,28 @@ def table_exists(spark: SparkSession, database: str | None, table: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def table_details(spark: SparkSession, database: str | None, table: str) -> dict[str, str]:
+    """``DESCRIBE TABLE EXTENDED`` detail rows (Location, Num Buckets, ...) as a dict."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(database, table)}").collect()
+    return {r.col_name.strip(): (r.data_type or "").strip() for r in rows if r.col_name}
+
+
+def bucket_count(spark: SparkSession, database: str | None, table: str) -> int | None:
+    value = table_details(spark, database, table).get("Num Buckets")
+    return int(value) if value and value.isdigit() else None
+
+
+def stored_bytes(spark: SparkSession, database: str | None, table: str) -> int:
+    """Bytes under the table's location (Hadoop content summary, any file system)."""
+    location = table_details(spark, database, table).get("Location")
+    if not location:
+        return 0
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(path).getLength()) if fs.exists(path) else 0
+
+
 def create_table_as(df: DataFrame, database: str | None, table: str, replace: bool = True,
                     bucket_by: str | None = None, buckets: int | None = None,
                     sort_by: Sequence[str] = ()) -> str:

@@ -100,3 +100,21 @@ def test_publish_day_with_tables(spark, scratch_db):
     assert got == {1: 3, 2: 3, 3: 1}
     assert not table_exists(spark, scratch_db, "staging_movies")
     assert spark.table(qualified(scratch_db, "credits")).count() == 1
+
+
+def test_bucket_count_is_kept_and_grows(spark, scratch_db):
+    from nestmart.plans import publish
+    from nestmart.sources.tables import bucket_count, create_table_as
+    df = spark.createDataFrame([(1, "a", "US")], schemas.PRODUCTION_COMPANIES)
+    create_table_as(df, scratch_db, "production_companies", bucket_by="company_id", buckets=3)
+    assert bucket_count(spark, scratch_db, "production_companies") == 3
+    assert publish.choose_buckets(spark, scratch_db, "production_companies", None) == 3
+    assert publish.choose_buckets(spark, scratch_db, "production_companies", 5) == 5
+    assert publish.choose_buckets(spark, scratch_db, "movies", None) == \
+        publish.default_buckets(spark)
+    old = publish.TARGET_BUCKET_BYTES
+    try:
+        publish.TARGET_BUCKET_BYTES = 1        # every byte is "too big": doubles until it fits
+        assert publish.choose_buckets(spark, scratch_db, "production_companies", None) > 3
+    finally:
+        publish.TARGET_BUCKET_BYTES = old
