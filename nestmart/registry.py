@@ -593,12 +593,20 @@ def _scratch_db(spark: SparkSession, label: str) -> str:
 
 
 def _merged_days(spark: SparkSession, sf_dir: str, last_day: int) -> DataFrame:
-    """The film table after merging fixture days 0..last_day, as frames (no tables)."""
+    """The film table after merging fixture days 0..last_day, as frames (no tables).
+
+    Each day's staging frame is materialised (Parquet under the shared
+    ``spark.checkpoint.dir``) because the key check and the merge both read
+    it. The three merges stay one lazy chain; the table path (``publish``)
+    cuts lineage at every day by writing the tables.
+    """
     from nestmart import schemas
     from nestmart.operators.merge import merge_movies
+    from nestmart.session import materialize
     stored = spark.createDataFrame([], schemas.MOVIES)
     for d in fx.DAYS[: last_day + 1]:
-        stored = merge_movies(stored, _day_staging(spark, sf_dir, d)["movies"], fx.day_date(d))
+        staged = materialize(_day_staging(spark, sf_dir, d)["movies"], "staging")
+        stored = merge_movies(stored, staged, fx.day_date(d))
     return stored
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -58,6 +58,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/nestmart/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (later jobs start from the files, and a lost executor
+    does not force recomputing the upstream plan) with a single computation
+    of ``df``, unlike an RDD checkpoint that computes it once to count and
+    again to save unless it was cached first.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side checks can look at a local path."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -76,4 +90,4 @@ def new_id() -> str:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "path_exists",
-           "local_path", "new_id"]
+           "local_path", "new_id", "materialize"]
