@@ -39,33 +39,33 @@ def calendar_columns(d: Column) -> list[Column]:
     ]
 
 
-def dim_date_between(bounds: DataFrame, start_col: str = "start", end_col: str = "end"
-                     ) -> DataFrame:
-    """One calendar row per day from every (start, end) row of ``bounds``.
+def dim_date(spark: SparkSession, start: str | dt.date = DEFAULT_START,
+             end: str | dt.date = DEFAULT_END) -> DataFrame:
+    """The calendar between two dates, inclusive (2008-01-01..2030-12-31 by default).
 
-    ``bounds`` is normally a single row; the day sequence is generated in
-    the task holding it. Rows come out ordered by ``date_key`` within the
-    generating task.
+    Days come from ``spark.range``, generated in parallel over contiguous
+    partitions (partition order is date order), not exploded in one task.
     """
-    days = bounds.select(F.explode(F.sequence(F.col(start_col).cast("date"),
-                                              F.col(end_col).cast("date"),
-                                              F.expr("interval 1 day"))).alias("d"))
+    first = dt.date.fromisoformat(str(start))
+    n_days = (dt.date.fromisoformat(str(end)) - first).days + 1
+    days = spark.range(max(n_days, 0)).select(
+        F.date_add(F.lit(first.isoformat()).cast("date"), F.col("id").cast("int")).alias("d"))
     return days.select(*calendar_columns(F.col("d"))).to(schemas.DIM_DATE)
 
 
-def dim_date(spark: SparkSession, start: str | dt.date = DEFAULT_START,
-             end: str | dt.date = DEFAULT_END) -> DataFrame:
-    """The calendar between two dates, inclusive (2008-01-01..2030-12-31 by default)."""
-    bounds = spark.range(1).select(F.lit(str(start)).alias("start"),
-                                   F.lit(str(end)).alias("end"))
-    return dim_date_between(bounds)
+def date_bounds(df: DataFrame, date_col: str) -> tuple[dt.date | None, dt.date | None]:
+    """First and last date of a column: one aggregation, two scalars to the driver."""
+    d = F.col(date_col).cast("date")
+    row = df.agg(F.min(d).alias("start"), F.max(d).alias("end")).first()
+    return (row["start"], row["end"]) if row is not None else (None, None)
 
 
 def dim_date_spanning(df: DataFrame, date_col: str) -> DataFrame:
-    """The calendar covering every date of ``df[date_col]`` (one aggregation pass)."""
-    bounds = df.agg(F.min(F.col(date_col).cast("date")).alias("start"),
-                    F.max(F.col(date_col).cast("date")).alias("end"))
-    return dim_date_between(bounds.where(F.col("start").isNotNull()))
+    """The calendar covering every date of ``df[date_col]``."""
+    start, end = date_bounds(df, date_col)
+    if start is None:
+        return df.sparkSession.createDataFrame([], schemas.DIM_DATE)
+    return dim_date(df.sparkSession, start, end)
 
 
 def join_calendar(facts: DataFrame, date_col: str, calendar: DataFrame,
@@ -94,8 +94,8 @@ def create_dim_date_table(spark: SparkSession, database: str | None,
                           end: str | dt.date = DEFAULT_END, table: str = "dim_date") -> str:
     """CREATE OR REPLACE the calendar table, rows in ``date_key`` order (CJ-10, TK-2).
 
-    The days are generated by one task, so ordering within the partition is
-    the total order; no range shuffle is needed.
+    ``spark.range`` partitions hold contiguous, ascending day ranges, so
+    sorting within partitions gives the total order; no range shuffle is needed.
     """
     from nestmart.sources.tables import create_table_as
     cal = dim_date(spark, start, end).sortWithinPartitions("date_key")

@@ -997,10 +997,11 @@ SELECT o_orderkey, CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS BIGINT)
 FROM orders
 """)
 def q_calendar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from nestmart.plans.calendar import dim_date_spanning, join_calendar, span_days
+    from nestmart.plans.calendar import date_bounds, dim_date, join_calendar
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    cal = dim_date_spanning(orders, "o_orderdate")
-    joined = join_calendar(orders, "o_orderdate", cal, span_days(orders, "o_orderdate"))
+    start, end = date_bounds(orders, "o_orderdate")
+    cal = dim_date(spark, start, end)
+    joined = join_calendar(orders, "o_orderdate", cal, (end - start).days + 1)
     return presented(joined.select("o_orderkey", "date_key", "day_name", "week_of_year",
                                    "quarter_name", "is_weekend"))
 

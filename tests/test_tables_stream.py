@@ -30,8 +30,15 @@ def test_restructure_table_swaps_in_new_shape(spark, scratch_db):
 def test_dim_date_table_is_ordered(spark, scratch_db):
     from nestmart.plans.calendar import create_dim_date_table
     create_dim_date_table(spark, scratch_db, "2023-12-25", "2024-01-07")
-    keys = [int(r.date_key) for r in spark.table(qualified(scratch_db, "dim_date")).collect()]
-    assert keys == sorted(keys) and len(keys) == 14
+    rows = spark.table(qualified(scratch_db, "dim_date")).select(
+        "date_key", F.col("_metadata.file_path").alias("f")).collect()
+    assert len(rows) == 14
+    by_file: dict[str, list[int]] = {}
+    for r in rows:                      # rows of one file are read in file order
+        by_file.setdefault(r.f, []).append(int(r.date_key))
+    spans = sorted((keys[0], keys[-1]) for keys in by_file.values())
+    assert all(keys == sorted(keys) for keys in by_file.values())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))   # disjoint, ascending ranges
 
 
 def _film(spark, movie_id, day):
