@@ -19,6 +19,7 @@ per-row JVM round trip, and the whole page text is parsed.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -67,11 +68,16 @@ class _Node:
         return found[0] if found else None
 
 
+class _SummaryClosed(Exception):
+    """Raised to stop parsing once the summary block has been read."""
+
+
 class _TreeBuilder(HTMLParser):
-    def __init__(self) -> None:
+    def __init__(self, stop_after_first: str | None = None) -> None:
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", set(), None)
         self.cur = self.root
+        self.stop_after_first = stop_after_first
 
     def handle_starttag(self, tag, attrs):
         classes = set()
@@ -94,11 +100,49 @@ class _TreeBuilder(HTMLParser):
             n = n.parent
         if n is not None and n.parent is not None:
             self.cur = n.parent
+            if self.stop_after_first and n.parent is self.root \
+                    and self.stop_after_first in n.classes:
+                raise _SummaryClosed
 
     def handle_data(self, data):
         self.cur.children.append(data)
 
 
+_DIV_START = re.compile(r"<div\b[^<>]*\bclass\s*=\s*[\"']?([^\"'<>]*)", re.IGNORECASE)
+
+
+def _parse(text: str, stop_after_first: str | None = None) -> _Node | None:
+    builder = _TreeBuilder(stop_after_first)
+    try:
+        builder.feed(text)
+        builder.close()
+    except _SummaryClosed:
+        pass
+    except Exception:  # noqa: BLE001 - a page that does not parse has no figures
+        return None
+    return builder.root
+
+
+def _summary_block(html: str) -> _Node | None:
+    """The first summary ``div`` of the page.
+
+    Fast path: when the first occurrence of the class name sits in a ``div``
+    start tag carrying it as a class, parsing starts at that tag and stops
+    when the block closes, so the rest of a large page is never tokenised.
+    Otherwise (the name first appears in a script, text or other tag) the
+    whole page is parsed.
+    """
+    at = html.find(SUMMARY_CLASS)
+    tag_start = html.rfind("<", 0, at)
+    if tag_start >= 0:
+        m = _DIV_START.match(html, tag_start)
+        if m and SUMMARY_CLASS in m.group(1).split() and m.end() >= at:
+            root = _parse(html[tag_start:], stop_after_first=SUMMARY_CLASS)
+            return root.find("div", SUMMARY_CLASS) if root is not None else None
+    root = _parse(html)
+    return root.find("div", SUMMARY_CLASS) if root is not None else None
+
+
 def _clean(s: str) -> str:
     return s.replace("\n", "").strip()
 
@@ -109,13 +153,7 @@ def extract_one(html: str | None) -> tuple[str, str, str]:
     if not html or SUMMARY_CLASS not in html:
         # No summary block can exist without its class name in the text.
         return blank
-    builder = _TreeBuilder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except Exception:  # noqa: BLE001 - a page that does not parse has no figures
-        return blank
-    summary = builder.root.find("div", SUMMARY_CLASS)
+    summary = _summary_block(html)
     if summary is None:
         return blank
     perf = summary.find("div", PERFORMANCE_CLASS)

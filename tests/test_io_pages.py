@@ -113,3 +113,14 @@ def test_extract_in_spark(spark):
     pages = spark.createDataFrame([("tt1", full), ("tt2", "<html></html>")], "imdb_id string, html string")
     out = {r.imdb_id: r for r in extract_box_office(pages).collect()}
     assert out["tt1"].worldwide_gross == "$2,500" and out["tt2"].budget == ""
+
+
+def test_extract_fast_path_equals_full_parse():
+    from nestmart.operators import pages
+    full = PAGE.format(budget='<div class="a-section"><span>Budget</span><span>$300</span></div>')
+    padded = "<html><body>" + "<p>filler</p>" * 500 + full + "<script>x='mojo-summary-table'</script>"
+    assert extract_one(padded) == ("1,000", "$2,500", "300")
+    tricky = "<script>var c = 'mojo-summary-table';</script>" + full   # name first seen in a script
+    assert extract_one(tricky) == ("1,000", "$2,500", "300")
+    root = pages._parse(full)
+    assert root.find("div", pages.SUMMARY_CLASS) is not None
