@@ -102,15 +102,37 @@ FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 """
 
 
-def table_refs(dialect: str, sf_dir: str | None = None) -> dict[str, str]:
+def _view_name(sf_dir: str, t: str) -> str:
+    import hashlib
+    return f"nestmart_src_{hashlib.sha1(sf_dir.encode()).hexdigest()[:10]}_{t}"
+
+
+def source_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Temp view per test table of ``sf_dir``, created once per session.
+
+    The view holds an already resolved Parquet relation, so fixture SQL does
+    not list files and read footers again every time it names a table.
+    """
+    names = {t: _view_name(sf_dir, t) for t in TABLES}
+    if not spark.catalog.tableExists(names["part"]):
+        for t, v in names.items():
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(v)
+    return names
+
+
+def table_refs(dialect: str, sf_dir: str | None = None,
+               spark: SparkSession | None = None) -> dict[str, str]:
     if dialect == "spark":
+        if spark is not None:
+            return source_views(spark, sf_dir)
         return {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
     return {t: t for t in TABLES}
 
 
-def sql(name: str, dialect: str, sf_dir: str | None = None) -> str:
+def sql(name: str, dialect: str, sf_dir: str | None = None,
+        spark: SparkSession | None = None) -> str:
     """SQL text of fixture ``name`` ('film', 'line', 'day', 'company') for a dialect."""
-    refs = table_refs(dialect, sf_dir)
+    refs = table_refs(dialect, sf_dir, spark)
     film = FX_FILM.format(**refs)
     if name == "film":
         return film
@@ -132,11 +154,11 @@ def with_clause(names: list[str]) -> str:
 # ---------------------------------------------------------------- Spark frames
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.table(source_views(spark, sf_dir)[name])
 
 
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(sql(name, "spark", sf_dir))
+    return spark.sql(sql(name, "spark", sf_dir, spark))
 
 
 def day_date(d: int | str) -> str:
