@@ -19,6 +19,7 @@ CREW_JOBS = ("Director", "Writer", "Screenplay")   # crew kept, case-sensitive
 CAST_MAX_ORDER = 20                                  # 0-based, inclusive: 21 people
 ZERO_IS_UNKNOWN = ("budget", "revenue")              # 0 means "not known" for these only
 
+# Raw nested field -> clean field name and type, per array.
 GENRE_FIELDS = [("id", "genre_id", "int"), ("name", "genre_name", None)]
 COMPANY_FIELDS = [("id", "company_id", "int"), ("name", "company_name", None),
                   ("origin_country", "company_country", None)]
