@@ -58,7 +58,8 @@ SELECT
        END AS release_date,
   60 + p_size AS runtime,
   CAST(p_size AS DOUBLE) / 5 AS vote_average,
-  p_partkey % 500 AS vote_count
+  p_partkey % 500 AS vote_count,
+  CASE WHEN p_size <= 16 THEN 0 WHEN p_size <= 33 THEN 1 ELSE 2 END AS missing_day
 FROM {part}
 """
 
@@ -81,8 +82,9 @@ JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 """
 
-# Every film is observed on two of the three days: missing day 1 or 2 drives
-# the placeholder branch of the merge, missing day 0 drives a late insert.
+# Every film is observed on two of the three days, all but its ``missing_day``
+# (by size class): missing day 1 or 2 drives the placeholder branch of the
+# merge, missing day 0 drives a late insert.
 FX_DAY = """
 SELECT
   movie_id,
@@ -91,9 +93,10 @@ SELECT
   vote_count + d AS vote_count,
   vote_average,
   CASE WHEN revenue = 0 THEN NULL ELSE revenue + d * 10 END AS gross
-FROM (SELECT movie_id, popularity, vote_count, vote_average, revenue, {days} AS d
+FROM (SELECT movie_id, popularity, vote_count, vote_average, revenue, missing_day,
+             {days} AS d
       FROM ({fx_film}) f) x
-WHERE (movie_id + d) % 3 <> 0 AND popularity IS NOT NULL
+WHERE d <> missing_day AND popularity IS NOT NULL
 """
 
 FX_COMPANY = """
