@@ -51,8 +51,9 @@ def choose_buckets(spark: SparkSession, database: str | None, table: str,
         return requested
     if not tables.table_exists(spark, database, table):
         return default_buckets(spark)
-    current = tables.bucket_count(spark, database, table) or default_buckets(spark)
-    size = tables.stored_bytes(spark, database, table)
+    details = tables.table_details(spark, database, table)
+    current = tables.bucket_count(spark, database, table, details) or default_buckets(spark)
+    size = tables.stored_bytes(spark, database, table, details)
     while size / current > GROW_FACTOR * TARGET_BUCKET_BYTES:
         current *= 2
     return current

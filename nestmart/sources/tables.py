@@ -35,14 +35,18 @@ def table_details(spark: SparkSession, database: str | None, table: str) -> dict
     return {r.col_name.strip(): (r.data_type or "").strip() for r in rows if r.col_name}
 
 
-def bucket_count(spark: SparkSession, database: str | None, table: str) -> int | None:
-    value = table_details(spark, database, table).get("Num Buckets")
+def bucket_count(spark: SparkSession, database: str | None, table: str,
+                 details: dict[str, str] | None = None) -> int | None:
+    details = details if details is not None else table_details(spark, database, table)
+    value = details.get("Num Buckets")
     return int(value) if value and value.isdigit() else None
 
 
-def stored_bytes(spark: SparkSession, database: str | None, table: str) -> int:
+def stored_bytes(spark: SparkSession, database: str | None, table: str,
+                 details: dict[str, str] | None = None) -> int:
     """Bytes under the table's location (Hadoop content summary, any file system)."""
-    location = table_details(spark, database, table).get("Location")
+    details = details if details is not None else table_details(spark, database, table)
+    location = details.get("Location")
     if not location:
         return 0
     jvm = spark.sparkContext._jvm
