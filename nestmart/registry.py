@@ -661,21 +661,33 @@ def q_full_join_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
                               _first("metrics", "collect_date").alias("first_date")))
 
 
+def _land_days(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Land the raw datasets of every fixture day (independent writes, run side by side)."""
+    from nestmart.plans.concurrent import run_all
+    from nestmart.sources import lake
+    writes = {}
+    for d in fx.DAYS:
+        date = fx.day_date(d)
+        writes[f"details-{d}"] = (lambda d=d, date=date: lake.write_raw_json(
+            fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details"))
+        writes[f"credits-{d}"] = (lambda date=date: lake.write_raw_json(
+            fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits"))
+        writes[f"box-{d}"] = (lambda date=date: lake.write_raw_json(
+            fx.raw_box_office(spark, sf_dir), root, date, "box_office"))
+    run_all(writes, max_workers=6)
+
+
 @register("publish_day", _oracle_series(2))
 def q_publish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three landed days through the whole daily job: raw JSON → clean → staging → tables."""
     from nestmart.plans.job import run_day
     from nestmart.session import scratch_path
-    from nestmart.sources import lake
     from nestmart.sources.tables import qualified
     db = _scratch_db(spark, "publish")
     root = scratch_path(spark, "lake")
+    _land_days(spark, sf_dir, root)
     for d in fx.DAYS:
-        date = fx.day_date(d)
-        lake.write_raw_json(fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details")
-        lake.write_raw_json(fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits")
-        lake.write_raw_json(fx.raw_box_office(spark, sf_dir), root, date, "box_office")
-        run_day(spark, root, date, db)
+        run_day(spark, root, fx.day_date(d), db)
     return _series_rows(spark.table(qualified(db, "movies")))
 
 
@@ -1089,18 +1101,14 @@ def q_conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three days landed with markers, published by the landing stream in two runs."""
     from nestmart.session import scratch_path
-    from nestmart.sources import lake
     from nestmart.sources.tables import qualified
     from nestmart.streaming.landing import mark_landed, process_landed_days
     db = _scratch_db(spark, "stream")
     root = scratch_path(spark, "lake")
     checkpoint = scratch_path(spark, "landing-stream")
+    _land_days(spark, sf_dir, root)
     for d in fx.DAYS:
-        date = fx.day_date(d)
-        lake.write_raw_json(fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details")
-        lake.write_raw_json(fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits")
-        lake.write_raw_json(fx.raw_box_office(spark, sf_dir), root, date, "box_office")
-        mark_landed(spark, root, date)
+        mark_landed(spark, root, fx.day_date(d))
         if d == 0:
             process_landed_days(spark, root, db, checkpoint)
     process_landed_days(spark, root, db, checkpoint)
