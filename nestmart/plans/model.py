@@ -20,7 +20,8 @@ def spread_null_key(key: Column, unique: Column, tag: str = "\u0000none:") -> Co
 
     A left join sends every NULL-key row to one hash partition; with many
     films lacking an imdb id that single task would carry them all. Replacing
-    NULL by a unique tagged value keeps them unmatched but spread out.
+    NULL by a unique tagged value spreads them out; the join also requires the
+    original key to be non-NULL, so a tagged value can never match.
     """
     return F.when(key.isNull(), F.concat(F.lit(tag), unique.cast("string"))).otherwise(key)
 
@@ -66,8 +67,8 @@ def film_join_chain(details: DataFrame, cast: DataFrame, crew: DataFrame,
     return (films
             .join(collect_casts(cast), "movie_id", "left")
             .join(collect_crews(crew), "movie_id", "left")
-            .join(bo, spread_null_key(F.col("imdb_id"), F.col("movie_id"))
-                  == F.col("bo_imdb_id"), "left"))
+            .join(bo, (spread_null_key(F.col("imdb_id"), F.col("movie_id"))
+                       == F.col("bo_imdb_id")) & F.col("imdb_id").isNotNull(), "left"))
 
 
 def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,

@@ -99,3 +99,19 @@ def test_model_companies_drop_null_ids(spark):
          details_row(2.0, companies=[(5, "Acme", "US")])], schemas.RAW_MOVIE_DETAILS))
     assert [(r.company_id, r.company_name) for r in model_companies(details).collect()] == \
         [(5, "Acme")]
+
+
+def test_spread_null_key_keeps_join_results(spark):
+    from pyspark.sql import functions as F
+
+    from nestmart.plans.model import spread_null_key
+    films = spark.createDataFrame([(1, None), (2, ""), (3, "tt3"), (4, None)],
+                                  "movie_id int, imdb_id string")
+    bo = spark.createDataFrame([("", 10), ("tt3", 30), ("\u0000none:1", 99)],
+                               "bo_imdb_id string, gross int")
+    out = films.join(bo, (spread_null_key(F.col("imdb_id"), F.col("movie_id"))
+                          == F.col("bo_imdb_id")) & F.col("imdb_id").isNotNull(), "left")
+    got = {r.movie_id: r.gross for r in out.collect()}
+    # NULL ids never match, not even a right-side key equal to the spread tag;
+    # blank and real ids match as a plain equality join would.
+    assert got == {1: None, 2: 10, 3: 30, 4: None}
