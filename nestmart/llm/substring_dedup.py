@@ -31,6 +31,8 @@ from .words import WHITE_SPACE, Lexer, pieces, spans, window_hashes, words
 WINDOW = 20
 CHUNK_WINDOWS = 1 << 20
 BUCKET_CHARS = 24 << 20
+#: Buckets at least, so that small inputs are spread over tasks too.
+MIN_BUCKETS = 64
 LEXER = Lexer.separated_by(WHITE_SPACE)
 #: Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
@@ -244,7 +246,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.xxhash64(F.col(text_col)).alias("mark"),
                        F.col(text_col).alias("text"))
     chars = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-chars // BUCKET_CHARS))
+    buckets = max(MIN_BUCKETS, -(-chars // BUCKET_CHARS))
     entries = base.select("key", "mark", "text").mapInArrow(_emit(buckets, window), _ENTRY)
     repeats = entries.groupBy("bucket").applyInArrow(_repeats, _REPEAT)
     by_text = repeats.groupBy("key", "mark").agg(F.collect_list("starts").alias("starts"))
