@@ -1,126 +1,173 @@
-"""Line dedup as an exact set-similarity join, in DataFrame operations only.
-
-Lines with the same set of words form a class, known by its first line. Each
-class's words are ordered by rarity; its prefix, long enough that two classes
-above the threshold must share a word in it, is joined with the other
-classes' prefixes. Length, positional and parity filters are conditions of
-that join; what passes is verified on the words themselves.
-
-Rarity is the number of lines in the word's bucket (``RARITY_BUCKETS``
-buckets of word hashes, counted over all lines), ties by hash: any total order
-of the words gives the exact result, a truer one fewer candidates. The counts
-have a fixed size, so they reach the tasks as one value.
+"""Line dedup as an exact set-similarity join.
+
+Lines with the same set of words (by a 128-bit hash of the set) form a class,
+known by its first line. Each class's words are ordered by rarity; its prefix,
+long enough that two classes above the threshold must share a word in it, is
+joined with the other classes' prefixes. Length, positional and parity filters
+are conditions of that join; what passes is verified on the words themselves.
+
+Rarity is the rank of the word's bucket (``RARITY_BUCKETS`` buckets of word
+hashes) by the words counted in it over all lines, ties by hash: any total
+order of the words gives the exact result, a truer one fewer candidates.
+
+Lines are described by tasks in Python (the README has the figures of the form
+in DataFrame operations only); everything after that is joins and groups.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmart.session import materialize
 
+from .keyed import keyed
+from .words import WHITE_SPACE, Lexer, mix, pieces, words
+
 RARITY_BUCKETS = 1 << 16
 #: Threshold 4/5 in whole numbers.
 UP, DOWN = 4, 5
 #: Candidate lines that are sent to all tasks to find their words; more are joined by a shuffle.
 BROADCAST_LINES = 500_000
-NO_ID = (1 << 63) - 1
-_HASH_BITS = 40
-
-
-def line_words(line: Column) -> Column:
-    """Distinct words of a line, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(
-        line, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("key", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line_no",
-                                                                                   "line"))
-
-
-def _bucket(word_hash: Column) -> Column:
-    return F.pmod(word_hash, F.lit(RARITY_BUCKETS)).cast("int")
-
-
-def _rarity(docs: DataFrame) -> Column:
-    """One array: words counted per bucket of word hashes, as a scalar subquery."""
-    spark = docs.sparkSession
-    seen = docs.select(F.explode(F.regexp_extract_all(
-        "text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))).alias("word")).select(
-        _bucket(F.xxhash64("word")).alias("bucket"))
-    counts = seen.groupBy("bucket").agg(F.count("*").alias("n")).unionByName(
-        spark.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"),
-                                           F.lit(0).cast("long").alias("n")))
-    counts = materialize(counts.groupBy("bucket").agg(F.sum("n").alias("n")), "rarity")
-    return counts.agg(F.sort_array(F.collect_list(F.struct("bucket", "n")))["n"]).scalar()
-
-
-def _described(docs: DataFrame) -> DataFrame:
-    """Every line with a word: its place, class (hash of its word set), size, prefix, parity."""
-    counts = _rarity(docs)
-    top = F.lit((1 << (62 - _HASH_BITS)) - 1).cast("long")
-    low = F.lit((1 << _HASH_BITS) - 1).cast("long")
-
-    def order(h: Column) -> Column:
-        return F.shiftleft(F.least(F.element_at("rarity", _bucket(h) + 1), top),
-                           _HASH_BITS).bitwiseOR(h.bitwiseAND(low))
-
-    n = F.col("size")
-    length = n - F.floor((UP * n + DOWN - 1) / DOWN).cast("int") + 1
-    return (_lines(docs)
-            .select("key", "mark", "line_no", line_words(F.col("line")).alias("words"))
-            .filter(F.size("words") > 0)
-            .select("key", "mark", "line_no",
-                    F.unhex(F.md5(F.concat_ws(" ", "words"))).alias("cls"),
-                    F.size("words").alias("size"),
-                    F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
-                    counts.alias("rarity"))
-            .select("key", "mark", "line_no", "cls", "size",
-                    F.slice(F.sort_array(F.transform("hashes", order)), F.lit(1), length).alias(
-                        "prefix"),
-                    F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(
-                        F.call_function("shiftleft", F.lit(1).cast("long"),
-                                        h.bitwiseAND(F.lit(63)).cast("int")))).alias("parity")))
+LEXER = Lexer.separated_by(WHITE_SPACE)
+_SALT = np.uint64(0xA0761D6478BD642F)
+_LINE = ("key long, mark long, line_no int, c1 long, c2 long, size int, p1 long, p2 long, "
+         "prefix array<long>")
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(RARITY_BUCKETS - 1)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for piece in pieces(batch.column("text")):
+            total += np.bincount(_bucket(words(piece, LEXER).hash), minlength=RARITY_BUCKETS)
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])],
+                                     names=["bucket", "n"])
+
+
+def rarity_ranks(texts: DataFrame) -> np.ndarray:
+    """Rank of every bucket of word hashes, rarest first, by the words of all texts."""
+    rows = texts.mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).collect()
+    n = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for r in rows:
+        n[r.bucket] = r.n
+    rank = np.empty(RARITY_BUCKETS, dtype=np.uint64)
+    rank[np.argsort(n, kind="stable")] = np.arange(RARITY_BUCKETS, dtype=np.uint64)
+    return rank
+
+
+def _describe(rank: np.ndarray):
+    """Every line with a word: place, class, size, parity of its words in 128 bits, prefix."""
+    rest = np.uint64(RARITY_BUCKETS.bit_length() - 1)
+    up = np.uint64(64) - rest - np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = np.asarray(batch.column("key"))
+            mark = np.asarray(batch.column("mark"))
+            for piece in pieces(batch.column("text")):
+                found = words(piece, LEXER)
+                if not len(found.hash):
+                    continue
+                feeds = np.concatenate(([0], np.cumsum(piece.data == 10)))
+                line = feeds[found.start] + found.doc
+                # 16 bits of rank stand for the bucket's 16 bits, then the others but one
+                order = (rank[_bucket(found.hash)] << up) | (found.hash >> rest >> np.uint64(1))
+                at = np.lexsort((order, line))
+                line, order, h = line[at], order[at], found.hash[at]
+                new = np.concatenate(([True], (line[1:] != line[:-1]) | (order[1:] != order[:-1])))
+                line, order, h, doc = line[new], order[new], h[new], found.doc[at][new]
+                begin = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+                size = np.diff(np.append(begin, len(line)))
+                bit = np.uint64(1) << (mix(h ^ _SALT) & np.uint64(63))
+                half = (h >> np.uint64(40) & np.uint64(1)).astype(bool)
+                p1 = np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), begin)
+                p2 = np.bitwise_xor.reduceat(np.where(half, np.uint64(0), bit), begin)
+                c1 = np.add.reduceat(mix(h + _SALT), begin)
+                c2 = np.add.reduceat(mix(h * _SALT), begin)
+                length = size - (UP * size + DOWN - 1) // DOWN + 1
+                upto = np.cumsum(length)
+                take = np.arange(int(upto[-1])) + np.repeat(begin - (upto - length), length)
+                doc = doc[begin]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[piece.lo + doc]), pa.array(mark[piece.lo + doc]),
+                     pa.array((line[begin] - doc - feeds[piece.offsets[doc]]).astype(np.int32)),
+                     pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)),
+                     pa.array(size.astype(np.int32)), pa.array(p1.view(np.int64)),
+                     pa.array(p2.view(np.int64)),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.concatenate(([0], upto)).astype(np.int32)),
+                         pa.array(order[take].view(np.int64)))],
+                    names=["key", "mark", "line_no", "c1", "c2", "size", "p1", "p2", "prefix"])
+
+    return run
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
     """Pairs (later class's first line, earlier one's) that pass all filters."""
-    rows = classes.select("key", "line_no", "size", "parity",
+    rows = classes.select("key", "line_no", "size", "p1", "p2",
                           F.posexplode("prefix").alias("pos", "word"))
     a, b = rows.alias("a"), rows.alias("b")
     size = F.col("a.size") + F.col("b.size")
     # overlap >= UP / (UP + DOWN) * (sum of sizes), rounded up
     need = F.ceil(UP * size / (UP + DOWN))
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    odd = sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in ("p1", "p2")),
+              F.lit(0))
     ok = (((F.col("b.key") < F.col("a.key"))
            | ((F.col("b.key") == F.col("a.key")) & (F.col("b.line_no") < F.col("a.line_no"))))
           & (DOWN * F.least("a.size", "b.size") >= UP * F.greatest("a.size", "b.size"))
-          & (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= size - 2 * need)
-          & (rest >= need))
+          & (odd <= size - 2 * need) & (rest >= need))
     return a.join(b, (F.col("a.word") == F.col("b.word")) & ok).select(
         F.col("a.key").alias("key"), F.col("a.line_no").alias("line_no"),
         F.col("b.key").alias("key2"), F.col("b.line_no").alias("line_no2")).distinct()
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """First lines (key, line_no) that have an earlier line of Jaccard 4/5 or more."""
-    own = pairs.select("key", "line_no").unionByName(
-        pairs.select(F.col("key2").alias("key"), F.col("line_no2").alias("line_no")))
-    wanted = materialize(own.distinct(), "line-dedup")
+def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Distinct words of the wanted lines (key, line_no)."""
     by_key = wanted.select("key").distinct()
     if wanted.count() <= BROADCAST_LINES:
         wanted, by_key = F.broadcast(wanted), F.broadcast(by_key)
-    lines = _lines(docs.join(by_key, "key", "left_semi")).join(wanted, ["key", "line_no"])
-    words = lines.select("key", "mark", "line_no", line_words(F.col("line")).alias("words"))
-    words = materialize(words, "line-dedup")
+    lines = docs.join(by_key, "key", "left_semi").select("key", F.posexplode(
+        F.split("text", "\n", -1)).alias("line_no", "line")).join(wanted, ["key", "line_no"])
+    return materialize(lines.select("key", "line_no", F.array_distinct(F.array_remove(
+        F.split("line", r"[\x20\x09-\x0D]+", -1), "")).alias("words")), "line-dedup")
+
+
+def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Later lines (key, line_no) of pairs whose word sets are similar."""
     earlier = words.select(F.col("key").alias("key2"), F.col("line_no").alias("line_no2"),
                            F.col("words").alias("words2"))
     both = F.size(F.array_intersect("words", "words2"))
     found = pairs.join(words, ["key", "line_no"]).join(earlier, ["key2", "line_no2"])
     return found.filter(
         (UP + DOWN) * both >= UP * (F.size("words") + F.size("words2"))).select(
-        "key", "line_no", F.unhex(F.md5(F.concat_ws(" ", "words"))).alias("cls")).distinct()
+        "key", "line_no").distinct()
+
+
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """First lines (key, line_no) that have an earlier line of Jaccard 4/5 or more.
+
+    One match is enough, so every line is first compared with its earliest
+    candidate, and only lines that this leaves open with all others.
+    """
+    own = pairs.select("key", "line_no").unionByName(
+        pairs.select(F.col("key2").alias("key"), F.col("line_no2").alias("line_no")))
+    words = _words_of(docs, materialize(own.distinct(), "line-dedup"))
+    earliest = pairs.groupBy("key", "line_no").agg(
+        F.min(F.struct("key2", "line_no2")).alias("at")).select("key", "line_no", "at.*")
+    first = materialize(_matches(earliest, words), "line-dedup")
+    rest = pairs.join(first, ["key", "line_no"], "left_anti")
+    return first.unionByName(_matches(rest, words))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,21 +189,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
       earlier nor later.
     * Empty table: no rows. Other columns of ``docs`` are not read.
     """
-    base = docs.select(F.col(id_col).alias("id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
-                       F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
-    lines = materialize(_described(base), "line-dedup")
-    first = lines.groupBy("cls").agg(
+    base = keyed(docs, id_col, text_col)
+    lines = materialize(base.select("key", "mark", "text").mapInArrow(
+        _describe(rarity_ranks(base.select("text"))), _LINE), "line-dedup")
+    classes = lines.groupBy("c1", "c2").agg(
         F.min(F.struct("key", "line_no")).alias("first"), F.first("size").alias("size"),
-        F.first("prefix").alias("prefix"), F.first("parity").alias("parity"))
-    classes = first.select("cls", "first.key", "first.line_no", "size", "prefix", "parity")
+        *(F.first(c).alias(c) for c in ("p1", "p2", "prefix")))
     # sets of up to three words match only their equals
-    pairs = materialize(_candidates(classes.filter(F.col("size") > 3)), "line-dedup")
-    matched = _verified(base, pairs).select("cls").distinct().withColumn("matched", F.lit(True))
-    heads = lines.groupBy("cls").agg(F.min(F.struct("key", "line_no")).alias("first"))
-    heads = heads.join(matched, "cls", "left").select(
-        "cls", "first", F.coalesce("matched", F.lit(False)).alias("matched"))
-    gone = lines.select("key", "mark", "line_no", "cls").join(heads, "cls").filter(
+    pairs = materialize(_candidates(classes.filter(F.col("size") > 3).select(
+        "first.*", "size", "p1", "p2", "prefix")), "line-dedup")
+    matched = _verified(base, pairs).withColumn("matched", F.lit(True))
+    heads = lines.groupBy("c1", "c2").agg(F.min(F.struct("key", "line_no")).alias("first"))
+    heads = heads.select("c1", "c2", "first.*").join(matched, ["key", "line_no"], "left").select(
+        "c1", "c2", F.struct("key", "line_no").alias("first"),
+        F.coalesce("matched", F.lit(False)).alias("matched"))
+    gone = lines.select("key", "mark", "line_no", "c1", "c2").join(heads, ["c1", "c2"]).filter(
         F.col("matched") | (F.struct("key", "line_no") > F.col("first")))
     by_row = gone.select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))

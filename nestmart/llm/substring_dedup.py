@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keyed import keyed
 from .words import WHITE_SPACE, Lexer, pieces, spans, window_hashes, words
 
 WINDOW = 20
@@ -34,8 +35,6 @@ BUCKET_CHARS = 24 << 20
 #: Buckets at least, so that small inputs are spread over tasks too.
 MIN_BUCKETS = 64
 LEXER = Lexer.separated_by(WHITE_SPACE)
-#: Rows without an id come after all others.
-NO_ID = (1 << 63) - 1
 
 _ENTRY = ("bucket int, local boolean, keys binary, marks binary, counts binary, "
           "places binary, n long, hashes binary")
@@ -241,10 +240,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       earlier nor later, so repeated rows keep what one of them would.
     * Empty table: no rows.
     """
-    base = docs.select(F.col(id_col).alias("id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
-                       F.xxhash64(F.col(text_col)).alias("mark"),
-                       F.col(text_col).alias("text"))
+    base = keyed(docs, id_col, text_col)
     chars = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, -(-chars // BUCKET_CHARS))
     entries = base.select("key", "mark", "text").mapInArrow(_emit(buckets, window), _ENTRY)
