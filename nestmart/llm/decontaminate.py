@@ -96,6 +96,8 @@ def build_index(found: dict[tuple[bytes, ...], list[str]], count: dict[bytes, in
 
 def _candidates(index: Index, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first word, window) of every place where a window's prefix word stands."""
+    if not len(index.rare):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     at = np.searchsorted(index.rare, h)
     at[at == len(index.rare)] = 0
     hit = np.flatnonzero(index.rare[at] == h)

@@ -115,21 +115,22 @@ class Model:
             if own is not None:
                 yield k, own
 
-    def best(self, s: str, begin: int, until: int) -> tuple[np.ndarray, np.ndarray]:
+    def best(self, s: str, begin: int, until: int) -> tuple[list[float], list[int]]:
         """Score of, and last piece's start on, the best path from ``begin`` to every place.
 
         Pieces start before ``until`` and may end after it. Of equal scores the
         longest last piece stays.
         """
-        total = np.full(len(s) + 1, LOST)
-        start = np.full(len(s) + 1, -1, dtype=np.int64)
+        total = [LOST] * (len(s) + 1)
+        start = [-1] * (len(s) + 1)
         total[begin] = 0.0
         for p in range(begin, until):
-            if total[p] == LOST:
+            here = total[p]
+            if here == LOST:
                 continue
             for k, own in self.edges(s, p):
-                if total[p] + own > total[p + k]:
-                    total[p + k], start[p + k] = total[p] + own, p
+                if here + own > total[p + k]:
+                    total[p + k], start[p + k] = here + own, p
         return total, start
 
     def ids(self, piece: str) -> list[int]:
@@ -141,7 +142,7 @@ class Model:
         _, start = self.best(s, begin, until)
         cuts = [end]
         while cuts[-1] != begin:
-            cuts.append(int(start[cuts[-1]]))
+            cuts.append(start[cuts[-1]])
         cuts.reverse()
         return [i for a, b in zip(cuts, cuts[1:], strict=False) for i in self.ids(s[a:b])]
 
@@ -166,7 +167,7 @@ class Model:
     def word_score(self, word: str) -> float:
         found = self.scores.get(word)
         if found is None:
-            found = float(self.best(word, 0, len(word))[0][len(word)])
+            found = self.best(word, 0, len(word))[0][len(word)]
             if len(self.scores) > MEMO:
                 self.scores.clear()
             if len(word) <= MEMO_CHARS:
@@ -214,7 +215,7 @@ class Model:
         head = np.array([self.best(s[:first], i, first)[0][first]
                          for i in range(min(n, first + 1))])
         middle = sum(map(self.word_score, self.split(s[first:last])))
-        tail = self.best(s, last, size)[0][size:size + n]
+        tail = np.array(self.best(s, last, size)[0][size:size + n])
         out[:len(head), :len(tail)] = head[:, None] + middle + tail[None, :]
         return out
 
