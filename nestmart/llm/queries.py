@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate, hit_words, is_contaminated
 from .langid import fit_languages, held_out, predict_languages
 from .line_dedup import line_dedup
+from .oracles import ORACLES
 from .page_text import main_text
 from .pieces import decode, encode
 from .quality import MIN_WORDS, quality_scores
@@ -104,4 +105,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_decontaminate, op4_quality, op5_langid, op6_toxicity,
     op7_pieces, op8_page_text, op9_secrets, op10_substring_dedup)}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
