@@ -67,16 +67,20 @@ GROSS_STRIP = r"\$|,"   # worldwide gross: dollar sign and thousands separators
 PLAIN_STRIP = ","       # opening and budget: thousands separators only
 
 
-# Fixed value: what a non-ANSI string-to-long cast accepts (a fraction is truncated).
-WHOLE_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
+# What a non-ANSI string-to-long cast accepts (a fraction is truncated, no
+# digit before the point is 0), and the characters that it trims.
+WHOLE_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
+TRIMMED = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def string_to_long(c: ColumnOrName) -> Column:
     """String to bigint the way a non-ANSI cast does it: ``' 12 '`` → 12,
-    ``'1234.5'`` → 1234; anything else (blank, dash, exponent, overflow) → NULL."""
-    s = F.trim(_col(c))
+    ``'1234.5'`` → 1234, ``'.5'`` → 0; anything else (blank, dash, exponent, overflow) → NULL."""
+    s = F.regexp_replace(_col(c), TRIMMED, "")
+    whole = F.regexp_extract(s, r"^([+-]?[0-9]+)", 1)
     return F.when(s.rlike(WHOLE_NUMBER),
-                  try_cast(F.regexp_extract(s, r"^([+-]?[0-9]+)", 1), "bigint"))
+                  F.when(whole == "", F.lit(0).cast("bigint")).otherwise(
+                      try_cast(whole, "bigint")))
 
 
 def money_to_long(c: ColumnOrName, strip_dollar: bool) -> Column:

@@ -21,7 +21,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> Da
     """One row per key, chosen deterministically (AG-7).
 
     The winner is the row whose struct ``(prefer..., other columns...)`` is
-    smallest. ``min`` of a struct aggregates partially on the map side, so a
+    smallest, a NULL counting as larger than any value. ``min`` of a struct aggregates partially on the map side, so a
     key holding a large share of the rows is reduced to one row per input
     partition before the shuffle, instead of landing whole on one task as a
     window ``row_number`` would make it. Column order of ``df`` is kept.
@@ -31,7 +31,9 @@ def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> Da
     if not rest:
         return df.select(*keys).distinct()
     order = [c for c in prefer if c in rest] + [c for c in rest if c not in prefer]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_pick"))
+    picked = df.groupBy(*keys).agg(
+        F.min(F.struct(*(x for c in order
+                         for x in (F.col(c).isNull().alias(f"_no_{c}"), c)))).alias("_pick"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_pick.{c}").alias(c)
                            for c in df.columns])
 

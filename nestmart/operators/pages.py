@@ -108,6 +108,7 @@ class _TreeBuilder(HTMLParser):
         self.cur.children.append(data)
 
 
+_HIDING = re.compile(r"<!--|<(?:script|style|textarea|title|xmp|iframe|noscript)\b", re.IGNORECASE)
 _DIV_START = re.compile(r"<div\b[^<>]*\bclass\s*=\s*[\"']?([^\"'<>]*)", re.IGNORECASE)
 
 
@@ -134,7 +135,8 @@ def _summary_block(html: str) -> _Node | None:
     """
     at = html.find(SUMMARY_CLASS)
     tag_start = html.rfind("<", 0, at)
-    if tag_start >= 0:
+    # a tag inside a comment, script or style is none: such pages are parsed whole
+    if tag_start >= 0 and not _HIDING.search(html, 0, at):
         m = _DIV_START.match(html, tag_start)
         if m and SUMMARY_CLASS in m.group(1).split() and m.end() >= at:
             root = _parse(html[tag_start:], stop_after_first=SUMMARY_CLASS)
@@ -149,6 +151,14 @@ def _clean(s: str) -> str:
 
 def extract_one(html: str | None) -> tuple[str, str, str]:
     """(domestic_opening, worldwide_gross, budget) of one page, blanks on failure."""
+    blank = ("", "", "")
+    try:
+        return _figures(html)
+    except Exception:  # noqa: BLE001 - a page that can't be read has no figures
+        return blank
+
+
+def _figures(html: str | None) -> tuple[str, str, str]:
     blank = ("", "", "")
     if not html or SUMMARY_CLASS not in html:
         # No summary block can exist without its class name in the text.
@@ -195,21 +205,8 @@ def box_office_figures(html: Column) -> Column:
     return _extract_batch(F.when(html.contains(SUMMARY_CLASS), html))
 
 
-def spread_for_python(df: DataFrame) -> DataFrame:
-    """Make sure a CPU-heavy Python step gets at least one task per core.
-
-    Large inputs already arrive in many file splits and are left alone (no
-    shuffle); a small input that fits one split would otherwise be parsed by a
-    single Python worker, so it is spread round-robin over the cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def extract_box_office(pages: DataFrame, key: str = "imdb_id", html: str = "html") -> DataFrame:
     """``(key, domestic_opening, worldwide_gross, budget)`` as strings, one row per page."""
-    return spread_for_python(pages).select(
+    return pages.select(
         key, box_office_figures(F.col(html)).alias("_f")).select(
         key, *[F.col(f"_f.{f}").alias(f) for f in FIELDS])

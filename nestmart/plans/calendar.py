@@ -72,6 +72,9 @@ def join_calendar(facts: DataFrame, date_col: str, calendar: DataFrame,
                   calendar_days: int | None = None) -> DataFrame:
     """Star join of facts to the calendar on the fact's date (JO-6).
 
+    Every fact is kept: one without a date, or with a date outside the
+    calendar, has NULL calendar columns.
+
     The calendar holds one row per day, so its size is bounded by the span
     it covers; it is broadcast when that span (passed as ``calendar_days``)
     is under ``BROADCAST_MAX_DAYS`` and otherwise left to the planner.
@@ -79,7 +82,7 @@ def join_calendar(facts: DataFrame, date_col: str, calendar: DataFrame,
     cal = calendar
     if calendar_days is not None and calendar_days <= BROADCAST_MAX_DAYS:
         cal = F.broadcast(calendar)
-    return facts.join(cal, F.col(date_col).cast("date") == cal["date_id"])
+    return facts.join(cal, F.col(date_col).cast("date") == cal["date_id"], "left")
 
 
 def span_days(df: DataFrame, date_col: str) -> int:

@@ -20,12 +20,12 @@ CAST_MAX_ORDER = 20                                  # 0-based, inclusive: 21 pe
 ZERO_IS_UNKNOWN = ("budget", "revenue")              # 0 means "not known" for these only
 
 # Raw nested field -> clean field name and type, per array.
-GENRE_FIELDS = [("id", "genre_id", "int"), ("name", "genre_name", None)]
-COMPANY_FIELDS = [("id", "company_id", "int"), ("name", "company_name", None),
+GENRE_FIELDS = [("id", "genre_id", "bigint"), ("name", "genre_name", None)]
+COMPANY_FIELDS = [("id", "company_id", "bigint"), ("name", "company_name", None),
                   ("origin_country", "company_country", None)]
-CAST_FIELDS = [("id", "person_id", "int"), ("gender", "gender", "int"), ("name", "name", None),
+CAST_FIELDS = [("id", "person_id", "bigint"), ("gender", "gender", "int"), ("name", "name", None),
                ("order", "order", "int"), ("known_for_department", "department", None)]
-CREW_FIELDS = [("id", "person_id", "int"), ("gender", "gender", "int"), ("name", "name", None),
+CREW_FIELDS = [("id", "person_id", "bigint"), ("gender", "gender", "int"), ("name", "name", None),
                ("department", "department", None), ("job", "job", None)]
 
 
@@ -38,7 +38,7 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
     NULL for budget and revenue.
     """
     typed = raw.select(
-        try_cast("id", "int").alias("id"),
+        try_cast("id", "bigint").alias("id"),
         "imdb_id",
         "original_title",
         "title",
@@ -62,7 +62,7 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
 def clean_credits(raw: DataFrame) -> DataFrame:
     """Typed credits, one row per film, cast and crew still nested."""
     typed = raw.select(
-        try_cast("id", "int").alias("movie_id"),
+        try_cast("id", "bigint").alias("movie_id"),
         retype_entries("cast", CAST_FIELDS).alias("cast"),
         retype_entries("crew", CREW_FIELDS).alias("crew"),
     )

@@ -74,7 +74,17 @@ def stage_day(staging: dict[str, DataFrame], database: str | None) -> None:
 def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt.date,
                    buckets: int | None = None, replace_day: bool = False,
                    keep_staging: bool = False) -> None:
-    """Merge the staged day into the live tables, swap, drop staging (CJ-8)."""
+    """Merge the staged day into the live tables, swap, drop staging (CJ-8).
+
+    A day that broke off can be run again: swaps that broke off are undone
+    first, and a table that already carries the day is left as it is (with
+    ``replace_day`` it is merged again, replacing the day's entries).
+    """
+    for table in tables.STAGED:
+        tables.recover_table(spark, database, table)
+    todo = [t for t in tables.STAGED
+            if replace_day or tables.published_day(spark, database, t) != str(run_date)]
+
     def merge_one(table: str) -> None:
         n = choose_buckets(spark, database, table, buckets)
         stored = stored_or_empty(spark, database, table)
@@ -82,10 +92,11 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
         merged = MERGES[table](stored, staged, run_date, replace_day)
         tables.create_table_as(merged, database, f"{table}__next",
                                bucket_by=schemas.KEYS[table], buckets=n)
+        tables.set_published(spark, database, f"{table}__next", str(run_date))
 
     # The three merges are independent; all must succeed before any swap.
-    run_all({t: (lambda t=t: merge_one(t)) for t in tables.STAGED})
-    for table in tables.STAGED:
+    run_all({t: (lambda t=t: merge_one(t)) for t in todo})
+    for table in todo:
         tables.swap_table(spark, database, f"{table}__next", table)
     if not keep_staging:
         tables.drop_staging(spark, database)

@@ -84,19 +84,19 @@ RAW_SCHEMAS = {
 # ---------------------------------------------------------------- clean layer
 
 CLEAN_MOVIE_DETAILS = T.StructType([
-    T.StructField("movie_id", T.IntegerType()),
+    T.StructField("movie_id", T.LongType()),
     T.StructField("imdb_id", T.StringType()),
     T.StructField("original_title", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("budget", T.LongType()),
     T.StructField("genres", T.ArrayType(T.StructType([
-        T.StructField("genre_id", T.IntegerType()),
+        T.StructField("genre_id", T.LongType()),
         T.StructField("genre_name", T.StringType()),
     ]))),
     T.StructField("origin_country", T.ArrayType(T.StringType())),
     T.StructField("popularity", T.FloatType()),
     T.StructField("production_companies", T.ArrayType(T.StructType([
-        T.StructField("company_id", T.IntegerType()),
+        T.StructField("company_id", T.LongType()),
         T.StructField("company_name", T.StringType()),
         T.StructField("company_country", T.StringType()),
     ]))),
@@ -108,8 +108,8 @@ CLEAN_MOVIE_DETAILS = T.StructType([
 ])
 
 CLEAN_CAST = T.StructType([
-    T.StructField("movie_id", T.IntegerType()),
-    T.StructField("person_id", T.IntegerType()),
+    T.StructField("movie_id", T.LongType()),
+    T.StructField("person_id", T.LongType()),
     T.StructField("gender", T.IntegerType()),
     T.StructField("name", T.StringType()),
     T.StructField("order", T.IntegerType()),
@@ -117,8 +117,8 @@ CLEAN_CAST = T.StructType([
 ])
 
 CLEAN_CREW = T.StructType([
-    T.StructField("movie_id", T.IntegerType()),
-    T.StructField("person_id", T.IntegerType()),
+    T.StructField("movie_id", T.LongType()),
+    T.StructField("person_id", T.LongType()),
     T.StructField("gender", T.IntegerType()),
     T.StructField("name", T.StringType()),
     T.StructField("department", T.StringType()),

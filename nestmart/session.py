@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         # Only reached in bare local sessions (tests): no cluster folder exists.
         configured = tempfile.mkdtemp(prefix="nestmart-ckpt-")
     sc.setCheckpointDir(configured)

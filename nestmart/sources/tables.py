@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 STAGED = ("movies", "credits", "production_companies")
+PREVIOUS = "__prev"
+PUBLISHED = "nestmart.published"
 
 
 def qualified(database: str | None, table: str) -> str:
@@ -90,9 +92,46 @@ def drop_staging(spark: SparkSession, database: str | None,
 
 
 def swap_table(spark: SparkSession, database: str | None, new: str, live: str) -> None:
-    """Drop ``live`` and rename ``new`` into its place (IO-10).
+    """Put ``new`` in the place of ``live`` (IO-10): ``live`` steps aside, ``new`` is
+    renamed, and only then the old version is dropped.
 
-    Not atomic: a reader between the two statements finds no table.
+    Not atomic, but no statement leaves fewer than one whole version:
+    :func:`recover_table` finishes or undoes a swap that broke off.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {qualified(database, live)}")
-    spark.sql(f"ALTER TABLE {qualified(database, new)} RENAME TO {qualified(database, live)}")
+    recover_table(spark, database, live)
+    if table_exists(spark, database, live):
+        _rename(spark, database, live, f"{live}{PREVIOUS}")
+    _rename(spark, database, new, live)
+    spark.sql(f"DROP TABLE IF EXISTS {qualified(database, live + PREVIOUS)}")
+
+
+def _rename(spark: SparkSession, database: str | None, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {qualified(database, old)} RENAME TO {qualified(database, new)}")
+
+
+def recover_table(spark: SparkSession, database: str | None, live: str) -> None:
+    """Make ``live`` whole again after a swap that broke off.
+
+    The old version stands aside only while its successor is complete: without
+    ``live`` the old version comes back (the day is then merged again); with
+    ``live`` the swap was done and the old version goes.
+    """
+    if not table_exists(spark, database, f"{live}{PREVIOUS}"):
+        return
+    if table_exists(spark, database, live):
+        spark.sql(f"DROP TABLE {qualified(database, live + PREVIOUS)}")
+    else:
+        _rename(spark, database, f"{live}{PREVIOUS}", live)
+
+
+def set_published(spark: SparkSession, database: str | None, table: str, run_date: str) -> None:
+    """Record in the table's properties which day it was published for."""
+    spark.sql(f"ALTER TABLE {qualified(database, table)} "
+              f"SET TBLPROPERTIES ('{PUBLISHED}' = '{run_date}')")
+
+
+def published_day(spark: SparkSession, database: str | None, table: str) -> str | None:
+    if not table_exists(spark, database, table):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {qualified(database, table)}").collect()
+    return {r.key: r.value for r in rows}.get(PUBLISHED)

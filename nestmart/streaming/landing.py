@@ -4,8 +4,8 @@ The original runs the day's job from a scheduler, once per date, without
 catch-up runs. Here the landing step writes a one-row marker
 ``{lake}/landed/<date>/`` after the day's three raw datasets, and a
 Structured Streaming query over the markers runs the day's job in
-``foreachBatch``. The stream's checkpoint (under the shared
-``spark.checkpoint.dir``) records which markers were consumed, so each day is
+``foreachBatch``. The stream's checkpoint (``{lake}/_stream/<database>``
+unless another is given, so every launch finds it again) records which markers were consumed, so each day is
 published once; ``trigger(availableNow=True)`` processes whatever has landed
 and stops, which suits a periodic launch.
 
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from nestmart.plans.job import run_day
-from nestmart.session import scratch_path
 from nestmart.sources.tables import STAGED, table_exists
 
 MARKER_DIR = "landed"
@@ -48,7 +47,7 @@ def process_landed_days(spark: SparkSession, lake_root: str, database: str | Non
                         checkpoint: str | None = None, multi_line: bool = False,
                         buckets: int | None = None) -> str:
     """Publish every day landed since the last run, then stop; returns the checkpoint."""
-    checkpoint = checkpoint or scratch_path(spark, "landing-stream")
+    checkpoint = checkpoint or f"{lake_root.rstrip('/')}/_stream/{database or 'default'}"
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         # A batch holds one marker row per landed day: a handful of dates.

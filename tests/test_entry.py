@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from nestmart import fixtures
+from nestmart import fixtures, registry
 
 
 def test_entry_runs(spark):
@@ -17,7 +17,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(v):
@@ -42,7 +44,7 @@ def duck(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(registry.ORACLES))
 def test_query_matches_oracle(spark, sf_dir, duck, key):
     sdf = entry.queries()[key](spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]

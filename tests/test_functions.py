@@ -101,3 +101,36 @@ def test_dim_date_default_span(spark):
     assert (first.day_name, first.week_of_year, first.is_weekend) == ("Tuesday", 0, False)
     sunday = cal.where(F.col("date_id") == "2023-01-01").first()
     assert (sunday.day_of_week, sunday.week_of_year, sunday.is_weekend) == (1, 1, True)
+
+
+def test_money_follows_the_legacy_cast(spark):
+    from nestmart.functions.columns import string_to_long
+    rows = [(".5", 0), ("\t12\n", 12), ("12.", 12), ("-3.9", -3), ("", None), ("-", None),
+            ("1e3", None), (None, None)]
+    df = spark.createDataFrame(rows, "s string, want long")
+    got = df.select(string_to_long("s").alias("got"), "want").collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_dedupe_prefers_values_to_nulls(spark):
+    from nestmart.operators.keys import dedupe
+    df = spark.createDataFrame([(1, None, 4), (1, "Ann", 5)], "id int, name string, n int")
+    assert [tuple(r) for r in dedupe(df, ["id"]).collect()] == [(1, "Ann", 5)]
+
+
+def test_calendar_join_keeps_every_fact(spark):
+    from nestmart.plans.calendar import dim_date, join_calendar
+    facts = spark.createDataFrame([(1, "1994-05-05"), (2, None), (3, "2020-01-01")],
+                                  "id int, d string")
+    got = join_calendar(facts, "d", dim_date(spark)).select("id", "date_id").collect()
+    assert {r.id: r.date_id is not None for r in got} == {1: False, 2: False, 3: True}
+
+
+def test_pages_ignore_hidden_blocks_and_survive_depth():
+    from nestmart.operators.pages import extract_one
+    page = ('<div class="mojo-summary-table"><div class="mojo-performance-summary-table">'
+            '<div class="a-section"><span class="a-size-medium">{}</span></div></div>'
+            '<div class="mojo-summary-values"></div></div>')
+    assert extract_one(f"<!-- {page.format('$111')} -->{page.format('$5')}")[1] == "$5"
+    assert extract_one(f"<script>var a = '{page.format('$7')}'</script>") == ("", "", "")
+    assert extract_one(page.format("<i>" * 5000 + "$9")) == ("", "", "")

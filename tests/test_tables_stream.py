@@ -78,3 +78,21 @@ def test_landing_stream_runs_each_day_once(spark, scratch_db):
     land("2024-01-03", [1, 3])
     process_landed_days(spark, root, scratch_db, ckpt)
     assert sizes() == {1: 3, 2: 3, 3: 1}
+
+
+def test_broken_swap_is_recovered(spark, scratch_db):
+    from nestmart.sources import tables
+    df = spark.range(3)
+    tables.create_table_as(df, scratch_db, "t")
+    tables.create_table_as(spark.range(5), scratch_db, "t__next")
+    tables._rename(spark, scratch_db, "t", "t__prev")  # the driver dies here
+    tables.recover_table(spark, scratch_db, "t")
+    assert spark.table(f"{scratch_db}.t").count() == 3
+    tables.swap_table(spark, scratch_db, "t__next", "t")
+    assert spark.table(f"{scratch_db}.t").count() == 5
+    assert not tables.table_exists(spark, scratch_db, "t__prev")
+    tables.create_table_as(df, scratch_db, "t__prev")  # dies before the old version is dropped
+    tables.recover_table(spark, scratch_db, "t")
+    assert spark.table(f"{scratch_db}.t").count() == 5
+    tables.set_published(spark, scratch_db, "t", "2024-01-02")
+    assert tables.published_day(spark, scratch_db, "t") == "2024-01-02"
