@@ -6,6 +6,11 @@ long enough that two classes above the threshold must share a word in it, is
 joined with the other classes' prefixes. Length, positional and parity filters
 are conditions of that join; what passes is verified on the words themselves.
 
+One earlier match settles a line, so most lines of a large group of near copies
+need no look at the rest of the group: each class is first compared with its
+hubs, the first classes that share one of its ``HUBS`` min-hashes. Only classes
+which that leaves open look for partners in the prefix join, among all classes.
+
 Rarity is the rank of the word's bucket (``RARITY_BUCKETS`` buckets of word
 hashes) by the words counted in it over all lines, ties by hash: any total
 order of the words gives the exact result, a truer one fewer candidates.
@@ -33,10 +38,12 @@ RARITY_BUCKETS = 1 << 16
 UP, DOWN = 4, 5
 #: Candidate lines that are sent to all tasks to find their words; more are joined by a shuffle.
 BROADCAST_LINES = 500_000
+#: Min-hashes of a class; a pair of similarity s shares none with chance (1 - s) ** HUBS.
+HUBS = 3
 LEXER = Lexer.separated_by(WHITE_SPACE)
 _SALT = np.uint64(0xA0761D6478BD642F)
 _LINE = ("key long, mark long, line_no int, c1 long, c2 long, size int, p1 long, p2 long, "
-         "prefix array<long>")
+         "prefix array<long>, hubs array<long>")
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
@@ -94,6 +101,8 @@ def _describe(rank: np.ndarray):
                 p2 = np.bitwise_xor.reduceat(np.where(half, np.uint64(0), bit), begin)
                 c1 = np.add.reduceat(mix(h + _SALT), begin)
                 c2 = np.add.reduceat(mix(h * _SALT), begin)
+                hubs = np.stack([np.minimum.reduceat(mix(h ^ (_SALT * np.uint64(i + 2))), begin)
+                                 for i in range(HUBS)], axis=1)
                 length = size - (UP * size + DOWN - 1) // DOWN + 1
                 upto = np.cumsum(length)
                 take = np.arange(int(upto[-1])) + np.repeat(begin - (upto - length), length)
@@ -106,30 +115,58 @@ def _describe(rank: np.ndarray):
                      pa.array(p2.view(np.int64)),
                      pa.ListArray.from_arrays(
                          pa.array(np.concatenate(([0], upto)).astype(np.int32)),
-                         pa.array(order[take].view(np.int64)))],
-                    names=["key", "mark", "line_no", "c1", "c2", "size", "p1", "p2", "prefix"])
+                         pa.array(order[take].view(np.int64))),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.arange(0, HUBS * len(begin) + 1, HUBS, dtype=np.int32)),
+                         pa.array(hubs.reshape(-1).view(np.int64)))],
+                    names=["key", "mark", "line_no", "c1", "c2", "size", "p1", "p2", "prefix",
+                           "hubs"])
 
     return run
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (later class's first line, earlier one's) that pass all filters."""
-    rows = classes.select("key", "line_no", "size", "p1", "p2",
-                          F.posexplode("prefix").alias("pos", "word"))
-    a, b = rows.alias("a"), rows.alias("b")
+def _earlier() -> Column:
+    return ((F.col("b.key") < F.col("a.key"))
+            | ((F.col("b.key") == F.col("a.key")) & (F.col("b.line_no") < F.col("a.line_no"))))
+
+
+def _alike_in_size() -> Column:
+    return DOWN * F.least("a.size", "b.size") >= UP * F.greatest("a.size", "b.size")
+
+
+def _pair() -> list[Column]:
+    return [F.col("a.key").alias("key"), F.col("a.line_no").alias("line_no"),
+            F.col("b.key").alias("key2"), F.col("b.line_no").alias("line_no2")]
+
+
+def _hub_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (class's first line, hub's): the first class of each shared min-hash."""
+    rows = classes.select("key", "line_no", "size", F.explode("hubs").alias("hub"))
+    hubs = materialize(rows.groupBy("hub").agg(
+        F.min(F.struct("key", "line_no", "size")).alias("first"), F.count("*").alias("n")).filter(
+        "n > 1").select("hub", "first.*"), "line-dedup")
+    return rows.alias("a").join(
+        hubs.alias("b"), (F.col("a.hub") == F.col("b.hub")) & _earlier() & _alike_in_size()).select(
+        *_pair()).distinct()
+
+
+def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
+    """Pairs (open class's first line, any earlier class's) that pass all filters."""
+    def rows(classes: DataFrame) -> DataFrame:
+        return classes.select("key", "line_no", "size", "p1", "p2",
+                              F.posexplode("prefix").alias("pos", "word"))
+
     size = F.col("a.size") + F.col("b.size")
     # overlap >= UP / (UP + DOWN) * (sum of sizes), rounded up
     need = F.ceil(UP * size / (UP + DOWN))
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     odd = sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in ("p1", "p2")),
               F.lit(0))
-    ok = (((F.col("b.key") < F.col("a.key"))
-           | ((F.col("b.key") == F.col("a.key")) & (F.col("b.line_no") < F.col("a.line_no"))))
-          & (DOWN * F.least("a.size", "b.size") >= UP * F.greatest("a.size", "b.size"))
-          & (odd <= size - 2 * need) & (rest >= need))
-    return a.join(b, (F.col("a.word") == F.col("b.word")) & ok).select(
-        F.col("a.key").alias("key"), F.col("a.line_no").alias("line_no"),
-        F.col("b.key").alias("key2"), F.col("b.line_no").alias("line_no2")).distinct()
+    ok = _earlier() & _alike_in_size() & (odd <= size - 2 * need) & (rest >= need)
+    a = rows(still_open).alias("a")
+    found = [a.join(rows(b).alias("b"), (F.col("a.word") == F.col("b.word")) & ok).select(*_pair())
+             for b in (still_open, settled)]
+    return found[0].unionByName(found[1]).distinct()
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -155,19 +192,12 @@ def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """First lines (key, line_no) that have an earlier line of Jaccard 4/5 or more.
-
-    One match is enough, so every line is first compared with its earliest
-    candidate, and only lines that this leaves open with all others.
-    """
+    """Later lines (key, line_no) of candidate pairs whose Jaccard is 4/5 or more."""
+    pairs = materialize(pairs, "line-dedup")
     own = pairs.select("key", "line_no").unionByName(
         pairs.select(F.col("key2").alias("key"), F.col("line_no2").alias("line_no")))
     words = _words_of(docs, materialize(own.distinct(), "line-dedup"))
-    earliest = pairs.groupBy("key", "line_no").agg(
-        F.min(F.struct("key2", "line_no2")).alias("at")).select("key", "line_no", "at.*")
-    first = materialize(_matches(earliest, words), "line-dedup")
-    rest = pairs.join(first, ["key", "line_no"], "left_anti")
-    return first.unionByName(_matches(rest, words))
+    return materialize(_matches(pairs, words), "line-dedup")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,18 +222,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base = keyed(docs, id_col, text_col)
     lines = materialize(base.select("key", "mark", "text").mapInArrow(
         _describe(rarity_ranks(base.select("text"))), _LINE), "line-dedup")
-    classes = lines.groupBy("c1", "c2").agg(
-        F.min(F.struct("key", "line_no")).alias("first"), F.first("size").alias("size"),
-        *(F.first(c).alias(c) for c in ("p1", "p2", "prefix")))
+    classes = materialize(lines.groupBy("c1", "c2").agg(
+        F.min(F.struct("key", "line_no")).alias("first"), F.count("*").alias("n_lines"),
+        *(F.first(c).alias(c) for c in ("size", "p1", "p2", "prefix", "hubs"))).select(
+        "c1", "c2", "first.*", "n_lines", "size", "p1", "p2", "prefix", "hubs"), "line-dedup")
     # sets of up to three words match only their equals
-    pairs = materialize(_candidates(classes.filter(F.col("size") > 3).select(
-        "first.*", "size", "p1", "p2", "prefix")), "line-dedup")
-    matched = _verified(base, pairs).withColumn("matched", F.lit(True))
-    heads = lines.groupBy("c1", "c2").agg(F.min(F.struct("key", "line_no")).alias("first"))
-    heads = heads.select("c1", "c2", "first.*").join(matched, ["key", "line_no"], "left").select(
+    joined = classes.filter(F.col("size") > 3)
+    settled = _verified(base, _hub_pairs(joined))
+    matched = settled.unionByName(_verified(base, _candidates(
+        joined.join(settled, ["key", "line_no"], "left_anti"),
+        joined.join(settled, ["key", "line_no"], "left_semi"))))
+    heads = classes.select("c1", "c2", "key", "line_no", "n_lines").join(
+        matched.withColumn("matched", F.lit(True)), ["key", "line_no"], "left").filter(
+        "matched or n_lines > 1").select(
         "c1", "c2", F.struct("key", "line_no").alias("first"),
         F.coalesce("matched", F.lit(False)).alias("matched"))
-    gone = lines.select("key", "mark", "line_no", "c1", "c2").join(heads, ["c1", "c2"]).filter(
+    gone = lines.select("key", "mark", "line_no", "c1", "c2").join(
+        materialize(heads, "line-dedup"), ["c1", "c2"]).filter(
         F.col("matched") | (F.struct("key", "line_no") > F.col("first")))
     by_row = gone.select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))
