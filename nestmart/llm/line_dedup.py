@@ -42,6 +42,7 @@ BROADCAST_LINES = 500_000
 HUBS = 3
 LEXER = Lexer.separated_by(WHITE_SPACE)
 _SALT = np.uint64(0xA0761D6478BD642F)
+_HUB_SALTS = [np.uint64(int(_SALT) * (i + 2) % (1 << 64)) for i in range(HUBS)]
 _LINE = ("key long, mark long, line_no int, c1 long, c2 long, size int, p1 long, p2 long, "
          "prefix array<long>, hubs array<long>")
 
@@ -101,8 +102,8 @@ def _describe(rank: np.ndarray):
                 p2 = np.bitwise_xor.reduceat(np.where(half, np.uint64(0), bit), begin)
                 c1 = np.add.reduceat(mix(h + _SALT), begin)
                 c2 = np.add.reduceat(mix(h * _SALT), begin)
-                hubs = np.stack([np.minimum.reduceat(mix(h ^ (_SALT * np.uint64(i + 2))), begin)
-                                 for i in range(HUBS)], axis=1)
+                hubs = np.stack([np.minimum.reduceat(mix(h ^ salt), begin)
+                                 for salt in _HUB_SALTS], axis=1)
                 length = size - (UP * size + DOWN - 1) // DOWN + 1
                 upto = np.cumsum(length)
                 take = np.arange(int(upto[-1])) + np.repeat(begin - (upto - length), length)
@@ -134,6 +135,19 @@ def _alike_in_size() -> Column:
     return DOWN * F.least("a.size", "b.size") >= UP * F.greatest("a.size", "b.size")
 
 
+def _alike_in_parity(*parities: str) -> Column:
+    """At most as many words stand in one class only as the threshold allows."""
+    size = F.col("a.size") + F.col("b.size")
+    odd = sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in parities),
+              F.lit(0))
+    return odd <= size - 2 * _least_overlap()
+
+
+def _least_overlap() -> Column:
+    """UP / (UP + DOWN) * (sum of sizes), rounded up."""
+    return F.ceil(UP * (F.col("a.size") + F.col("b.size")) / (UP + DOWN))
+
+
 def _pair() -> list[Column]:
     return [F.col("a.key").alias("key"), F.col("a.line_no").alias("line_no"),
             F.col("b.key").alias("key2"), F.col("b.line_no").alias("line_no2")]
@@ -141,13 +155,14 @@ def _pair() -> list[Column]:
 
 def _hub_pairs(classes: DataFrame) -> DataFrame:
     """Pairs (class's first line, hub's): the first class of each shared min-hash."""
-    rows = classes.select("key", "line_no", "size", F.explode("hubs").alias("hub"))
+    rows = classes.select("key", "line_no", "size", F.col("p1").bitwiseXOR(F.col("p2")).alias("p"),
+                          F.explode("hubs").alias("hub"))
     hubs = materialize(rows.groupBy("hub").agg(
-        F.min(F.struct("key", "line_no", "size")).alias("first"), F.count("*").alias("n")).filter(
+        F.min(F.struct("key", "line_no", "size", "p")).alias("first"), F.count("*").alias("n")).filter(
         "n > 1").select("hub", "first.*"), "line-dedup")
     return rows.alias("a").join(
-        hubs.alias("b"), (F.col("a.hub") == F.col("b.hub")) & _earlier() & _alike_in_size()).select(
-        *_pair()).distinct()
+        hubs.alias("b"), (F.col("a.hub") == F.col("b.hub")) & _earlier() & _alike_in_size()
+        & _alike_in_parity("p")).select(*_pair()).distinct()
 
 
 def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
@@ -156,13 +171,9 @@ def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
         return classes.select("key", "line_no", "size", "p1", "p2",
                               F.posexplode("prefix").alias("pos", "word"))
 
-    size = F.col("a.size") + F.col("b.size")
-    # overlap >= UP / (UP + DOWN) * (sum of sizes), rounded up
-    need = F.ceil(UP * size / (UP + DOWN))
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
-    odd = sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in ("p1", "p2")),
-              F.lit(0))
-    ok = _earlier() & _alike_in_size() & (odd <= size - 2 * need) & (rest >= need)
+    ok = (_earlier() & _alike_in_size() & _alike_in_parity("p1", "p2")
+          & (rest >= _least_overlap()))
     a = rows(still_open).alias("a")
     found = [a.join(rows(b).alias("b"), (F.col("a.word") == F.col("b.word")) & ok).select(*_pair())
              for b in (still_open, settled)]
