@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from nestmart.llm import line_dedup as line_dedup_module
 from nestmart.llm import page_text, pieces
 from nestmart.llm.components import connected_components
 from nestmart.llm.decontaminate import decontaminate, hit_words
@@ -86,6 +87,21 @@ def test_line_dedup(docs):
     assert any(w[2] for w in want)
 
 
+def test_line_dedup_settles_near_copies_at_hubs(spark):
+    line = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*line[:i % 60], f"x{i}", *line[i % 60 + 1:]])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = line_dedup_module.keyed(docs, "doc_id", "text")
+    rank = line_dedup_module.rarity_ranks(base.select("text"))
+    classes = base.select("key", "mark", "text").mapInArrow(
+        line_dedup_module._describe(rank), line_dedup_module._LINE)
+    hub_pairs = line_dedup_module._hub_pairs(classes)
+    # each class meets at most one hub for each of its min-hashes
+    assert 150 <= hub_pairs.select("key").distinct().count() <= hub_pairs.count() <= 200 * 3
+    got = {r.doc_id: r.removed for r in line_dedup(docs).collect()}
+    assert got == {i: [0] if i else [] for i in range(200)}
+
+
 def test_drop_lines(spark):
     row = spark.createDataFrame([("a\n\nb\nc", [0, 3])], "t string, r array<int>")
     assert row.select(drop_lines(F.col("t"), F.col("r"))).first()[0] == "\nb"
