@@ -161,18 +161,26 @@ def append_series(stored: ColumnOrName, today: ColumnOrName, present_today: Colu
                   replace_day: bool = False) -> Column:
     """Stored series ++ today's entries, or ++ a placeholder when absent today.
 
-    NULL and empty stored arrays are treated alike. ``replace_day`` first drops
-    stored entries of ``run_date`` so a re-run of one date does not append a
-    second entry for it (off by default, as in the original daily merge).
+    NULL and empty stored arrays are treated alike. ``replace_day`` (off by
+    default, as in the original daily merge) makes a date safe to run again,
+    also after later dates: stored entries of ``run_date`` are replaced, the
+    series stays in date order (entries without a date first), and a film
+    whose first entry is later than ``run_date`` gains no placeholder.
     """
     empty = F.array().cast(T.ArrayType(element_type))
     old = F.coalesce(_col(stored), empty)
-    if replace_day:
-        old = F.filter(old, lambda m: ~F.coalesce(m["collect_date"] == run_date.cast("date"),
-                                                  F.lit(False)))
+    placeholder = F.array(metric_placeholder(run_date))
+    if not replace_day:
+        new = F.when(present_today, F.coalesce(_col(today), empty)).otherwise(placeholder)
+        return F.concat(old, new)
+    day = run_date.cast("date")
+    known = F.exists(old, lambda m: F.coalesce(m["collect_date"] <= day, F.lit(False)))
     new = F.when(present_today, F.coalesce(_col(today), empty)).otherwise(
-        F.array(metric_placeholder(run_date)))
-    return F.concat(old, new)
+        F.when(known, placeholder).otherwise(empty))
+    kept = F.filter(old, lambda m: ~m["collect_date"].eqNullSafe(day))
+    dated = F.transform(F.concat(kept, new),
+                        lambda m: F.struct(m["collect_date"].alias("on"), m.alias("entry")))
+    return F.sort_array(dated)["entry"]
 
 
 # ---------------------------------------------------------------- series summaries

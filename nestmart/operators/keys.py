@@ -38,6 +38,21 @@ def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> Da
                            for c in df.columns])
 
 
+def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str,
+                   salts: int = 16) -> DataFrame:
+    """Inner join of facts to a dimension on ``key``, with every key spread over ``salts`` tasks.
+
+    A fact's salt follows from its ``spread_by`` column, so a retried task
+    deals the same; the dimension's rows are repeated once per salt. A key
+    that holds a third of the facts thus fills ``salts`` shuffle partitions
+    at least, also where the dimension is stored bucketed by the key (a
+    bucketed side has no exchange, so the planner could not split it).
+    """
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys (non-NULL) that occur more than once, with their counts."""
     return (df.where(F.col(key).isNotNull()).groupBy(key).count()

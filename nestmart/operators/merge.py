@@ -48,6 +48,9 @@ def merge_movies(stored: DataFrame, staging: DataFrame, run_date: str | dt.date,
       and budget take today's value unless it is NULL; metrics = stored ++ today.
     - stored only: metrics gain a placeholder entry for ``run_date``.
     - staged only: inserted as staged.
+
+    With ``replace_day`` (see ``append_series``) the day may be older than what
+    is stored; a film that has later entries then keeps its stored money.
     """
     if check_unique:
         assert_unique(staging, "movie_id", "staging movies")
@@ -59,7 +62,12 @@ def merge_movies(stored: DataFrame, staging: DataFrame, run_date: str | dt.date,
 
     out = [F.when(in_t, F.col("t.movie_id")).otherwise(F.col("s.movie_id")).alias("movie_id")]
     out += [F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in MOVIE_STATIC]
-    out += [F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) for c in MOVIE_MONEY]
+    late = F.lit(False)
+    if replace_day:
+        late = F.coalesce(F.exists("t.metrics", lambda e: e["collect_date"] > day), late)
+    out += [F.when(late, F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")))
+            .otherwise(F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}"))).alias(c)
+            for c in MOVIE_MONEY]
     out.append(append_series(F.col("t.metrics"), F.col("s.metrics"), in_s, day,
                              schemas.METRIC, replace_day=replace_day).alias("metrics"))
     return joined.select(*out).to(schemas.MOVIES)

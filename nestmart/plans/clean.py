@@ -59,14 +59,22 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
         {c: zero_to_null(c) for c in ZERO_IS_UNKNOWN})
 
 
-def clean_credits(raw: DataFrame) -> DataFrame:
-    """Typed credits, one row per film, cast and crew still nested."""
+def clean_credits(raw: DataFrame, jobs: tuple[str, ...] = CREW_JOBS,
+                  max_order: int = CAST_MAX_ORDER) -> DataFrame:
+    """Typed credits, one row per film, cast and crew still nested.
+
+    Both arrays are cut to the kept entries first, so that the dedupe compares
+    and shuffles only those. Of several rows for a film, the smallest after
+    the cut stays.
+    """
     typed = raw.select(
         try_cast("id", "bigint").alias("movie_id"),
         retype_entries("cast", CAST_FIELDS).alias("cast"),
         retype_entries("crew", CREW_FIELDS).alias("crew"),
     )
-    return dedupe(require(typed, ["movie_id"]), ["movie_id"])
+    kept = typed.select("movie_id", keep_by_order("cast", max_order).alias("cast"),
+                        keep_values("crew", "job", jobs).alias("crew"))
+    return dedupe(require(kept, ["movie_id"]), ["movie_id"])
 
 
 def clean_crew(credits: DataFrame, jobs: tuple[str, ...] = CREW_JOBS) -> DataFrame:

@@ -92,7 +92,9 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
         merged = MERGES[table](stored, staged, run_date, replace_day)
         tables.create_table_as(merged, database, f"{table}__next",
                                bucket_by=schemas.KEYS[table], buckets=n)
-        tables.set_published(spark, database, f"{table}__next", str(run_date))
+        # an older day that is run again does not take the latest day's place
+        latest = max(str(run_date), tables.published_day(spark, database, table) or "")
+        tables.set_published(spark, database, f"{table}__next", latest)
 
     # The three merges are independent; all must succeed before any swap.
     run_all({t: (lambda t=t: merge_one(t)) for t in todo})

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestmart.functions.columns import keep_by_order, series_count, series_sum
+from nestmart.operators.keys import join_dimension
 from nestmart.operators.nested import explode_entries
 
 # Fixed value: the cast report keeps the top five billed people (0-based order <= 4).
@@ -114,16 +115,17 @@ def report_by_cast(movies: DataFrame, credits: DataFrame,
 def cast_with_names(movies: DataFrame, credits: DataFrame) -> DataFrame:
     """Cast entries with the person's name; people absent from credits drop (JO-3)."""
     cast = explode_entries(movies, ["movie_id"], "casts")
-    return cast.join(credits.select("person_id", "name"), "person_id")
+    return join_dimension(cast, credits.select("person_id", "name"), "person_id", "movie_id")
 
 
 def crew_with_names(movies: DataFrame, credits: DataFrame) -> DataFrame:
     """Crew entries with the person's name and department (JO-8)."""
     crew = explode_entries(movies, ["movie_id"], "crews")
-    return crew.join(credits.select("person_id", "name", "department"), "person_id")
+    return join_dimension(crew, credits.select("person_id", "name", "department"), "person_id",
+                          "movie_id")
 
 
 def film_companies(movies: DataFrame, companies: DataFrame) -> DataFrame:
     """Films to their production companies through the id array (JO-7)."""
     ids = movies.select("movie_id", F.explode("production_companies").alias("company_id"))
-    return ids.join(companies, "company_id")
+    return join_dimension(ids, companies, "company_id", "movie_id")

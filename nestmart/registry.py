@@ -852,6 +852,18 @@ def q_top_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(top_ids(read_id_export(spark, path), k=10_000))
 
 
+@register("top_ids_cut", """
+SELECT o_custkey AS id, CAST(count(*) AS DOUBLE) AS popularity
+FROM orders GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 50
+""")
+def q_top_ids_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 busiest customers: the cut falls among equal scores."""
+    from nestmart.operators.selection import top_ids
+    counts = fx.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        F.count("*").cast("double").alias("popularity"))
+    return presented(top_ids(counts, k=50))
+
+
 def _first_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses of the first fetch: errored events come back without a value."""
     ev = fx.table(spark, sf_dir, "events")
@@ -1018,6 +1030,22 @@ def q_calendar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "quarter_name", "is_weekend"))
 
 
+@register("film_calendar_join", oracle(["film"], """
+SELECT f.movie_id AS movie_id, f.title AS title, strftime(r.d, '%Y-%m-%d') AS release_date,
+       CAST(strftime(r.d, '%Y%m%d') AS BIGINT) AS date_key,
+       strftime(r.d, '%A') AS day_name
+FROM fx_film f JOIN kept k ON f.movie_id = k.movie_id
+LEFT JOIN (SELECT movie_id, TRY_CAST(release_date AS DATE) AS d FROM fx_film) r
+  ON f.movie_id = r.movie_id
+""", ORACLE_FILMS_KEPT))
+def q_film_calendar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Films to the calendar on their release date; films without a date stay."""
+    from nestmart.plans.calendar import dim_date_spanning, join_calendar
+    films = fx.film_table(spark, sf_dir).select("movie_id", "title", "release_date")
+    joined = join_calendar(films, "release_date", dim_date_spanning(films, "release_date"))
+    return presented(joined.select("movie_id", "title", "release_date", "date_key", "day_name"))
+
+
 # Lake round trips and schema conforming ------------------------------------------
 
 @register("raw_json_roundtrip", oracle(["film", "day", "line", "company"], """

@@ -118,3 +118,18 @@ def test_bucket_count_is_kept_and_grows(spark, scratch_db):
         assert publish.choose_buckets(spark, scratch_db, "production_companies", None) > 3
     finally:
         publish.TARGET_BUCKET_BYTES = old
+
+
+def test_older_day_run_again_after_later_ones(spark):
+    stored = merge_movies(film(spark, 1, budget=100),
+                          union(film(spark, 1, budget=300, day="2024-01-03", pop=3.0),
+                                film(spark, 2, day="2024-01-03", pop=5.0)), "2024-01-03")
+    late = film(spark, 1, budget=200, day="2024-01-02", pop=2.0)
+    out = {r.movie_id: r for r in
+           merge_movies(stored, late, "2024-01-02", replace_day=True).collect()}
+    assert [m.popularity for m in out[1].metrics] == [1.0, 2.0, 3.0]
+    assert out[1].movie_budget == 300            # money of the latest day stays
+    assert [m.popularity for m in out[2].metrics] == [5.0]   # no entry before its first day
+    absent = merge_movies(stored, film(spark, 9, day="2024-01-02"), "2024-01-02",
+                          replace_day=True).where("movie_id = 1").first()
+    assert [m.popularity for m in absent.metrics] == [1.0, None, 3.0]

@@ -8,7 +8,7 @@ import pytest
 
 from nestmart import fixtures as fx
 from nestmart import registry
-from nestmart.operators.keys import dedupe
+from nestmart.operators.keys import dedupe, join_dimension
 from nestmart.operators.merge import merge_movies
 from nestmart.plans import reports
 from nestmart.sources.tables import create_table_as, qualified
@@ -71,3 +71,12 @@ def test_model_has_no_cartesian_or_window(spark, sf_dir):
     text = plan(registry._day_staging(spark, sf_dir, 0)["movies"])
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Window" not in text
+
+
+def test_hot_person_is_dealt_to_many_partitions(spark, stored):
+    text = plan(reports.cast_with_names(stored["movies"], stored["credits"]))
+    assert "_salt" in text
+    films = spark.range(1000).selectExpr("id AS movie_id", "7L AS person_id")
+    people = spark.createDataFrame([(7, "a"), (8, "b")], "person_id long, name string")
+    joined = join_dimension(films, people, "person_id", "movie_id", salts=16)
+    assert joined.count() == 1000 and joined.columns == ["person_id", "movie_id", "name"]
