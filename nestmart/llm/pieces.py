@@ -153,7 +153,8 @@ class Model:
             memo.clear()
         new = [w for w in set(words) if w not in memo]
         short = [w for w in new if len(w) <= EXACT_CHARS]
-        for w, ids in zip(short, self.library.encode(short) if short else [], strict=True):
+        for w, ids in zip(short, self.library.encode(short, num_threads=1) if short else [],
+                          strict=True):
             memo[w] = array("i", ids).tobytes()
         for w in new:
             if len(w) > EXACT_CHARS:
