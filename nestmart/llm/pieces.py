@@ -98,7 +98,9 @@ class Model:
         known = "".join(map(re.escape, sorted(set("".join(self.score_of)) - {SPACE})))
         # a character that no piece holds stands alone
         self.split = re.compile(f"{SPACE}+[{known}]*|[{known}]+|.", re.DOTALL).findall
-        self.value = {i: b for b, i in self.bytes_of.items()}
+        value = {i: bytes([b]) for b, i in self.bytes_of.items()}
+        self.raw = [b"" if i in self.skipped else value.get(i, name.replace(SPACE, " ").encode())
+                    for i, name in enumerate(self.names)]
         trainer = _field(3, 0, b"\x01") + _field(35, 0, b"\x01")
         normal = _field(1, 2, b"identity") + b"".join(_field(k, 0, b"\x00") for k in (3, 4, 5))
         self.library = sentencepiece.SentencePieceProcessor(
@@ -180,13 +182,7 @@ class Model:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; unknown and control ids give nothing."""
-        out = bytearray()
-        for i in ids:
-            if i in self.value:
-                out.append(self.value[i])
-            elif i not in self.skipped:
-                out += self.names[i].replace(SPACE, " ").encode()
-        return out.decode("utf-8", "replace")[1:]
+        return b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace")[1:]
 
     def ends(self, s: str, size: int) -> tuple[int, int] | None:
         """First and last place of a chunk where a word begins after another."""
