@@ -43,7 +43,8 @@ MEMO_CHARS = 48
 #: Library sums are in single precision; longer words are scored here in double.
 EXACT_CHARS = 256
 UNKNOWN_PENALTY = 10.0
-BATCH_TOKENS = 1 << 20
+#: Texts whose new words are looked up together.
+GROUP_CHARS = 1 << 20
 #: Lower scores are read as this one, so that the library's sums are whole numbers below 2**24.
 FLOOR = -8e6
 LOST = float("-inf")
@@ -148,24 +149,33 @@ class Model:
         cuts.reverse()
         return [i for a, b in zip(cuts, cuts[1:], strict=False) for i in self.ids(s[a:b])]
 
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of words of up to ``MEMO_CHARS`` characters, by one library call."""
+        memo = self.memo
+        new = [w for w in words if w not in memo and len(w) <= MEMO_CHARS]
+        if new and len(memo) > MEMO:
+            memo.clear()
+            new = [w for w in words if len(w) <= MEMO_CHARS]
+        if new:
+            for w, ids in zip(new, self.library.encode(new, num_threads=1), strict=True):
+                memo[w] = array("i", ids).tobytes()
+
+    def rare(self, word: str) -> bytes:
+        """Ids (int32) of a word that is too long to be remembered."""
+        ids = (self.library.encode(word) if len(word) <= EXACT_CHARS
+               else self.trace(word, 0, len(word), len(word)))
+        return array("i", ids).tobytes()
+
     def words(self, words: list[str]) -> bytes:
         """Ids (int32) of whole words, one after the other."""
         memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [w for w in set(words) if w not in memo]
-        short = [w for w in new if len(w) <= EXACT_CHARS]
-        for w, ids in zip(short, self.library.encode(short, num_threads=1) if short else [],
-                          strict=True):
-            memo[w] = array("i", ids).tobytes()
-        for w in new:
-            if len(w) > EXACT_CHARS:
-                memo[w] = array("i", self.trace(w, 0, len(w), len(w))).tobytes()
-        out = b"".join([memo[w] for w in words])
-        for w in new:
-            if len(w) > MEMO_CHARS:
-                del memo[w]
-        return out
+        try:
+            return b"".join([memo[w] for w in words])
+        except KeyError:
+            distinct = set(words)
+        self.learn(distinct)
+        rare = {w: self.rare(w) for w in distinct if w not in memo}
+        return b"".join([rare[w] if w in rare else memo[w] for w in words])
 
     def word_score(self, word: str) -> float:
         found = self.scores.get(word)
@@ -177,8 +187,11 @@ class Model:
                 self.scores[word] = found
         return found
 
-    def encode(self, text: str) -> bytes:
-        return self.words(self.split(normal(text))) if text else b""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids (int32) of each text; their new words are learned together."""
+        split = [self.split(normal(t)) if t else [] for t in texts]
+        self.learn(set().union(*split))
+        return [self.words(w) for w in split]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; unknown and control ids give nothing."""
@@ -271,12 +284,12 @@ def _encode_short(data: bytes):
         for batch in batches:
             lo, held, size = 0, [], 0
             for i, t in enumerate(batch.column("text")):
-                held.append(model.encode(t.as_py() or ""))
-                size += len(held[-1]) // 4
-                if size >= BATCH_TOKENS or i + 1 == len(batch):
+                held.append(t.as_py() or "")
+                size += len(held[-1])
+                if size >= GROUP_CHARS or i + 1 == len(batch):
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").slice(lo, len(held)), _ids_column(held)],
-                        names=["id", "ids"])
+                        [batch.column("id").slice(lo, len(held)),
+                         _ids_column(model.encode(held))], names=["id", "ids"])
                     lo, held, size = i + 1, [], 0
 
     return run
