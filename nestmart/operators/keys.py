@@ -44,8 +44,8 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, spread_by:
 
     A fact's salt follows from its ``spread_by`` column, so a retried task
     deals the same; the dimension's rows are repeated once per salt. A key
-    that holds a third of the facts thus fills ``salts`` shuffle partitions
-    at least, also where the dimension is stored bucketed by the key (a
+    that holds a third of the facts is dealt to up to ``salts`` shuffle
+    partitions, also where the dimension is stored bucketed by the key (a
     bucketed side has no exchange, so the planner could not split it).
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
