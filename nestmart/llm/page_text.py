@@ -1,16 +1,22 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page's markup gives text lines (one per block). Lines inside elements that
-say what they are (menus, adverts, scripts, ...) go, lines inside an article
-element stay. Where a page marks no article, what the markup leaves open is
-decided by differencing: the page is paired with the page of the same host
-whose URL path is nearest, the two are aligned by a longest common
-subsequence of lines, and the shared lines are deleted as template.
+say what they are (menus, adverts, scripts, ...) go; where a page marks its
+article, the lines outside it go too. What is left is decided by differencing:
+every page is paired with the page of the same host whose URL path is nearest,
+the open lines of the two are aligned by a longest common subsequence, and the
+shared lines are deleted as template.
+
+The markup has one veto: a marked article of which differencing would leave
+less than a fifth (``LEFT``) is a near copy of its neighbour, not a page
+filled into the same template, and stays whole.
 
 Pages of one host with the same open lines are one page for the pairing, so
 copies don't delete each other. The pairs come from one global range sort by
 host, path and id, whose partitions also know the last row before and the
 first row after them; a host with a third of all pages is split like others.
+Only hashes of lines are sorted and paired (64 bits a line, compared within a
+pair of pages); the text is read again for the result.
 """
 
 from __future__ import annotations
@@ -18,7 +24,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,7 +51,10 @@ PARTS = frozenset(
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu "
     "menubar toolbar".split())
-ARTICLE = r"(?i)<(article|main)\b|role\s*=\s*[\"']?(main|article)\b|itemprop\s*=\s*[\"']?articlebody\b"
+#: A marked article keeps its shared lines if under one part in so many of its characters would be left.
+LEFT = 5
+#: Parts into which the copies of one page are dealt when lines are deleted.
+SALTS = 16
 #: An element that ends an open one of these, up to the given border.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
           "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -132,14 +143,18 @@ class _Lines(HTMLParser):
         self.parts.append(data)
 
 
-def page_lines(html: str | None) -> tuple[bool, list[str]]:
-    """(marked, lines): the article's lines if the page marks one with text, else all open lines."""
+def page_lines(html: str | None) -> tuple[bool, list[bool], list[str]]:
+    """(marked, own, lines): all open lines, and which of them are the page's own.
+
+    Those of the article if the page marks one with text, else all.
+    """
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser._flush()
-    own = [line for inside, line in parser.lines if inside]
-    return (True, own) if own else (False, [line for _, line in parser.lines])
+    own = [inside for inside, _ in parser.lines]
+    marked = any(own)
+    return marked, own if marked else [True] * len(own), [line for _, line in parser.lines]
 
 
 def shared_lines(a: list[str], b: list[str]) -> list[int]:
@@ -165,14 +180,38 @@ def shared_lines(a: list[str], b: list[str]) -> list[int]:
     return found[::-1]
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(marked: bool, own: list[bool], lines: list[str]) -> tuple[bytes, list[int]]:
+    """A page's digest and one of each of its lines."""
+    found = [blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+             for line in lines]
+    whole = blake2b(bytes([marked, *own]), digest_size=16)
+    for digest in found:
+        whole.update(digest)
+    return whole.digest(), [int.from_bytes(d, "little", signed=True) for d in found]
+
+
+def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [page_lines(x.as_py()) for x in batch.column("html")]
-        rest = [n for n in batch.schema.names if n != "html"]
+        pages = [page_lines(x.as_py()) for x in batch.column("html")]
+        found = [_digests(*page) for page in pages]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(n) for n in rest), pa.array([x[0] for x in found], pa.bool_()),
-             pa.array([x[1] for x in found], pa.list_(pa.string()))],
-            names=[*rest, "marked", "lines"])
+            [batch.column("url"), pa.array([x[0] for x in found], pa.binary()),
+             pa.array([x[0] for x in pages], pa.bool_()),
+             pa.array([x[1] for x in pages], pa.list_(pa.bool_())),
+             pa.array([x[1] for x in found], pa.list_(pa.int64())),
+             pa.array([[len(line) for line in x[2]] for x in pages], pa.list_(pa.int32()))],
+            names=["url", "content", "marked", "own", "hashes", "sizes"])
+
+
+def _own_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pages = [page_lines(x.as_py()) for x in batch.column("html")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("url"),
+             pa.array([_digests(*page)[0] for page in pages], pa.binary()),
+             pa.array([[line for inside, line in zip(own, lines, strict=True) if inside]
+                       for _, own, lines in pages], pa.list_(pa.string()))],
+            names=["id", "url", "content", "lines"])
 
 
 def _common(a: str, b: str) -> int:
@@ -182,29 +221,39 @@ def _common(a: str, b: str) -> int:
     return n
 
 
+def _template(page: dict, other: list[int]) -> list[int]:
+    """Places among the page's own lines of those that it shares with the other page."""
+    gone = [i for i in shared_lines(page["hashes"], other) if page["own"][i]]
+    if page["marked"]:
+        size = sum(n for n, own in zip(page["sizes"], page["own"], strict=True) if own)
+        if LEFT * (size - sum(page["sizes"][i] for i in gone)) < size:
+            return []
+    place = list(accumulate(page["own"], initial=0))
+    return [place[i] for i in gone]
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for x in batch.to_pylist():
             near = [p for p in (x["prev"], x["next"]) if p and p["host"] == x["host"]]
-            own = x["lines"]
             if near:
                 pair = max(near, key=lambda p, x=x: _common(p["path"], x["path"]))
-                gone = set(shared_lines(own, pair["lines"]))
-                own = [line for i, line in enumerate(own) if i not in gone]
-            out.append(" ".join(own))
+                out.append(_template(x, pair["hashes"]))
+            else:
+                out.append([])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("content"), pa.array(out, pa.string())],
-            names=["host", "content", "text"])
+            [batch.column("host"), batch.column("content"), pa.array(out, pa.list_(pa.int32()))],
+            names=["host", "content", "gone"])
 
 
 def _paired(pages: DataFrame) -> DataFrame:
-    """(host, content, text) of distinct open pages (host, path, content, lines), differenced."""
+    """(host, content, gone) of distinct pages (host, path, content, outline) that lose lines."""
     order = ["host", "path", "content"]
     rows = materialize(
         pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
             "part", F.spark_partition_id()), "pages")
-    row = F.struct("host", "path", "content", "lines")
+    row = F.struct("host", "path", "content", "hashes")
     key = F.struct("host", "path", "content")
     ends = rows.groupBy("part").agg(F.min_by(row, key).alias("first"),
                                     F.max_by(row, key).alias("last"))
@@ -215,10 +264,11 @@ def _paired(pages: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy(*order)
     return (rows.withColumn("prev", F.lag(row).over(inside))
             .withColumn("next", F.lead(row).over(inside)).join(ends, "part")
-            .select("host", "path", "content", "lines",
+            .select("host", "path", "content", "marked", "own", "hashes", "sizes",
                     F.coalesce("prev", "before").alias("prev"),
                     F.coalesce("next", "after").alias("next"))
-            .mapInArrow(_difference, "host string, content long, text string"))
+            .mapInArrow(_difference, "host string, content binary, gone array<int>")
+            .filter(F.size("gone") > 0))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -226,8 +276,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """(id_col, url_col, text) of every page: its main text, blocks joined by a space.
 
     * NULL or empty html, or no text left: the empty text.
-    * A page that marks no article and has no other page of its host, or only
-      copies of itself: all its open lines stay. NULL urls are one host.
+    * A page that has no other page of its host, or only copies of itself:
+      all lines of its article stay, or all open lines if it marks none.
+      NULL urls are one host.
     * Markup that doesn't nest is read as browsers do for paragraphs, list
       items and table cells; other stray end tags are ignored.
     * Repeated rows are returned each; an empty table gives no rows. Other
@@ -236,21 +287,25 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     id_type = pages.schema[id_col].dataType.simpleString()
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).alias("html"))
-    schema = f"id {id_type}, url string, marked boolean, lines array<string>"
-    says = F.coalesce(F.col("html").rlike(ARTICLE), F.lit(False))
-    marked = base.filter(says).mapInArrow(_parse, schema).select(
-        "id", "url", F.concat_ws(" ", "lines").alias("text"))
     address = F.regexp_extract(F.coalesce("url", F.lit("")),
                                r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)", 0)
     split = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)$"
-    open_ = materialize(base.filter(~says).mapInArrow(_parse, schema).select(
-        "id", "url", F.lower(F.regexp_extract(address, split, 1)).alias("host"),
-        F.regexp_extract(address, split, 2).alias("path"),
-        F.xxhash64("lines").alias("content"), "lines"), "pages")
-    distinct = open_.groupBy("host", "content").agg(F.min("path").alias("path"),
-                                                    F.first("lines").alias("lines"))
-    found = _paired(distinct)
-    differenced = open_.select("id", "url", "host", "content").join(
-        found, ["host", "content"]).select("id", "url", "text")
-    return marked.unionByName(differenced).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
+    host = F.lower(F.regexp_extract(address, split, 1)).alias("host")
+    outline = ("marked", "own", "hashes", "sizes")
+    distinct = base.select("url", "html").mapInArrow(
+        _outline, "url string, content binary, marked boolean, own array<boolean>, "
+        "hashes array<long>, sizes array<int>").filter(F.size("hashes") > 0).select(
+        host, F.regexp_extract(address, split, 2).alias("path"), "content", *outline).groupBy(
+        "host", "content").agg(F.min("path").alias("path"),
+                               *(F.first(c).alias(c) for c in outline))
+    gone = materialize(_paired(distinct), "pages").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    texts = base.mapInArrow(
+        _own_lines, f"id {id_type}, url string, content binary, lines array<string>").select(
+        "id", "url", host, "content", "lines",
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda _, i: ~F.array_contains("gone", i)))
+    return texts.join(gone, ["host", "content", "salt"], "left").select(
+        F.col("id").alias(id_col), F.col("url").alias(url_col),
+        F.concat_ws(" ", kept).alias("text"))

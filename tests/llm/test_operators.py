@@ -316,6 +316,24 @@ def test_page_text(spark):
                    (4, "three More & four"), (5, ""), (6, ""), (7, "kept text"), (7, "kept text")]
 
 
+def test_page_text_differences_marked_articles(spark):
+    html = ("<body><div>Site name</div><article><h1>Title {0}</h1><p>Body of {0} in words of its own"
+            "<div>Tell your friends</div><p>End of {0}<div>Say what you think</div></article></body>")
+    rows = [(k, f"http://h.org/a/{k}", html.format(k * 11)) for k in range(1, 5)]
+    story = "".join(f"<p>Paragraph {k} of a long story" for k in range(20))
+    rows += [(k, f"http://near.org/{k}", f"<article>{story}<p>Edition {k}</article>") for k in (5, 6)]
+    rows += [(7, "http://alone.org/", html.format(77))]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in page_text.main_text(pages).collect()}
+    assert [got[k] for k in range(1, 5)] == [
+        f"Title {n} Body of {n} in words of its own End of {n}" for n in (11, 22, 33, 44)]
+    # a near copy isn't a template, and a page alone has nothing to be compared with
+    assert all(got[k].startswith("Paragraph 0 ") and got[k].endswith(f"19 of a long story Edition {k}")
+               for k in (5, 6))
+    assert got[7] == ("Title 77 Body of 77 in words of its own Tell your friends End of 77 "
+                      "Say what you think")
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
