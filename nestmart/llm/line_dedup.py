@@ -43,6 +43,8 @@ HUBS = 3
 LEXER = Lexer.separated_by(WHITE_SPACE)
 _SALT = np.uint64(0xA0761D6478BD642F)
 _HUB_SALTS = [np.uint64(int(_SALT) * (i + 2) % (1 << 64)) for i in range(HUBS)]
+#: A line's place: rows that share a key are told apart by mark, which doesn't order them.
+_PLACE = ["key", "line_no", "mark"]
 _LINE = ("key long, mark long, line_no int, c1 long, c2 long, size int, p1 long, p2 long, "
          "prefix array<long>, hubs array<long>")
 
@@ -149,16 +151,16 @@ def _least_overlap() -> Column:
 
 
 def _pair() -> list[Column]:
-    return [F.col("a.key").alias("key"), F.col("a.line_no").alias("line_no"),
-            F.col("b.key").alias("key2"), F.col("b.line_no").alias("line_no2")]
+    return [*(F.col(f"a.{c}").alias(c) for c in _PLACE),
+            *(F.col(f"b.{c}").alias(f"{c}2") for c in _PLACE)]
 
 
 def _hub_pairs(classes: DataFrame) -> DataFrame:
     """Pairs (class's first line, hub's): the first class of each shared min-hash."""
-    rows = classes.select("key", "line_no", "size", F.col("p1").bitwiseXOR(F.col("p2")).alias("p"),
+    rows = classes.select(*_PLACE, "size", F.col("p1").bitwiseXOR(F.col("p2")).alias("p"),
                           F.explode("hubs").alias("hub"))
     hubs = materialize(rows.groupBy("hub").agg(
-        F.min(F.struct("key", "line_no", "size", "p")).alias("first"), F.count("*").alias("n")).filter(
+        F.min(F.struct(*_PLACE, "size", "p")).alias("first"), F.count("*").alias("n")).filter(
         "n > 1").select("hub", "first.*"), "line-dedup")
     return rows.alias("a").join(
         hubs.alias("b"), (F.col("a.hub") == F.col("b.hub")) & _earlier() & _alike_in_size()
@@ -168,7 +170,7 @@ def _hub_pairs(classes: DataFrame) -> DataFrame:
 def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
     """Pairs (open class's first line, any earlier class's) that pass all filters."""
     def rows(classes: DataFrame) -> DataFrame:
-        return classes.select("key", "line_no", "size", "p1", "p2",
+        return classes.select(*_PLACE, "size", "p1", "p2",
                               F.posexplode("prefix").alias("pos", "word"))
 
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
@@ -181,32 +183,36 @@ def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Distinct words of the wanted lines (key, line_no)."""
-    by_key = wanted.select("key").distinct()
-    if wanted.count() <= BROADCAST_LINES:
-        wanted, by_key = F.broadcast(wanted), F.broadcast(by_key)
-    lines = docs.join(by_key, "key", "left_semi").select("key", F.posexplode(
-        F.split("text", "\n", -1)).alias("line_no", "line")).join(wanted, ["key", "line_no"])
-    return materialize(lines.select("key", "line_no", F.array_distinct(F.array_remove(
+    """Distinct words of the wanted lines (key, line_no, mark), one row for each."""
+    n, by_row = wanted.count(), wanted.select("key", "mark").distinct()
+    some = wanted
+    if n <= BROADCAST_LINES:
+        some, by_row = F.broadcast(wanted), F.broadcast(by_row)
+    lines = docs.join(by_row, ["key", "mark"], "left_semi").select("key", "mark", F.posexplode(
+        F.split("text", "\n", -1)).alias("line_no", "line")).join(some, _PLACE)
+    words = materialize(lines.select(*_PLACE, F.array_distinct(F.array_remove(
         F.split("line", r"[\x20\x09-\x0D]+", -1), "")).alias("words")), "line-dedup")
+    # repeated rows have the same lines
+    return words if words.count() == n else materialize(
+        words.dropDuplicates(_PLACE), "line-dedup")
 
 
 def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Later lines (key, line_no) of pairs whose word sets are similar."""
-    earlier = words.select(F.col("key").alias("key2"), F.col("line_no").alias("line_no2"),
-                           F.col("words").alias("words2"))
+    """Later lines (key, line_no, mark) of pairs whose word sets are similar."""
+    others = [f"{c}2" for c in _PLACE]
+    earlier = words.select(*(F.col(c).alias(f"{c}2") for c in (*_PLACE, "words")))
     both = F.size(F.array_intersect("words", "words2"))
-    found = pairs.join(words, ["key", "line_no"]).join(earlier, ["key2", "line_no2"])
+    found = pairs.join(words, _PLACE).join(earlier, others)
     return found.filter(
         (UP + DOWN) * both >= UP * (F.size("words") + F.size("words2"))).select(
-        "key", "line_no").distinct()
+        *_PLACE).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Later lines (key, line_no) of candidate pairs whose Jaccard is 4/5 or more."""
+    """Later lines (key, line_no, mark) of candidate pairs whose Jaccard is 4/5 or more."""
     pairs = materialize(pairs, "line-dedup")
-    own = pairs.select("key", "line_no").unionByName(
-        pairs.select(F.col("key2").alias("key"), F.col("line_no2").alias("line_no")))
+    own = pairs.select(*_PLACE).unionByName(
+        pairs.select(*(F.col(f"{c}2").alias(c) for c in _PLACE)))
     words = _words_of(docs, materialize(own.distinct(), "line-dedup"))
     return materialize(_matches(pairs, words), "line-dedup")
 
@@ -234,17 +240,17 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = materialize(base.select("key", "mark", "text").mapInArrow(
         _describe(rarity_ranks(base.select("text"))), _LINE), "line-dedup")
     classes = materialize(lines.groupBy("c1", "c2").agg(
-        F.min(F.struct("key", "line_no")).alias("first"), F.count("*").alias("n_lines"),
+        F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n_lines"),
         *(F.first(c).alias(c) for c in ("size", "p1", "p2", "prefix", "hubs"))).select(
         "c1", "c2", "first.*", "n_lines", "size", "p1", "p2", "prefix", "hubs"), "line-dedup")
     # sets of up to three words match only their equals
     joined = classes.filter(F.col("size") > 3)
     settled = _verified(base, _hub_pairs(joined))
     matched = settled.unionByName(_verified(base, _candidates(
-        joined.join(settled, ["key", "line_no"], "left_anti"),
-        joined.join(settled, ["key", "line_no"], "left_semi"))))
-    heads = classes.select("c1", "c2", "key", "line_no", "n_lines").join(
-        matched.withColumn("matched", F.lit(True)), ["key", "line_no"], "left").filter(
+        joined.join(settled, _PLACE, "left_anti"),
+        joined.join(settled, _PLACE, "left_semi"))))
+    heads = classes.select("c1", "c2", *_PLACE, "n_lines").join(
+        matched.withColumn("matched", F.lit(True)), _PLACE, "left").filter(
         "matched or n_lines > 1").select(
         "c1", "c2", F.struct("key", "line_no").alias("first"),
         F.coalesce("matched", F.lit(False)).alias("matched"))

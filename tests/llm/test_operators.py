@@ -87,6 +87,22 @@ def test_line_dedup(docs):
     assert any(w[2] for w in want)
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rows = [(1, "a b c d e\nq w e r t y"), (None, "a b c d e f\nthis line is its own"),
+            (None, "one more text of other words\nq w e r t y u"), (None, "third text has five words"),
+            (None, "third text has five words"), (5, "a b c d e g"), (5, "something quite else is here"),
+            (6, "something quite else is here too"), (7, "one more text of other words again")]
+    place = lambda i: 1 << 40 if i is None else i
+    lines = [((place(i), k), set(split(x))) for i, t in rows for k, x in enumerate(t.split("\n"))]
+    want = [(i, [k for k, x in enumerate(t.split("\n")) if any(
+        p < (place(i), k) and 5 * len(s & set(split(x))) >= 4 * len(s | set(split(x)))
+        for p, s in lines)]) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.removed) for r in line_dedup(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert (None, []) in want and (None, [0]) in want and (5, []) in want and (6, [0]) in want
+
+
 def test_line_dedup_settles_near_copies_at_hubs(spark):
     line = [f"w{k}" for k in range(60)]
     rows = [(i, " ".join([*line[:i % 60], f"x{i}", *line[i % 60 + 1:]])) for i in range(200)]
