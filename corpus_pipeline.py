@@ -27,10 +27,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier line matches; n_chars follows."""
-    gone = line_dedup(docs).filter(F.size("removed") > 0).dropDuplicates(["doc_id"]).select(
-        F.col("doc_id").alias("own_id"), "removed")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
+    """All documents, without the lines that an earlier line matches; n_chars follows.
+
+    Rows that share an id, or have none, are told apart by the hash of their text.
+    """
+    gone = line_dedup(docs, mark_col="own_mark").filter(F.size("removed") > 0).dropDuplicates(
+        ["doc_id", "own_mark"]).select(F.col("doc_id").alias("own_id"), "own_mark", "removed")
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("own_id"))
+                       & (F.xxhash64("text") == F.col("own_mark")), "left")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
         drop_lines(F.col("text"), F.col("removed")))
     return joined.withColumn("text", text).withColumn(

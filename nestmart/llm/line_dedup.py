@@ -217,7 +217,8 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialize(_matches(pairs, words), "line-dedup")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               mark_col: str | None = None) -> DataFrame:
     """Line numbers that an earlier line matches, for every row.
 
     A line is what stands between line feeds; its words are runs of other
@@ -227,7 +228,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     itself goes still makes later matches go.
 
     Returns id_col, n_lines, removed (line numbers from 0, sorted); one row
-    for each input row.
+    for each input row. With ``mark_col`` also the text's xxhash64 under that
+    name, which tells rows apart that share an id or have none.
 
     * Lines without a word stay and match nothing. NULL text: no lines; empty
       text: one line.
@@ -259,11 +261,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("matched") | (F.struct("key", "line_no") > F.col("first")))
     by_row = gone.select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))
-    rows = base.select("id", "key", "mark", F.when(F.col("text").isNull(), 0).otherwise(
+    rows = base.select("id", "key", "mark", F.xxhash64("text").alias("own_mark"), F.when(F.col("text").isNull(), 0).otherwise(
         F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
     return rows.join(by_row, ["key", "mark"], "left").select(
         F.col("id").alias(id_col), "n_lines",
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+        *([F.col("own_mark").alias(mark_col)] if mark_col else []))
 
 
 def drop_lines(text: Column, removed: Column) -> Column:

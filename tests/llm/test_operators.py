@@ -363,6 +363,22 @@ def test_empty_tables(docs, spark):
     assert pieces.encode(none).count() == 0
 
 
+def test_pipeline_cuts_lines_of_each_row(spark):
+    import corpus_pipeline
+    rows = [(1, "a line that comes first"), (2, "other words in here"),
+            (None, "a line that comes first\nleft of one"), (None, "left of two\nother words in here"),
+            (None, "left of three"), (3, "a line that comes first\nkept"), (3, "kept too\nother words in here"),
+            (3, "kept too\nother words in here"), (4, None)]
+    docs = spark.createDataFrame([(i, t, "xx", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, n_chars int")
+    found = corpus_pipeline.lines(spark, docs, "")
+    assert found.schema == docs.schema
+    want = [(1, rows[0][1]), (2, rows[1][1]), (None, "left of one"), (None, "left of two"),
+            (None, "left of three"), (3, "kept"), (3, "kept too"), (3, "kept too"), (4, None)]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted(want, key=repr)
+    assert all(r.n_chars == (r.text and len(r.text)) for r in found.collect())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
