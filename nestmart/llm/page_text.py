@@ -1,8 +1,8 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page's markup gives text lines (one per block). Lines inside elements that
-say what they are (menus, adverts, scripts, ...) go; where a page marks its
-article, the lines outside it go too. What is left is decided by differencing:
+say what they are (menus, adverts, scripts, ...) go; where an outermost marked
+article holds most of the open text, the lines outside it go too. What is left is decided by differencing:
 every page is paired with the page of the same host whose URL path is nearest,
 the open lines of the two are aligned by a longest common subsequence, and the
 shared lines are deleted as template.
@@ -26,7 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
-from itertools import accumulate
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -63,24 +63,26 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 
 
 class _Lines(HTMLParser):
-    """Text lines of a page, each with whether it lies in an article element."""
+    """Blocks of text of a page, in parts that know their region.
+
+    A region is an element that is dropped or marks an article; region 0 is the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []
+        self.open: list[tuple[str, int]] = []
         self.count: Counter = Counter()
-        self.lines: list[tuple[bool, str]] = []
-        self.parts: list[str] = []
-        self.where = False
+        self.regions: list[tuple[int, str]] = [(0, "")]
+        self.blocks: list[list[tuple[int, str]]] = []
+        self.parts: list[tuple[int, str]] = []
 
     def _flush(self) -> None:
-        line = " ".join("".join(self.parts).split())
-        if line:
-            self.lines.append((self.where, line))
+        if self.parts:
+            self.blocks.append(self.parts)
         self.parts = []
 
     def _pop(self, at: int) -> None:
-        for tag, _, _ in self.open[at:]:
+        for tag, _ in self.open[at:]:
             self.count[tag] -= 1
         del self.open[at:]
 
@@ -117,8 +119,12 @@ class _Lines(HTMLParser):
                 r"[^a-z0-9]+", f"{named.get('class', '')} {named.get('id', '')}")))
         article = tag in ("article", "main") or role in ("main", "article") or named.get(
             "itemprop") == "articlebody"
-        above = self.open[-1] if self.open else ("", False, False)
-        self.open.append((tag, above[1] or skip, above[2] or article))
+        kind = "dropped" if skip else "article" if article else ""
+        region = self.open[-1][1] if self.open else 0
+        if kind and self.regions[region][1] != "dropped":
+            self.regions.append((region, kind))
+            region = len(self.regions) - 1
+        self.open.append((tag, region))
         self.count[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -134,27 +140,42 @@ class _Lines(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][1]:
-            return
-        inside = bool(self.open and self.open[-1][2])
-        if self.parts and inside != self.where:
-            self._flush()
-        self.where = inside
-        self.parts.append(data)
+        region = self.open[-1][1] if self.open else 0
+        if self.regions[region][1] != "dropped":
+            self.parts.append((region, data))
 
 
-def page_lines(html: str | None) -> tuple[bool, list[bool], list[str]]:
-    """(marked, own, lines): all open lines, and which of them are the page's own.
-
-    Those of the article if the page marks one with text, else all.
-    """
+def _read(html: str | None) -> list[tuple[int, str]]:
+    """(region of the outermost article or 0, line) of every open line."""
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser._flush()
-    own = [inside for inside, _ in parser.lines]
-    marked = any(own)
-    return marked, own if marked else [True] * len(own), [line for _, line in parser.lines]
+    article: list[int] = []
+    for k, (parent, kind) in enumerate(parser.regions):
+        article.append((article[parent] if k else 0) or (k if kind == "article" else 0))
+    lines = []
+    for block in parser.blocks:
+        for where, parts in groupby(block, key=lambda x: article[x[0]]):
+            line = " ".join("".join(text for _, text in parts).split())
+            if line:
+                lines.append((where, line))
+    return lines
+
+
+def page_lines(html: str | None) -> tuple[bool, list[bool], list[str]]:
+    """(marked, own, lines): all open lines, and which of them are the page's own.
+
+    Those of the article if an outermost element that marks one holds most of
+    the open text, else all.
+    """
+    lines = _read(html)
+    size: Counter = Counter()
+    for where, line in lines:
+        size[where] += len(line)
+    article = max(size, key=size.__getitem__, default=0)
+    marked = bool(article) and 2 * size[article] > size.total()
+    return marked, [not marked or where == article for where, _ in lines], [x for _, x in lines]
 
 
 def shared_lines(a: list[str], b: list[str]) -> list[int]:

@@ -350,6 +350,22 @@ def test_page_text_differences_marked_articles(spark):
                       "Say what you think")
 
 
+def test_page_text_goes_by_the_parsed_article(spark):
+    frame = "<body>{}<div>Site name</div><p>Body {} of the page in some words</p><div>All rights</div></body>"
+    teasers = "<article>Teaser {0}</article><article>More {0}</article>"
+    rows = [(1, "http://a.org/1", frame.format("<!-- <main> -->", "one")),
+            (2, "http://a.org/2", frame.format("<script>'<article>'</script>", "two")),
+            (3, "http://a.org/3", frame.format("<main></main>", "three")),
+            (4, "http://b.org/4", frame.format(teasers.format("x"), "four")),
+            (5, "http://b.org/5", frame.format(teasers.format("y"), "five"))]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in page_text.main_text(pages).collect()}
+    assert [got[k] for k in (1, 2, 3)] == [
+        f"Body {n} of the page in some words" for n in ("one", "two", "three")]
+    assert got[4] == "Teaser x More x Body four of the page in some words"
+    assert got[5] == "Teaser y More y Body five of the page in some words"
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
