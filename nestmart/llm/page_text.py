@@ -38,10 +38,13 @@ from nestmart.session import materialize
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb "
-    "rp rt rtc ruby s samp small span strike strong sub sup time tt u var wbr".split())
+    "rp rt rtc ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split())
 DROPPED = frozenset(
     "head title script style noscript template nav header footer aside form button select "
-    "textarea datalist iframe object svg math canvas audio video menu dialog".split())
+    "textarea datalist iframe object svg canvas audio video menu dialog".split())
 PARTS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored promo "
     "promotion cookie cookies consent gdpr notice notices alert popup modal overlay sidebar aside "
@@ -62,10 +65,17 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
           "option": ({"option"}, {"select"})}
 
 
+def _names_part(named: dict[str, str]) -> bool:
+    """A class or id is the name of a page part, or begins with it (``ad-box``, not ``has-ads``)."""
+    return any(name in PARTS or re.split(r"[^a-z0-9]+", name.lstrip("-_"))[0] in PARTS
+               for name in f"{named.get('class', '')} {named.get('id', '')}".split())
+
+
 class _Lines(HTMLParser):
     """Blocks of text of a page, in parts that know their region.
 
-    A region is an element that is dropped or marks an article; region 0 is the page.
+    A region is an element that is dropped, marks an article or is suspected by its
+    role or name of being no part of the text; region 0 is the page.
     """
 
     def __init__(self) -> None:
@@ -111,15 +121,12 @@ class _Lines(HTMLParser):
         self._implied(tag)
         named = {k: (v or "").lower() for k, v in attrs}
         role = named.get("role", "")
-        skip = tag in DROPPED or role in ROLES or "hidden" in named or (
-            named.get("aria-hidden") == "true") or "display:none" in named.get(
-            "style", "").replace(" ", "")
-        if not skip and tag not in ("html", "body", "main"):
-            skip = bool(PARTS.intersection(re.split(
-                r"[^a-z0-9]+", f"{named.get('class', '')} {named.get('id', '')}")))
+        skip = tag in DROPPED or "hidden" in named or named.get(
+            "aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
         article = tag in ("article", "main") or role in ("main", "article") or named.get(
             "itemprop") == "articlebody"
-        kind = "dropped" if skip else "article" if article else ""
+        kind = "dropped" if skip else "article" if article else "role" if role in ROLES else (
+            "name" if tag not in ("html", "body") and _names_part(named) else "")
         region = self.open[-1][1] if self.open else 0
         if kind and self.regions[region][1] != "dropped":
             self.regions.append((region, kind))
@@ -151,12 +158,24 @@ def _read(html: str | None) -> list[tuple[int, str]]:
     parser.feed(html or "")
     parser.close()
     parser._flush()
-    article: list[int] = []
-    for k, (parent, kind) in enumerate(parser.regions):
-        article.append((article[parent] if k else 0) or (k if kind == "article" else 0))
+    size, holds = [0] * len(parser.regions), [kind == "article" for _, kind in parser.regions]
+    for block in parser.blocks:
+        for k, text in block:
+            size[k] += len("".join(text.split()))
+    for k in range(len(size) - 1, 0, -1):
+        parent = parser.regions[k][0]
+        size[parent] += size[k]
+        holds[parent] |= holds[k]
+    article, gone = [0], [False]
+    for k, (parent, kind) in enumerate(parser.regions[1:], 1):
+        article.append(article[parent] or (k if kind == "article" else 0))
+        # what holds an article, or by its name alone most of the text, is a wrapper
+        gone.append(gone[parent] or kind == "dropped" or kind in ("role", "name")
+                    and not holds[k] and not (kind == "name" and 2 * size[k] > size[0]))
     lines = []
     for block in parser.blocks:
-        for where, parts in groupby(block, key=lambda x: article[x[0]]):
+        kept = [x for x in block if not gone[x[0]]]
+        for where, parts in groupby(kept, key=lambda x: article[x[0]]):
             line = " ".join("".join(text for _, text in parts).split())
             if line:
                 lines.append((where, line))
@@ -300,6 +319,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     * A page that has no other page of its host, or only copies of itself:
       all lines of its article stay, or all open lines if it marks none.
       NULL urls are one host.
+    * An element whose role, class or id is or begins with the name of a page
+      part goes, unless it marks or holds an article; by class or id alone,
+      also unless it holds most of the page's text.
     * Markup that doesn't nest is read as browsers do for paragraphs, list
       items and table cells; other stray end tags are ignored.
     * Repeated rows are returned each; an empty table gives no rows. Other

@@ -366,6 +366,22 @@ def test_page_text_goes_by_the_parsed_article(spark):
     assert got[5] == "Teaser y More y Body five of the page in some words"
 
 
+def test_page_text_keeps_wrappers(spark):
+    body = "<p>The text of this page</p><div class='ad-box'>buy</div>"
+    names = ["content no-sidebar", "has-ads wrap", "post comments-open", "category-search", "promo",
+             "social", "related"]
+    rows = [f"<div class='{n}'><article>{body}</article></div>" for n in names]
+    rows += [f"<article class='{n}'>{body}</article>" for n in names]
+    rows += [f"<div>Site</div><div class='{n}'>{body}</div>" for n in names]
+    rows += [f"<div id='comments'>Me too</div><div>{body}<p>so <math><mi>x</mi><mo>=</mo></math> it</p></div>"]
+    pages = spark.createDataFrame([(k, f"http://h{k}.org/", h) for k, h in enumerate(rows)],
+                                  "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in page_text.main_text(pages).collect()}
+    text = "The text of this page"
+    assert [got[k] for k in range(len(rows))] == (
+        [text] * 14 + [f"Site {text}"] * 7 + [f"{text} so x= it"])
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
