@@ -52,12 +52,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
+    """Documents that are not contaminated by benchmark items.
+
+    Rows that share an id, or have none, are told apart by the hash of their text.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialize(decontaminate(docs, items), "contaminated")
+    found = materialize(decontaminate(docs, items, mark_col="own_mark"), "contaminated")
     gone = found.filter(is_contaminated(hit_words("spans"), F.col("n_words"))).select(
-        F.col("doc_id").alias("own_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("own_id"), "left_anti")
+        F.col("doc_id").alias("own_id"), "own_mark").distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("own_id"))
+                     & (F.xxhash64("text") == F.col("own_mark")), "left_anti")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,7 +201,8 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str, str | None
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                  window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                  mark_col: str | None = None) -> DataFrame:
     """Occurrences of benchmark windows in every text.
 
     Words are runs of digits, letters and characters from U+0080 on, A-Z in
@@ -210,7 +211,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Returns id_col, n_words, spans (maximal ranges of word numbers inside
     occurrences, end exclusive) and items (ids, as sorted strings, of items
-    with an occurring window); one row for each input row.
+    with an occurring window); one row for each input row. With ``mark_col``
+    also the text's xxhash64 under that name, which tells rows apart that share
+    an id or have none.
 
     * NULL or empty text: no words, no spans.
     * NULL or empty item: no windows. NULL item ids are left out.
@@ -234,7 +237,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             _join(build_index(found, count)),
             f"id {id_type}, text string, n_words long, "
             "spans array<struct<start:long,end:long>>, items array<string>")
-    return out.select(F.col("id").alias(id_col), "n_words", "spans", "items")
+    return out.select(F.col("id").alias(id_col), "n_words", "spans", "items",
+                      *([F.xxhash64("text").alias(mark_col)] if mark_col else []))
 
 
 def hit_words(spans_col: str | Column = "spans") -> Column:

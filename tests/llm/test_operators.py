@@ -411,6 +411,19 @@ def test_pipeline_cuts_lines_of_each_row(spark):
     assert all(r.n_chars == (r.text and len(r.text)) for r in found.collect())
 
 
+def test_pipeline_drops_contaminated_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline
+    item = " ".join(f"bench{k}" for k in range(15))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"see {item}"), (None, "a clean text"), (None, None), (3, f"look {item}"),
+            (3, "clean under the same id"), (4, "clean"), (5, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()
+    want = [(None, "a clean text"), (None, None), (3, "clean under the same id"), (4, "clean")]
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
