@@ -120,6 +120,22 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
         F.col("rank") <= most).drop("rank")
 
 
+def _sample(rows: DataFrame, texts: int) -> DataFrame:
+    """(id, text, lang) of the ``texts`` smallest hashes of each language, one row for each."""
+    hashed = rows.withColumn("hash", F.xxhash64("id", "text"))
+    place = F.pmod("hash", F.lit(1 << 30))
+    hashes = materialize(hashed.select("lang", "hash").distinct(), "langid")
+    cut = hashes.groupBy("lang").agg(F.count("*").alias("size"))
+    # twice as many hashes as wanted are ranked, so no task ranks a whole language
+    near = hashes.join(F.broadcast(cut), "lang").filter(
+        place.cast("double") * F.col("size") <= (1 << 30) * (2.0 * texts + 100))
+    order = Window.partitionBy("lang").orderBy(place, "hash")
+    chosen = near.withColumn("rank", F.row_number().over(order)).filter(
+        F.col("rank") <= texts).select("lang", "hash")
+    return hashed.join(F.broadcast(materialize(chosen, "langid")), ["lang", "hash"],
+                       "left_semi").dropDuplicates(["lang", "hash"]).select("id", "text", "lang")
+
+
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", train: Column | None = None,
                   texts: int = TRAIN_TEXTS) -> Languages:
@@ -127,14 +143,14 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows with a NULL id, text or language are left out; no such row at all
     gives a model without languages, which predicts ``und`` for every text.
+    Of more than ``texts`` rows, up to that many of each language are read:
+    those with the smallest hashes of id and text, repeated rows once.
     """
     rows = docs.filter(train) if train is not None else docs
     rows = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).dropna()
-    n = rows.count()
-    span = 1 << 30
-    if n > texts:
-        rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(span)) < span * texts // n)
+    if rows.count() > texts:
+        rows = _sample(rows, texts)
     words = materialize(rows.select("lang", "text").mapInArrow(
         _count_words, "lang string, gram string, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")), "langid")
