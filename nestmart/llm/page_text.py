@@ -166,12 +166,13 @@ def _read(html: str | None) -> list[tuple[int, str]]:
         parent = parser.regions[k][0]
         size[parent] += size[k]
         holds[parent] |= holds[k]
+    marks = any(n and kind == "article" for n, (_, kind) in zip(size, parser.regions, strict=True))
     article, gone = [0], [False]
     for k, (parent, kind) in enumerate(parser.regions[1:], 1):
         article.append(article[parent] or (k if kind == "article" else 0))
-        # what holds an article, or by its name alone most of the text, is a wrapper
+        # what holds an article, or most of the text of a page without one, is a wrapper
         gone.append(gone[parent] or kind == "dropped" or kind in ("role", "name")
-                    and not holds[k] and not (kind == "name" and 2 * size[k] > size[0]))
+                    and not holds[k] and not (kind == "name" and not marks and 2 * size[k] > size[0]))
     lines = []
     for block in parser.blocks:
         kept = [x for x in block if not gone[x[0]]]
@@ -321,7 +322,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
       NULL urls are one host.
     * An element whose role, class or id is or begins with the name of a page
       part goes, unless it marks or holds an article; by class or id alone,
-      also unless it holds most of the page's text.
+      also unless it holds most of the text of a page that marks none.
     * Markup that doesn't nest is read as browsers do for paragraphs, list
       items and table cells; other stray end tags are ignored.
     * Repeated rows are returned each; an empty table gives no rows. Other

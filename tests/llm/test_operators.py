@@ -382,6 +382,11 @@ def test_page_text_keeps_wrappers(spark):
         [text] * 14 + [f"Site {text}"] * 7 + [f"{text} so x= it"])
 
 
+def test_page_lines_drop_an_advert_longer_than_the_article():
+    html = "<div class='ad'>a long advert of many words</div><article><p>Short.</p></article>"
+    assert page_text.page_lines(html) == (True, [True], ["Short."])
+
+
 def test_empty_tables(docs, spark):
     none = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
