@@ -59,22 +59,21 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
         {c: zero_to_null(c) for c in ZERO_IS_UNKNOWN})
 
 
-def clean_credits(raw: DataFrame, jobs: tuple[str, ...] = CREW_JOBS,
-                  max_order: int = CAST_MAX_ORDER) -> DataFrame:
-    """Typed credits, one row per film, cast and crew still nested.
-
-    Both arrays are cut to the kept entries first, so that the dedupe compares
-    and shuffles only those. Of several rows for a film, the smallest after
-    the cut stays.
-    """
+def clean_credits(raw: DataFrame) -> DataFrame:
+    """Typed credits, one row per film, cast and crew still nested and whole."""
     typed = raw.select(
         try_cast("id", "bigint").alias("movie_id"),
         retype_entries("cast", CAST_FIELDS).alias("cast"),
         retype_entries("crew", CREW_FIELDS).alias("crew"),
     )
-    kept = typed.select("movie_id", keep_by_order("cast", max_order).alias("cast"),
-                        keep_values("crew", "job", jobs).alias("crew"))
-    return dedupe(require(kept, ["movie_id"]), ["movie_id"])
+    return dedupe(require(typed, ["movie_id"]), ["movie_id"])
+
+
+def cut_credits(credits: DataFrame, jobs: tuple[str, ...] = CREW_JOBS,
+                max_order: int = CAST_MAX_ORDER) -> DataFrame:
+    """Credits with only the entries that the clean layer keeps, for what is cached of a day."""
+    return credits.select("movie_id", keep_by_order("cast", max_order).alias("cast"),
+                          keep_values("crew", "job", jobs).alias("crew"))
 
 
 def clean_crew(credits: DataFrame, jobs: tuple[str, ...] = CREW_JOBS) -> DataFrame:
@@ -107,7 +106,7 @@ def clean_box_office(raw: DataFrame) -> DataFrame:
 def clean_day(raw_details: DataFrame, raw_credits: DataFrame,
               raw_box_office: DataFrame) -> dict[str, DataFrame]:
     """All four clean datasets of one day, keyed by their clean-layer names."""
-    credits = clean_credits(raw_credits)
+    credits = cut_credits(clean_credits(raw_credits))
     return {
         "movie_details": clean_movie_details(raw_details),
         "crew_of_movies": clean_crew(credits),
@@ -116,5 +115,5 @@ def clean_day(raw_details: DataFrame, raw_credits: DataFrame,
     }
 
 
-__all__ = ["clean_movie_details", "clean_credits", "clean_crew", "clean_cast",
+__all__ = ["clean_movie_details", "clean_credits", "cut_credits", "clean_crew", "clean_cast",
            "clean_box_office", "clean_day", "CREW_JOBS", "CAST_MAX_ORDER"]

@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from nestmart.plans.clean import (clean_box_office, clean_cast, clean_credits, clean_crew,
-                                  clean_movie_details)
+                                  clean_movie_details, cut_credits)
 from nestmart.plans.concurrent import run_all
 from nestmart.plans.model import model_day
 from nestmart.plans.publish import publish_day
@@ -33,7 +33,7 @@ def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
     is recomputed from its lineage.
     """
     raw = {n: lake.read_raw_json(spark, lake_root, run_date, n, multi_line) for n in RAW}
-    credits = clean_credits(raw["movie_credits"]).persist(StorageLevel.MEMORY_AND_DISK)
+    credits = cut_credits(clean_credits(raw["movie_credits"])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clean = {
             "movie_details": clean_movie_details(raw["movie_details"]),
