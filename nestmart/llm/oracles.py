@@ -49,6 +49,30 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+FILL_MIDDLE = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS d,
+  regexp_extract_all(coalesce(text, ''),
+    '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT doc_id, text, w, len(w) AS n,
+  CAST('0x' || d[1:8] AS UBIGINT) % (len(w) + 1) AS x,
+  CAST('0x' || d[9:16] AS UBIGINT) % (len(w) + 1) AS y,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+         OR CAST('0x' || d[17:24] AS UBIGINT) % 100 >= 50 THEN 'plain'
+       WHEN CAST('0x' || d[25:32] AS UBIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM t),
+c AS (SELECT doc_id, text, n, form, array_to_string(w[1:CAST(least(x, y) AS BIGINT)], '') AS p,
+  array_to_string(w[CAST(least(x, y) AS BIGINT) + 1:CAST(greatest(x, y) AS BIGINT)], '') AS m,
+  array_to_string(w[CAST(greatest(x, y) AS BIGINT) + 1:], '') AS s FROM h)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
+
+
 def _rule_spans(rank: int, rule: Rule) -> str:
     pattern = rule.pattern.replace("'", "''")
     return f"""
@@ -76,4 +100,4 @@ FROM d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id
 """
 
 ORACLES = {"op3_decontaminate": DECONTAMINATE, "op9_secrets": SECRETS,
-           "op10_substring_dedup": SUBSTRING_DEDUP}
+           "op10_substring_dedup": SUBSTRING_DEDUP, "op11_fill_middle": FILL_MIDDLE}

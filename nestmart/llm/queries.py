@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate, hit_words, is_contaminated
+from .fill_middle import fill_middle, restored
 from .langid import fit_languages, held_out, predict_languages
 from .line_dedup import line_dedup
+from .minhash_join import minhash_groups
 from .oracles import ORACLES
 from .page_text import main_text
+from .periodic_runs import listed as listed_runs
+from .periodic_runs import longest, periodic_runs, with_planted_tail
 from .pieces import decode, encode
 from .quality import MIN_WORDS, quality_scores
 from .secrets import BASE_KINDS, listed, of_kinds, secret_spans
@@ -102,8 +106,37 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in its middle, and what it is restored to."""
+    found = fill_middle(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash near-duplicate component of every document."""
+    found = minhash_groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, in one of ten with a repeating tail, and what is left."""
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", with_planted_tail().alias("text")))
+    best = longest(F.col("runs"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(listed_runs(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash, op3_decontaminate, op4_quality, op5_langid, op6_toxicity,
-    op7_pieces, op8_page_text, op9_secrets, op10_substring_dedup)}
+    op7_pieces, op8_page_text, op9_secrets, op10_substring_dedup, op11_fill_middle, op12_minhash,
+    op13_periodic_runs)}
 
 __all__ = ["ORACLES", "QUERIES"]
