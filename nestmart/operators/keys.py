@@ -53,19 +53,19 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, spread_by:
     return salted.join(repeated, [key, "_salt"]).drop("_salt")
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys (non-NULL) that occur more than once, with their counts."""
-    return (df.where(F.col(key).isNotNull()).groupBy(key).count()
+def duplicate_keys(df: DataFrame, key: str, *within: str) -> DataFrame:
+    """Keys (non-NULL) that occur more than once (with equal ``within`` columns), and counts."""
+    return (df.where(F.col(key).isNotNull()).groupBy(key, *within).count()
             .where(F.col("count") > 1))
 
 
-def assert_unique(df: DataFrame, key: str, what: str = "source") -> None:
+def assert_unique(df: DataFrame, key: str, what: str = "source", within: Sequence[str] = ()) -> None:
     """Fail like a warehouse MERGE does when several source rows hit one key.
 
     One aggregation job with map-side partial counts; only a single offending
     row (if any) travels to the driver.
     """
-    hit = duplicate_keys(df, key).limit(1).collect()
+    hit = duplicate_keys(df, key, *within).limit(1).collect()
     if hit:
         raise DuplicateKeyError(
             f"{what}: key {key}={hit[0][key]!r} occurs {hit[0]['count']} times")

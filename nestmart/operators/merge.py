@@ -19,9 +19,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestmart import schemas
-from nestmart.functions.columns import append_series
+from nestmart.functions.columns import append_series, metric_placeholder
 from nestmart.operators.keys import assert_unique
 
 # Stored columns a matched film keeps; only money and metrics change on a match.
@@ -73,6 +74,59 @@ def merge_movies(stored: DataFrame, staging: DataFrame, run_date: str | dt.date,
     return joined.select(*out).to(schemas.MOVIES)
 
 
+def merge_movie_days(stored: DataFrame, staging: DataFrame, days: Sequence[str | dt.date],
+                     day_col: str = "run_date", check_unique: bool = True) -> DataFrame:
+    """Fold several days' films into the stored table, as :func:`merge_movies` day by day would.
+
+    ``staging`` holds the films of all days with the day in ``day_col``; a day
+    of ``days`` without films still gives every known film a placeholder. One
+    full join for all days: a film's staged days become one sorted array (as
+    many entries as days), and the fold over them runs inside the row.
+    """
+    if check_unique:
+        assert_unique(staging, "movie_id", "staging movies", [day_col])
+    # films without an id never match, each stays a row of its own
+    staged = staging.withColumn("_own", F.when(F.col("movie_id").isNull(),
+                                               F.monotonically_increasing_id()))
+    films = staged.groupBy("movie_id", "_own").agg(F.sort_array(F.collect_list(F.struct(
+        F.col(day_col).cast("date").alias("day"), *MOVIE_STATIC, *MOVIE_MONEY, "metrics"))).alias(
+        "_days")).drop("_own")
+    t, s = _marked(stored, "t"), _marked(films, "s")
+    joined = t.join(s, F.col("t.movie_id") == F.col("s.movie_id"), "full")
+    in_t = F.coalesce(F.col("t._t_row"), F.lit(False))
+    seen = F.col("s._days")
+    first = F.get(seen, F.lit(0))
+    series = T.ArrayType(schemas.METRIC)
+    empty = F.array().cast(series)
+
+    def entries(day: Column) -> Column:
+        today = F.get(F.filter(seen, lambda x: x["day"] == day), F.lit(0))
+        known = in_t | F.coalesce(first["day"] < day, F.lit(False))
+        return F.when(today.isNotNull(), F.coalesce(today["metrics"].cast(series), empty)).when(
+            known, F.array(metric_placeholder(day)).cast(series)).otherwise(empty)
+
+    def latest(money: str) -> Column:
+        return F.aggregate(seen, F.col(f"t.{money}").cast("bigint"), lambda acc, x: F.coalesce(
+            x[money].cast("bigint"), acc))
+
+    out = [F.when(in_t, F.col("t.movie_id")).otherwise(F.col("s.movie_id")).alias("movie_id")]
+    out += [F.when(in_t, F.col(f"t.{c}")).otherwise(first[c]).alias(c) for c in MOVIE_STATIC]
+    out += [F.when(seen.isNull(), F.col(f"t.{c}")).otherwise(latest(c)).alias(c)
+            for c in MOVIE_MONEY]
+    ordered = F.array(*[_date_lit(d) for d in sorted(map(str, days))]).cast("array<date>")
+    out.append(F.concat(F.coalesce(F.col("t.metrics").cast(series), empty),
+                        F.flatten(F.transform(ordered, entries))).alias("metrics"))
+    return joined.select(*out).to(schemas.MOVIES)
+
+
+def latest_per_key(staging: DataFrame, key: str, attrs: Sequence[str],
+                   day_col: str = "run_date") -> DataFrame:
+    """Each key's attributes of its last day; rows without a key all stay."""
+    known = staging.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.max_by(F.struct(*attrs), day_col).alias("_last")).select(key, "_last.*")
+    return known.unionByName(staging.where(F.col(key).isNull()).select(key, *attrs))
+
+
 def merge_dim(stored: DataFrame, staging: DataFrame, key: str, attrs: Sequence[str],
               check_unique: bool = True) -> DataFrame:
     """Person / company upsert: staged attributes overwrite, NULLs included.
@@ -90,12 +144,14 @@ def merge_dim(stored: DataFrame, staging: DataFrame, key: str, attrs: Sequence[s
     return joined.select(*cols)
 
 
+PERSON_ATTRS = ["name", "gender", "department"]
+COMPANY_ATTRS = ["company_name", "company_country"]
+
+
 def merge_credits(stored: DataFrame, staging: DataFrame, check_unique: bool = True) -> DataFrame:
-    return merge_dim(stored, staging, "person_id", ["name", "gender", "department"],
-                     check_unique).to(schemas.CREDITS)
+    return merge_dim(stored, staging, "person_id", PERSON_ATTRS, check_unique).to(schemas.CREDITS)
 
 
 def merge_companies(stored: DataFrame, staging: DataFrame,
                     check_unique: bool = True) -> DataFrame:
-    return merge_dim(stored, staging, "company_id", ["company_name", "company_country"],
-                     check_unique).to(schemas.PRODUCTION_COMPANIES)
+    return merge_dim(stored, staging, "company_id", COMPANY_ATTRS, check_unique).to(schemas.PRODUCTION_COMPANIES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,19 @@ def collect_sorted(df: DataFrame, key: str, fields: Sequence[str], sort_by: Sequ
     )
 
 
+def sorted_entries(arr: Column, fields: Sequence[str], sort_by: Sequence[str]) -> Column:
+    """The array's structs reduced to ``fields`` and sorted as :func:`collect_sorted` sorts.
+
+    For entries that already stand in one row: no explode, no shuffle and no
+    collected list. An empty or NULL array gives NULL, as a key without rows
+    does in a left join to collected arrays.
+    """
+    lead = list(sort_by) + [f for f in fields if f not in sort_by]
+    ordered = F.sort_array(F.transform(arr, lambda x: F.struct(*[x[f].alias(f) for f in lead])))
+    return F.when(F.size(arr) > 0, F.transform(
+        ordered, lambda x: F.struct(*[x[f].alias(f) for f in fields])))
+
+
 def explode_entries(df: DataFrame, keep: Sequence[str], arr: str) -> DataFrame:
     """One row per array entry with the struct flattened to columns (AR-4, PR-4).
 

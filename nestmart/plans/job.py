@@ -8,27 +8,28 @@ original two-job split, which also cuts the lineage between the steps.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from nestmart.plans.clean import (clean_box_office, clean_cast, clean_credits, clean_crew,
-                                  clean_movie_details, cut_credits)
+                                  clean_movie_details, cut_credits, nest_credits)
 from nestmart.plans.concurrent import run_all
 from nestmart.plans.model import model_day
-from nestmart.plans.publish import publish_day
+from nestmart.plans.publish import publish_day, publish_days
 from nestmart.sources import lake
 
 RAW = ("movie_details", "movie_credits", "box_office")
-CLEAN = ("movie_details", "crew_of_movies", "cast_of_movies", "box_office")
+CLEAN = ("movie_details", "crew_of_movies", "cast_of_movies", "credits_of_movies", "box_office")
 
 
 def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
               multi_line: bool = False) -> None:
-    """Clean one landed day into the clean layer (four Parquet datasets).
+    """Clean one landed day into the clean layer (five Parquet datasets).
 
-    The typed, de-duplicated credits feed both the cast and the crew output;
-    they are persisted (memory, spilling to disk) for the two writes so the
+    The typed, de-duplicated credits feed the cast, the crew and the nested
+    output; they are persisted (memory, spilling to disk) for the writes so the
     day's credits JSON is parsed and de-duplicated once. A lost cached block
     is recomputed from its lineage.
     """
@@ -39,6 +40,7 @@ def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
             "movie_details": clean_movie_details(raw["movie_details"]),
             "crew_of_movies": clean_crew(credits),
             "cast_of_movies": clean_cast(credits),
+            "credits_of_movies": nest_credits(credits),
             "box_office": clean_box_office(raw["box_office"]),
         }
         run_all({name: (lambda df=df, name=name: lake.write_clean(df, lake_root, run_date, name))
@@ -47,12 +49,17 @@ def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
         credits.unpersist()
 
 
+def staged_day(spark: SparkSession, lake_root: str,
+               run_date: str | dt.date) -> dict[str, DataFrame]:
+    """The day's three staging frames from its clean layer."""
+    return model_day({n: lake.read_clean(spark, lake_root, run_date, n) for n in CLEAN}, run_date)
+
+
 def run_model_and_publish(spark: SparkSession, lake_root: str, run_date: str | dt.date,
                           database: str | None, buckets: int | None = None,
                           replace_day: bool = False) -> None:
-    clean = {n: lake.read_clean(spark, lake_root, run_date, n) for n in CLEAN}
-    staging = model_day(clean, run_date)
-    publish_day(spark, staging, database, run_date, buckets=buckets, replace_day=replace_day)
+    publish_day(spark, staged_day(spark, lake_root, run_date), database, run_date,
+                buckets=buckets, replace_day=replace_day)
 
 
 def run_day(spark: SparkSession, lake_root: str, run_date: str | dt.date,
@@ -61,3 +68,12 @@ def run_day(spark: SparkSession, lake_root: str, run_date: str | dt.date,
     """Clean, model and publish one landed day."""
     run_clean(spark, lake_root, run_date, multi_line)
     run_model_and_publish(spark, lake_root, run_date, database, buckets, replace_day)
+
+
+def run_days(spark: SparkSession, lake_root: str, run_dates: Sequence[str | dt.date],
+             database: str | None, multi_line: bool = False, buckets: int | None = None) -> None:
+    """Clean and model several landed days, and publish them in one pass over the tables."""
+    for run_date in run_dates:
+        run_clean(spark, lake_root, run_date, multi_line)
+    publish_days(spark, {str(d): staged_day(spark, lake_root, d) for d in run_dates}, database,
+                 buckets=buckets)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,14 +39,16 @@ def collect_crews(crew: DataFrame) -> DataFrame:
                           ["person_id", "job"], ["person_id", "job"], "crews")
 
 
-def film_join_chain(details: DataFrame, cast: DataFrame, crew: DataFrame,
+def film_join_chain(details: DataFrame, people: Sequence[DataFrame],
                     box_office: DataFrame) -> DataFrame:
-    """Films ⟕ collected casts ⟕ collected crews ⟕ box office (JO-1).
+    """Films ⟕ casts and crews ⟕ box office (JO-1).
 
-    The right sides are unique per key (one collected row per film, one box
-    office row per imdb id), so no film is multiplied. Casts and crews join on
+    ``people`` holds frames with ``movie_id`` and arrays: the nested credits of
+    the clean layer, or casts and crews collected from their exploded datasets.
+    The right sides are unique per key (one row per film, one box office row
+    per imdb id), so no film is multiplied. Frames of ``people`` join on
     ``movie_id`` like the film side is keyed, so the planner can reuse one
-    hash partitioning for both; box office joins on the imdb id, with NULL
+    hash partitioning for all; box office joins on the imdb id, with NULL
     ids spread out (see ``spread_null_key``). Box office columns keep a
     ``bo_`` prefix.
     """
@@ -64,14 +67,14 @@ def film_join_chain(details: DataFrame, cast: DataFrame, crew: DataFrame,
         F.col("domestic_opening").alias("bo_opening"),
         F.col("worldwide_gross").alias("bo_gross"),
     )
+    for frame in people:
+        films = films.join(frame, "movie_id", "left")
     return (films
-            .join(collect_casts(cast), "movie_id", "left")
-            .join(collect_crews(crew), "movie_id", "left")
             .join(bo, (spread_null_key(F.col("imdb_id"), F.col("movie_id"))
                        == F.col("bo_imdb_id")) & F.col("imdb_id").isNotNull(), "left"))
 
 
-def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,
+def model_movies(details: DataFrame, people: Sequence[DataFrame],
                  box_office: DataFrame, run_date: str | dt.date) -> DataFrame:
     """The day's ``staging_movies``: one nested row per film (CJ-5).
 
@@ -79,7 +82,7 @@ def model_movies(details: DataFrame, cast: DataFrame, crew: DataFrame,
     gross only exists in box office. The day's figures become a one-element
     ``metrics`` array stamped with the run date.
     """
-    joined = film_join_chain(details, cast, crew, box_office)
+    joined = film_join_chain(details, people, box_office)
     metric = F.struct(
         as_float64("popularity").alias("popularity"),
         F.col("vote_count").cast("bigint").alias("vote_count"),
@@ -121,8 +124,8 @@ def model_companies(details: DataFrame) -> DataFrame:
 def model_day(clean: dict[str, DataFrame], run_date: str | dt.date) -> dict[str, DataFrame]:
     """The three staging frames of one day, keyed by warehouse table name."""
     return {
-        "movies": model_movies(clean["movie_details"], clean["cast_of_movies"],
-                               clean["crew_of_movies"], clean["box_office"], run_date),
+        "movies": model_movies(clean["movie_details"], [clean["credits_of_movies"]],
+                               clean["box_office"], run_date),
         "credits": model_credits(clean["cast_of_movies"], clean["crew_of_movies"]),
         "production_companies": model_companies(clean["movie_details"]),
     }

@@ -11,11 +11,16 @@ its own output files only.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nestmart import schemas
 from nestmart.operators import merge
+from nestmart.operators.keys import assert_unique
 from nestmart.plans.concurrent import run_all
 from nestmart.sources import tables
 
@@ -28,6 +33,13 @@ MERGES = {
 }
 
 
+#: Key, attributes and merge of the tables that take a row's last attributes.
+DIMENSIONS = {
+    "credits": ("person_id", merge.PERSON_ATTRS, merge.merge_credits),
+    "production_companies": ("company_id", merge.COMPANY_ATTRS, merge.merge_companies),
+}
+
+
 # Bucket sizing: a bucket is one merge task's share of the stored table.
 TARGET_BUCKET_BYTES = 256 * 1024 * 1024
 GROW_FACTOR = 4
@@ -65,10 +77,59 @@ def stored_or_empty(spark: SparkSession, database: str | None, table: str) -> Da
     return spark.createDataFrame([], schemas.WAREHOUSE_SCHEMAS[table])
 
 
-def stage_day(staging: dict[str, DataFrame], database: str | None) -> None:
-    """Write the day's three staging tables (IO-7), side by side."""
-    run_all({t: (lambda df=df, t=t: tables.write_staging(df, database, t))
-             for t, df in staging.items()})
+def stage_day(staging: dict[str, DataFrame], database: str | None,
+              buckets: int | None = None) -> None:
+    """Write the day's three staging tables (IO-7), side by side.
+
+    Each is bucketed and sorted as the next version of its table will be.
+    """
+    def write(table: str, df: DataFrame) -> str:
+        n = choose_buckets(df.sparkSession, database, table, buckets)
+        return tables.write_staging(df, database, table, schemas.KEYS[table], n)
+
+    run_all({t: (lambda df=df, t=t: write(t, df)) for t, df in staging.items()})
+
+
+#: Lets a scan of one sorted file per bucket tell the planner its order.
+SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+@contextmanager
+def sorted_scans(spark: SparkSession) -> Iterator[None]:
+    """Within it, joins of tables that are bucketed and sorted by the key don't sort again."""
+    before = spark.conf.get(SCAN_ORDER, None)
+    spark.conf.set(SCAN_ORDER, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SCAN_ORDER)
+        else:
+            spark.conf.set(SCAN_ORDER, before)
+
+
+def _publish(spark: SparkSession, database: str | None, todo: list[str], days: list[str],
+             merge_table: Callable[[str, DataFrame, DataFrame], DataFrame],
+             buckets: int | None) -> None:
+    """Merge the staged tables of ``todo``, then swap all in; record ``days`` in each.
+
+    The merges are independent and run side by side; all must succeed before any swap.
+    """
+    def merge_one(table: str) -> None:
+        staged = tables.read_staging(spark, database, table)
+        n = tables.bucket_count(spark, database, f"staging_{table}") or choose_buckets(
+            spark, database, table, buckets)
+        merged = merge_table(table, stored_or_empty(spark, database, table), staged)
+        key = schemas.KEYS[table]
+        tables.create_table_as(merged, database, f"{table}__next", bucket_by=key, buckets=n,
+                               sort_by=[key])
+        tables.set_published(spark, database, f"{table}__next", *days,
+                             *tables.published_days(spark, database, table))
+
+    with sorted_scans(spark):
+        run_all({t: (lambda t=t: merge_one(t)) for t in todo})
+    for table in todo:
+        tables.swap_table(spark, database, f"{table}__next", table)
 
 
 def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt.date,
@@ -77,29 +138,16 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
     """Merge the staged day into the live tables, swap, drop staging (CJ-8).
 
     A day that broke off can be run again: swaps that broke off are undone
-    first, and a table that already carries the day is left as it is (with
-    ``replace_day`` it is merged again, replacing the day's entries).
+    first, and a table that already carries the day, its last or an older one,
+    is left as it is (with ``replace_day`` it is merged again, replacing the
+    day's entries).
     """
     for table in tables.STAGED:
         tables.recover_table(spark, database, table)
     todo = [t for t in tables.STAGED
-            if replace_day or tables.published_day(spark, database, t) != str(run_date)]
-
-    def merge_one(table: str) -> None:
-        n = choose_buckets(spark, database, table, buckets)
-        stored = stored_or_empty(spark, database, table)
-        staged = tables.read_staging(spark, database, table)
-        merged = MERGES[table](stored, staged, run_date, replace_day)
-        tables.create_table_as(merged, database, f"{table}__next",
-                               bucket_by=schemas.KEYS[table], buckets=n)
-        # an older day that is run again does not take the latest day's place
-        latest = max(str(run_date), tables.published_day(spark, database, table) or "")
-        tables.set_published(spark, database, f"{table}__next", latest)
-
-    # The three merges are independent; all must succeed before any swap.
-    run_all({t: (lambda t=t: merge_one(t)) for t in todo})
-    for table in todo:
-        tables.swap_table(spark, database, f"{table}__next", table)
+            if replace_day or str(run_date) not in tables.published_days(spark, database, t)]
+    _publish(spark, database, todo, [str(run_date)],
+             lambda t, stored, staged: MERGES[t](stored, staged, run_date, replace_day), buckets)
     if not keep_staging:
         tables.drop_staging(spark, database)
 
@@ -108,5 +156,40 @@ def publish_day(spark: SparkSession, staging: dict[str, DataFrame], database: st
                 run_date: str | dt.date, buckets: int | None = None,
                 replace_day: bool = False) -> None:
     """Stage the day's frames, then merge, swap and clean up."""
-    stage_day(staging, database)
+    stage_day(staging, database, buckets)
     publish_staged(spark, database, run_date, buckets=buckets, replace_day=replace_day)
+
+
+def publish_days(spark: SparkSession, stagings: Mapping[str, dict[str, DataFrame]],
+                 database: str | None, buckets: int | None = None) -> None:
+    """Publish several days in one pass: one staging write, one merge and one swap a table.
+
+    ``stagings`` has each day's three staging frames by date. The result is
+    that of publishing them one after another in date order: films gain an
+    entry or a placeholder for every day, money keeps its last known value,
+    persons and companies take their last day's attributes. Days that a table
+    already carries are left out of it.
+    """
+    for table in tables.STAGED:
+        tables.recover_table(spark, database, table)
+    days = {t: sorted(set(stagings) - tables.published_days(spark, database, t))
+            for t in tables.STAGED}
+    todo = [t for t in tables.STAGED if days[t]]
+
+    def staged(table: str) -> DataFrame:
+        frames = [stagings[d][table].withColumn("run_date", F.lit(d).cast("date"))
+                  for d in days[table]]
+        return reduce(DataFrame.unionByName, frames)
+
+    def merge_table(table: str, stored: DataFrame, staging: DataFrame) -> DataFrame:
+        if table == "movies":
+            return merge.merge_movie_days(stored, staging, days[table])
+        key, attrs, fold = DIMENSIONS[table]
+        assert_unique(staging, key, f"staging {key}", ["run_date"])
+        return fold(stored, merge.latest_per_key(staging, key, attrs), check_unique=False)
+
+    stage_day({t: staged(t) for t in todo}, database, buckets)
+    for group in sorted({tuple(days[t]) for t in todo}):
+        _publish(spark, database, [t for t in todo if tuple(days[t]) == group], list(group),
+                 merge_table, buckets)
+    tables.drop_staging(spark, database)

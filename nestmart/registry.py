@@ -409,9 +409,10 @@ FROM d0 LEFT JOIN cast_n c ON d0.movie_id = c.movie_id
 LEFT JOIN crew_n cr ON d0.movie_id = cr.movie_id
 """, ORACLE_BO, ORACLE_DAY0, ORACLE_ENTRY_COUNTS))
 def q_left_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from nestmart.plans.model import film_join_chain
+    from nestmart.plans.model import collect_casts, collect_crews, film_join_chain
     c = _day_clean(spark, sf_dir, 0)
-    j = film_join_chain(c["movie_details"], c["cast_of_movies"], c["crew_of_movies"],
+    j = film_join_chain(c["movie_details"], [collect_casts(c["cast_of_movies"]),
+                                             collect_crews(c["crew_of_movies"])],
                         c["box_office"])
     return presented(j.select("movie_id", _size("casts").alias("n_casts"),
                               _size("crews").alias("n_crews"),
@@ -429,9 +430,10 @@ SELECT movie_id,
 FROM d0
 """, ORACLE_BO, ORACLE_DAY0))
 def q_gross_budget_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from nestmart.plans.model import film_join_chain
+    from nestmart.plans.model import collect_casts, collect_crews, film_join_chain
     c = _day_clean(spark, sf_dir, 0)
-    j = film_join_chain(c["movie_details"], c["cast_of_movies"], c["crew_of_movies"],
+    j = film_join_chain(c["movie_details"], [collect_casts(c["cast_of_movies"]),
+                                             collect_crews(c["crew_of_movies"])],
                         c["box_office"])
 
     def source(bo: str, own: str) -> Column:
@@ -454,10 +456,9 @@ FROM fx_line WHERE NOT is_crew AND ord <= 20
 """))
 def q_collect_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nestmart.operators.nested import explode_with_position
-    from nestmart.plans.clean import clean_cast
-    from nestmart.plans.model import collect_casts
-    casts = collect_casts(clean_cast(_clean_credits(spark, sf_dir)))
-    return presented(explode_with_position(casts, ["movie_id"], "casts"))
+    from nestmart.plans.clean import nest_credits
+    nested = nest_credits(_clean_credits(spark, sf_dir))
+    return presented(explode_with_position(nested, ["movie_id"], "casts"))
 
 
 @register("collect_crews", oracle(["line"], """
@@ -468,10 +469,9 @@ FROM fx_line WHERE is_crew AND job IN ('Director', 'Writer', 'Screenplay')
 """))
 def q_collect_crews(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nestmart.operators.nested import explode_with_position
-    from nestmart.plans.clean import clean_crew
-    from nestmart.plans.model import collect_crews
-    crews = collect_crews(clean_crew(_clean_credits(spark, sf_dir)))
-    return presented(explode_with_position(crews, ["movie_id"], "crews"))
+    from nestmart.plans.clean import nest_credits
+    nested = nest_credits(_clean_credits(spark, sf_dir))
+    return presented(explode_with_position(nested, ["movie_id"], "crews"))
 
 
 @register("model_credits", oracle(["line"], """
@@ -691,6 +691,19 @@ def q_publish_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _series_rows(spark.table(qualified(db, "movies")))
 
 
+@register("publish_days", _oracle_series(2))
+def q_publish_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three landed days, published in one pass over the tables."""
+    from nestmart.plans.job import run_days
+    from nestmart.session import scratch_path
+    from nestmart.sources.tables import qualified
+    db = _scratch_db(spark, "publish_days")
+    root = scratch_path(spark, "lake")
+    _land_days(spark, sf_dir, root)
+    run_days(spark, root, [fx.day_date(d) for d in fx.DAYS], db)
+    return _series_rows(spark.table(qualified(db, "movies")))
+
+
 def _customer_people(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = fx.table(spark, sf_dir, "customer")
     stored = c.where(F.col("c_nationkey") < 20).select(

@@ -8,6 +8,7 @@ under a side name and swapped in.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,9 +76,18 @@ def create_table_as(df: DataFrame, database: str | None, table: str, replace: bo
     return name
 
 
-def write_staging(df: DataFrame, database: str | None, table: str) -> str:
-    """Overwrite ``staging_<table>`` (IO-7)."""
-    return create_table_as(df, database, f"staging_{table}")
+def write_staging(df: DataFrame, database: str | None, table: str, key: str | None = None,
+                  buckets: int | None = None) -> str:
+    """Overwrite ``staging_<table>`` (IO-7).
+
+    With ``key`` and ``buckets`` it is laid out like a table that is bucketed
+    so: one sorted file for each bucket. Their merge join then needs neither
+    an exchange nor a sort.
+    """
+    if not (key and buckets):
+        return create_table_as(df, database, f"staging_{table}")
+    return create_table_as(df.repartition(buckets, key), database, f"staging_{table}",
+                           bucket_by=key, buckets=buckets, sort_by=[key])
 
 
 def read_staging(spark: SparkSession, database: str | None, table: str) -> DataFrame:
@@ -124,14 +134,44 @@ def recover_table(spark: SparkSession, database: str | None, live: str) -> None:
         _rename(spark, database, f"{live}{PREVIOUS}", live)
 
 
-def set_published(spark: SparkSession, database: str | None, table: str, run_date: str) -> None:
-    """Record in the table's properties which day it was published for."""
+def day_ranges(days: Iterable[str]) -> str:
+    """Days as ascending ranges, ``2024-01-01..2024-01-31,2024-02-02``: short however
+    many days there are, as long as few are missing."""
+    out: list[list[dt.date]] = []
+    for day in sorted({dt.date.fromisoformat(d) for d in days}):
+        if out and day - out[-1][1] == dt.timedelta(days=1):
+            out[-1][1] = day
+        else:
+            out.append([day, day])
+    return ",".join(f"{a}..{b}" if a != b else f"{a}" for a, b in out)
+
+
+def days_of(ranges: str | None) -> set[str]:
+    """The days that :func:`day_ranges` wrote."""
+    days: set[str] = set()
+    for part in (ranges or "").split(","):
+        if part:
+            first, _, last = part.partition("..")
+            a, b = dt.date.fromisoformat(first), dt.date.fromisoformat(last or first)
+            days |= {str(a + dt.timedelta(days=k)) for k in range((b - a).days + 1)}
+    return days
+
+
+def set_published(spark: SparkSession, database: str | None, table: str,
+                  *run_dates: str) -> None:
+    """Record in the table's properties which days it was published for."""
     spark.sql(f"ALTER TABLE {qualified(database, table)} "
-              f"SET TBLPROPERTIES ('{PUBLISHED}' = '{run_date}')")
+              f"SET TBLPROPERTIES ('{PUBLISHED}' = '{day_ranges(run_dates)}')")
 
 
-def published_day(spark: SparkSession, database: str | None, table: str) -> str | None:
+def published_days(spark: SparkSession, database: str | None, table: str) -> set[str]:
+    """All days that the table was published for."""
     if not table_exists(spark, database, table):
-        return None
+        return set()
     rows = spark.sql(f"SHOW TBLPROPERTIES {qualified(database, table)}").collect()
-    return {r.key: r.value for r in rows}.get(PUBLISHED)
+    return days_of({r.key: r.value for r in rows}.get(PUBLISHED))
+
+
+def published_day(spark: SparkSession, database: str | None, table: str) -> str | None:
+    """The latest of them."""
+    return max(published_days(spark, database, table), default=None)

@@ -5,7 +5,8 @@ import datetime as dt
 from nestmart import schemas
 from nestmart.plans.clean import (clean_box_office, clean_cast, clean_credits, clean_crew,
                                   clean_movie_details)
-from nestmart.plans.model import model_companies, model_credits, model_movies
+from nestmart.plans.model import (collect_casts, collect_crews, model_companies,
+                                  model_credits, model_movies)
 
 
 def details_row(id, popularity=1.5, budget=100.0, revenue=7.0, runtime=90.0, genres=None,
@@ -75,7 +76,8 @@ def _clean_frames(spark):
 
 def test_model_movies_joins_and_fallbacks(spark):
     details, cast, crew, bo = _clean_frames(spark)
-    out = {r.movie_id: r for r in model_movies(details, cast, crew, bo, "2024-01-01").collect()}
+    out = {r.movie_id: r for r in model_movies(
+        details, [collect_casts(cast), collect_crews(crew)], bo, "2024-01-01").collect()}
     one, two = out[1], out[2]
     assert one.movie_budget == 300 and one.opening_gross == 50
     assert one.metrics[0].gross == 7                 # box office gross NULL -> revenue

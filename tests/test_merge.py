@@ -133,3 +133,88 @@ def test_older_day_run_again_after_later_ones(spark):
     absent = merge_movies(stored, film(spark, 9, day="2024-01-02"), "2024-01-02",
                           replace_day=True).where("movie_id = 1").first()
     assert [m.popularity for m in absent.metrics] == [1.0, None, 3.0]
+
+
+def _people(spark, rows):
+    return spark.createDataFrame(rows, schemas.CREDITS)
+
+
+def _film(spark, rows):
+    """(movie_id, title, opening, budget, metrics) as film rows."""
+    full = [(i, f"tt{i}", t, t, [t], None, None, None, 90, None, None, o, b, m)
+            for i, t, o, b, m in rows]
+    return spark.createDataFrame(full, schemas.MOVIES)
+
+
+def test_several_days_in_one_merge_equal_day_by_day(spark):
+    import datetime as dt
+
+    from nestmart.operators.merge import merge_movie_days, merge_movies
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3, 4)]
+
+    def metric(d, v):
+        return [(float(v), v, 1.0, v * 10, d)]
+
+    stored = _film(spark, [(1, "one", 5, None, metric(dt.date(2023, 12, 31), 1)), (2, "two", None, 7, None),
+                           (9, "nine", 1, 1, [])])
+    staged = {
+        days[0]: [(1, "ONE", None, 3, metric(days[0], 2)), (3, "three", 1, None, metric(days[0], 3))],
+        days[1]: [(3, "THREE", None, 4, metric(days[1], 4)), (2, "x", 8, None, None)],
+        days[2]: [],
+        days[3]: [(4, "four", None, None, metric(days[3], 5)), (3, "y", 2, None, metric(days[3], 6)),
+                  (None, "no id", 1, 2, metric(days[3], 7))],
+    }
+    want = stored
+    for d in days:
+        want = merge_movies(want, _film(spark, staged[d]), d)
+    frames = [_film(spark, rows).withColumn("run_date", F.lit(str(d)).cast("date"))
+              for d, rows in staged.items()]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    got = merge_movie_days(stored, union, days)
+    key = lambda r: (r.movie_id is None, r.movie_id or 0)
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert got.schema == want.schema
+    with pytest.raises(DuplicateKeyError):
+        merge_movie_days(stored, union.unionByName(frames[0]), days)
+
+
+def test_days_published_together_and_again(spark, scratch_db):
+    from nestmart.plans.publish import publish_day, publish_days
+    from nestmart.sources import tables
+    days = ["2024-01-01", "2024-01-02", "2024-01-04"]
+
+    def staging(d, v):
+        return {"movies": _film(spark, [(1, f"t{v}", None, v, [(1.0, v, 1.0, v, None)])]),
+                "credits": _people(spark, [(v, "new", 1, None), (7, f"last {d}", None, "x")]),
+                "production_companies": spark.createDataFrame(
+                    [(1, f"c{v}", None)], schemas.PRODUCTION_COMPANIES)}
+
+    publish_days(spark, {d: staging(d, k) for k, d in enumerate(days)}, scratch_db, buckets=3)
+
+    def rows(t):
+        return spark.table(tables.qualified(scratch_db, t)).collect()
+
+    assert tables.published_days(spark, scratch_db, "movies") == set(days)
+    assert tables.published_day(spark, scratch_db, "credits") == days[-1]
+    (film,) = rows("movies")
+    assert [m.vote_count for m in film.metrics] == [0, 1, 2] and film.movie_budget == 2
+    assert {r.person_id: r.name for r in rows("credits")} == {
+        0: "new", 1: "new", 2: "new", 7: "last 2024-01-04"}
+    assert [r.company_name for r in rows("production_companies")] == ["c2"]
+    # the last day, an older one, and both with a new one: nothing is doubled
+    publish_day(spark, staging(days[0], 0), scratch_db, days[0])
+    publish_day(spark, staging(days[2], 2), scratch_db, days[2])
+    publish_days(spark, {d: staging(d, k) for k, d in enumerate([*days, "2024-01-05"])}, scratch_db)
+    (film,) = rows("movies")
+    assert [m.vote_count for m in film.metrics] == [0, 1, 2, 3]
+    assert not tables.table_exists(spark, scratch_db, "staging_movies")
+
+
+def test_day_ranges_round_trip():
+    from nestmart.sources.tables import day_ranges, days_of
+    days = ["2024-02-28", "2024-02-29", "2024-03-01", "2023-12-31", "2024-01-01", "2024-05-05"]
+    text = day_ranges(days)
+    assert text == "2023-12-31..2024-01-01,2024-02-28..2024-03-01,2024-05-05"
+    assert days_of(text) == set(days) and days_of("") == days_of(None) == set()

@@ -80,3 +80,38 @@ def test_hot_person_is_dealt_to_many_partitions(spark, stored):
     people = spark.createDataFrame([(7, "a"), (8, "b")], "person_id long, name string")
     joined = join_dimension(films, people, "person_id", "movie_id", salts=16)
     assert joined.count() == 1000 and joined.columns == ["person_id", "movie_id", "name"]
+
+
+def test_casts_and_crews_are_built_inside_the_row(spark, sf_dir):
+    from nestmart.plans.clean import clean_credits, nest_credits
+    from nestmart.plans.model import model_movies
+    from nestmart.session import materialize
+    raw = materialize(fx.raw_movie_credits(spark, sf_dir), "plan")
+    clean = registry._day_clean(spark, sf_dir, 0)
+    details, box = (materialize(clean[n], "plan") for n in ("movie_details", "box_office"))
+    nested = plan(nest_credits(clean_credits(raw)))
+    assert exchanges(nested) == 1            # the dedupe's
+    text = plan(model_movies(details, [nest_credits(clean_credits(raw))], box, "2024-01-01"))
+    for other in (nested, text):
+        assert "collect_list" not in other and "Generate" not in other and "sort_array" in other
+
+
+def test_merge_of_staged_and_stored_neither_shuffles_nor_sorts(spark, sf_dir):
+    from nestmart.operators.merge import merge_movie_days
+    from nestmart.plans.publish import publish_day, sorted_scans, stage_day
+    db = registry._scratch_db(spark, "tbuckets")
+    days = {d: registry._day_staging(spark, sf_dir, d) for d in (0, 1)}
+    publish_day(spark, days[0], db, fx.day_date(0), buckets=5)
+    stage_day(days[1], db)
+    t, s = (spark.table(qualified(db, x)) for x in ("movies", "staging_movies"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with sorted_scans(spark):
+            one = plan(merge_movies(t, s, fx.day_date(1), check_unique=False))
+            many = plan(merge_movie_days(t, s.withColumn("run_date", fx.F.lit(fx.day_date(1))),
+                                         [fx.day_date(1)], check_unique=False))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert exchanges(one) == 0 and not re.findall(r"^\(\d+\) Sort$", one, flags=re.M)
+    assert "SortMergeJoin" in one and one.count("Bucketed: true") == 2
+    assert exchanges(many) == 0
