@@ -206,7 +206,14 @@ def box_office_figures(html: Column) -> Column:
 
 
 def extract_box_office(pages: DataFrame, key: str = "imdb_id", html: str = "html") -> DataFrame:
-    """``(key, domestic_opening, worldwide_gross, budget)`` as strings, one row per page."""
-    return pages.select(
+    """``(key, domestic_opening, worldwide_gross, budget)`` as strings, one row per page.
+
+    Parsing costs far more than reading, and a file of pages may be one split:
+    pages are dealt over the shuffle partitions by key and text first, without
+    the text of those that hold no summary.
+    """
+    found = pages.select(key, F.when(F.col(html).contains(SUMMARY_CLASS), F.col(html)).alias(html))
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(n, F.col(key), F.xxhash64(html)).select(
         key, box_office_figures(F.col(html)).alias("_f")).select(
         key, *[F.col(f"_f.{f}").alias(f) for f in FIELDS])
