@@ -89,6 +89,8 @@ def secret_spans(docs: DataFrame, ledger: str | None = None, id_col: str = "doc_
 
     * NULL text counts as the empty text. Empty texts have no spans.
     * Repeated rows and copies share one scan; each row gets the findings.
+    * A blob that stands in the ledger twice (two runs at once, or an append
+      that was tried again) has its findings once.
     * NULL ids are ordinary rows. An empty table gives no rows. Other columns
       are not read.
     * Findings of rule versions that are not in ``rules`` stay in the ledger
@@ -117,7 +119,8 @@ def secret_spans(docs: DataFrame, ledger: str | None = None, id_col: str = "doc_
             F.get(kinds, s["rank"]).alias("kind"), F.get(keys, s["rank"]).alias("rule")))
     ).write.mode("append").parquet(ledger)
     known = spark.read.schema(schema).parquet(ledger).filter(F.size("spans") > 0)
-    found = known.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans")).select(
+    found = known.groupBy("blob").agg(F.array_distinct(
+        F.flatten(F.collect_list("spans"))).alias("spans")).select(
         "blob", F.transform(
             F.sort_array(F.filter("spans", lambda s: F.array_contains(keys, s["rule"]))),
             lambda s: F.struct(

@@ -63,8 +63,9 @@ def _fingerprints(shingle: int):
             texts = batch.column("text").cast(pa.large_binary())
             fp = np.array([fingerprint(t.as_py() or b"", shingle) for t in texts],
                           dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fp)],
-                                             names=["id", "fp"])
+            rest = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(fp)],
+                                             names=[*rest, "fp"])
 
     return run
 
@@ -185,8 +186,16 @@ def similar_fingerprints(distinct: DataFrame, radius: int = RADIUS) -> DataFrame
         F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
+def _with_roots(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, first): fingerprints with their component."""
+    roots = connected_components(similar_fingerprints(distinct, radius))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "first")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+                   shingle: int = SHINGLE, radius: int = RADIUS,
+                   mark_col: str | None = None) -> DataFrame:
     """Fingerprint and near-duplicate group of every row.
 
     Words are runs of other bytes than ASCII white space with A-Z in lower
@@ -195,7 +204,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``radius`` bits; a group is a connected component.
 
     Returns id_col, fp (long) and component (smallest id of the group); one
-    row for each input row. Other columns of ``docs`` are not read.
+    row for each input row. With ``mark_col`` also the text's xxhash64 under
+    that name, and stays: whether the row is its group's first by id, rows
+    without one last, and mark. Other columns of ``docs`` are not read.
 
     * NULL or empty text, or white space only: fingerprint zero, linked like
       any other.
@@ -205,13 +216,24 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     * Empty table: no rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    if mark_col:
+        rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"),
+                           F.col(text_col).alias("text"))
+        prints = materialize(rows.mapInArrow(
+            _fingerprints(shingle), f"id {id_type}, mark long, fp long"), "simhash")
+        place = F.struct(F.col("id").isNull().alias("none"), "id", "mark")
+        distinct = materialize(prints.groupBy("fp").agg(F.min(place).alias("first")), "simhash")
+        classes = _with_roots(distinct, radius)
+        lowest = classes.groupBy("root").agg(F.min("first").alias("least"))
+        labels = classes.join(lowest, "root").select("fp", "least")
+        return prints.join(labels, "fp").select(
+            F.col("id").alias(id_col), "fp", F.col("least.id").alias("component"),
+            F.col("mark").alias(mark_col), (place == F.col("least")).alias("stays"))
     prints = materialize(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .mapInArrow(_fingerprints(shingle), f"id {id_type}, fp long"), "simhash")
     distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash")
-    roots = connected_components(similar_fingerprints(distinct, radius))
-    classes = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "first")
+    classes = _with_roots(distinct, radius)
     smallest = classes.groupBy("root").agg(F.min("first").alias("component"))
     labels = classes.join(smallest, "root").select("fp", "component")
     return prints.join(labels, "fp").select(F.col("id").alias(id_col), "fp", "component")
