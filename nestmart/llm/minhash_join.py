@@ -18,10 +18,16 @@ differ: for texts of Jaccard similarity s it is about ``SYMBOLS * (1 - s)``.
    in most keys are tried; what lies within ``DISTANCE`` is confirmed on the
    full shingle sets, and the links' components are found.
 4. Keys that still join classes of different components are searched in
-   blocks, signature against signature: first the closest pair of every two
-   components, then, in the components which that leaves, every pair not yet
-   tried. So no pair within ``DISTANCE`` is lost: it is confirmed, refused on
-   the full sets, or already connected.
+   blocks, signature against signature: for ``ROUNDS`` rounds each component
+   tries its closest pair with another one, then every pair not yet tried is,
+   at the first key that the two share. So no pair within ``DISTANCE`` is lost:
+   it is confirmed, refused on the full sets, or already connected.
+
+The last search, of every pair, also asks that a longer signature of ``MORE``
+further min-hashes of eight bits agrees: ``FAR`` differing places in all at
+most, beyond which, too, a pair of similarity 0.85 lies with a chance of 1e-7.
+A key without a near pair of different components never gets one, so each round
+searches only the keys in which the round before found some.
 
 A key's members reach its bucket once for each part of ``PART_CLASSES``
 classes, and a large key's search is dealt over pairs of blocks, so no task
@@ -49,6 +55,9 @@ SHINGLE = 5
 UP, DOWN = 85, 100
 SYMBOLS, BITS, CHUNKS, ERRORS = 128, 16, 21, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
+MORE, FAR = 384, 119
+#: Rounds in which each component tries its closest pair.
+ROUNDS = 2
 #: Sets below this size are similar to their equals only.
 LEAST_SET = DOWN // (DOWN - UP)
 #: Classes of which a task makes one part; bytes of keys that a bucket holds on average.
@@ -58,8 +67,8 @@ BLOCK, GROUP_BYTES = 2048, 24 << 20
 LEXER = Lexer.separated_by(WHITE_SPACE, lower=True)
 
 _RANDOM = np.random.default_rng(12)
-_SALT = _RANDOM.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
-_FACTOR = _RANDOM.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SALT = _RANDOM.integers(0, 1 << 32, SYMBOLS + MORE, dtype=np.uint32)
+_FACTOR = _RANDOM.integers(0, 1 << 31, SYMBOLS + MORE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _WEIGHT = _RANDOM.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _EDGES = np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)
 
@@ -93,13 +102,19 @@ def shingle_sets(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     return out[new], np.concatenate(([0], np.cumsum(new)))[begin]
 
 
-def signatures(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Low ``BITS`` bits of the min-hashes of non-empty sets that begin at ``begin``."""
+def signatures(sets: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Low bits of the min-hashes of non-empty sets that begin at ``begin``: ``BITS`` of
+    the first ``SYMBOLS``, eight of the others."""
     x = (sets >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(begin), SYMBOLS), dtype=np.uint16)
-    for k in range(SYMBOLS):
-        out[:, k] = np.minimum.reduceat((x ^ _SALT[k]) * _FACTOR[k], begin) & np.uint32(0xFFFF)
-    return out
+    more = np.empty((len(begin), MORE), dtype=np.uint8)
+    for k in range(SYMBOLS + MORE):
+        least = np.minimum.reduceat((x ^ _SALT[k]) * _FACTOR[k], begin)
+        if k < SYMBOLS:
+            out[:, k] = least & np.uint32(0xFFFF)
+        else:
+            more[:, k - SYMBOLS] = least & np.uint32(0xFF)
+    return out, more
 
 
 def _binary(rows: np.ndarray, present: np.ndarray) -> pa.Array:
@@ -122,17 +137,17 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = np.asarray(batch.column("key"), dtype=np.int64)[piece.lo:piece.hi]
             c1[~some] = mix(keys[~some].view(np.uint64) + BASE)
             signed = size >= LEAST_SET
-            rows = np.zeros((0, SYMBOLS), dtype=np.uint16)
+            rows, more = np.zeros((0, SYMBOLS), np.uint16), np.zeros((0, MORE), np.uint8)
             if len(head):
                 c1[some] = np.add.reduceat(mix(sets + BASE), head)
                 c2[some] = np.add.reduceat(mix(sets * BASE), head)
-                rows = signatures(sets, head)[signed[some]]
+                rows, more = (x[signed[some]] for x in signatures(sets, head))
             own = batch.slice(piece.lo, piece.hi - piece.lo)
             yield pa.RecordBatch.from_arrays(
                 [*[own.column(c) for c in ("id", "key", "mark")], pa.array(size, pa.int64()),
                  pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)),
-                 _binary(rows, signed)],
-                names=["id", "key", "mark", "n", "c1", "c2", "signature"])
+                 _binary(rows, signed), _binary(more, signed)],
+                names=["id", "key", "mark", "n", "c1", "c2", "signature", "more"])
 
 
 def keys_of(rows: np.ndarray) -> np.ndarray:
@@ -144,9 +159,8 @@ def keys_of(rows: np.ndarray) -> np.ndarray:
     return mix(out + np.arange(1, SYMBOLS + 1, dtype=np.uint64) * BASE)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, dtype=np.uint16).reshape(-1, SYMBOLS)
+def _matrix(column: pa.Array, dtype=np.uint16, width: int = SYMBOLS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(-1, width)
 
 
 _ENTRY = pa.schema([("bucket", pa.int32()), ("local", pa.bool_()), ("keys", pa.binary()),
@@ -230,13 +244,21 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table([keys.view(np.int64), nodes, hubs], schema=_SHARED)
 
 
+def _near(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which rows of two signature tables are near, and of these equal places and distance."""
+    same = a == b
+    far = SYMBOLS - same.sum(axis=1)
+    near = np.flatnonzero(far <= DISTANCE)
+    return near, same[near], far[near]
+
+
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures are within ``DISTANCE``."""
+    """Pairs whose signatures are near."""
     for batch in batches:
         for lo in range(0, batch.num_rows, PART_CLASSES):
             part = batch.slice(lo, PART_CLASSES)
-            far = (_matrix(part.column("sa")) != _matrix(part.column("sb"))).sum(axis=1)
-            yield part.select(["a", "b"]).filter(pa.array(far <= DISTANCE))
+            near = _near(_matrix(part.column("sa")), _matrix(part.column("sb")))[0]
+            yield part.select(["a", "b"]).take(pa.array(near))
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,43 +280,65 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("ra", pa.int64()),
-                    ("rb", pa.int64()), ("far", pa.int32())])
+def first_shared_key(same: np.ndarray) -> np.ndarray:
+    """Number of the first key that pairs share, by the places at which they are equal."""
+    wrong = ~same
+    errors = np.stack([wrong[:, lo:hi].sum(axis=1) for lo, hi in zip(
+        _EDGES[:-1], _EDGES[1:], strict=True)], axis=1)
+    chunk = (errors <= ERRORS).argmax(axis=1)
+    lo = _EDGES[chunk]
+    # the differing place, or the chunk's first if there is none
+    inside = (np.arange(SYMBOLS) >= lo[:, None]) & (np.arange(SYMBOLS) < _EDGES[chunk + 1][:, None])
+    one = wrong & inside
+    return np.where(one.any(axis=1), one.argmax(axis=1), lo)
+
+
+_FOUND = pa.schema([("root", pa.int64()), ("far", pa.int32()), ("a", pa.int64()),
+                    ("b", pa.int64()), ("key", pa.int64())])
 
 
 def _search(closest: bool):
-    """Pairs of a group's keys within ``DISTANCE`` and of different components."""
-    def pairs(rows, node, root, size, left, right) -> tuple[np.ndarray, ...]:
+    """Near pairs (by root and distance) of different components of a group's keys.
+
+    With ``closest`` each component's closest pair; else every pair, given by
+    the first key that it shares.
+    """
+    def pairs(rows, more, node, root, size, left, right, key) -> list[np.ndarray]:
+        place = (keys_of(rows[left[:1]])[0].view(np.int64) == key).argmax() if len(left) else 0
         a, b, far = [], [], []
         for i in left.tolist():
             to = right[right > i] if left is right else right
             n = size[to]
             to = to[(root[to] != root[i])
                     & (DOWN * np.minimum(n, size[i]) >= UP * np.maximum(n, size[i]))]
-            if len(to):
-                d = (rows[to] != rows[i]).sum(axis=1)
-                near = d <= DISTANCE
-                a.append(np.full(int(near.sum()), i))
-                b.append(to[near])
-                far.append(d[near])
+            if not len(to):
+                continue
+            near, same, d = _near(rows[i:i + 1], rows[to])
+            if len(near) and not closest:
+                d = d + (more[to[near]] != more[i]).sum(axis=1)
+                own = (d <= FAR) & (first_shared_key(same) == place)
+                near, d = near[own], d[own]
+            a.append(np.full(len(near), i))
+            b.append(to[near])
+            far.append(d)
         if not a:
-            return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+            return [np.zeros(0, dtype=np.int64)] * 5
         a, b, far = (np.concatenate(x) for x in (a, b, far))
-        swap = root[a] > root[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        if closest:
-            order = np.lexsort((node[b], node[a], far, root[b], root[a]))
-            a, b, far = a[order], b[order], far[order]
-            new = np.ones(len(a), dtype=bool)
-            new[1:] = (root[a[1:]] != root[a[:-1]]) | (root[b[1:]] != root[b[:-1]])
-            a, b, far = a[new], b[new], far[new]
-        return node[a], node[b], root[a], root[b], far
+        a, b = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+        if not closest:
+            return [root[a], far, node[a], node[b], np.full(len(a), key)]
+        own = np.concatenate((root[a], root[b]))
+        a, b, far = np.tile(node[a], 2), np.tile(node[b], 2), np.tile(far, 2)
+        order = np.lexsort((b, a, far, own))
+        order = order[np.diff(own[order], prepend=-1) != 0]
+        return [own[order], far[order], a[order], b[order], np.full(len(order), key)]
 
     def run(table: pa.Table) -> pa.Table:
         key, i, j, block, node, root, size = (
             np.asarray(table.column(c).combine_chunks())
             for c in ("key", "i", "j", "block", "node", "root", "n"))
         rows = _matrix(table.column("signature"))
+        more = None if closest else _matrix(table.column("more"), np.uint8, MORE)
         order = np.lexsort((node, j, i, key))
         new = np.ones(len(order), dtype=bool)
         new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in (key, i, j)])
@@ -305,7 +349,7 @@ def _search(closest: bool):
             one = i[own[0]] == j[own[0]]
             left = np.sort(own if one else own[block[own] == i[own[0]]])
             right = left if one else np.sort(own[block[own] != i[own[0]]])
-            out.append(pairs(rows, node, root, size, left, right))
+            out.append(pairs(rows, more, node, root, size, left, right, key[own[0]]))
         found = [np.concatenate(x) for x in zip(*out, strict=True)]
         return pa.table([pa.array(c, f.type) for c, f in zip(found, _FOUND, strict=True)],
                         schema=_FOUND)
@@ -339,7 +383,7 @@ class _Join:
             F.array("low", "near"))).alias("b"))
 
     def close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs within the signature distance whose sizes allow the similarity."""
+        """Near pairs whose sizes allow the similarity."""
         own = self.classes.select("node", "n", "signature")
         both = pairs.join(own.toDF("a", "na", "sa"), "a").join(own.toDF("b", "nb", "sb"), "b")
         alike = both.filter(DOWN * F.least("na", "nb") >= UP * F.greatest("na", "nb"))
@@ -367,21 +411,19 @@ class _Join:
         return materialize(now.join(keys.select("key", blocks.alias("blocks")), "key"), "minhash")
 
     def search(self, members: DataFrame, closest: bool) -> DataFrame:
-        """(a, b): pairs of different components within the signature distance."""
+        """(root, far, a, b, key): near pairs of different components, all or each component's
+        closest in each key."""
         rows = members.agg(F.sum("blocks")).first()[0] or 0
-        groups = max(MIN_BUCKETS, -(-rows * SYMBOLS * BITS // 8 // GROUP_BYTES))
+        groups = max(MIN_BUCKETS, -(-rows * (SYMBOLS * BITS // 8 + MORE) // GROUP_BYTES))
         dealt = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         dealt = dealt.select("key", "node", "root", "block", F.least("block", "other").alias("i"),
                              F.greatest("block", "other").alias("j"))
-        own = self.classes.select("node", "n", "signature")
-        found = dealt.join(own, "node").withColumn(
+        own = self.classes.select("node", "n", "signature", *([] if closest else ["more"]))
+        return materialize(dealt.join(own, "node").withColumn(
             "group", F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups))).groupBy(
-            "group").applyInArrow(_search(closest), "a long, b long, ra long, rb long, far int")
-        if closest:
-            found = found.groupBy("ra", "rb").agg(
-                F.min(F.struct("far", "a", "b")).alias("least")).select("least.a", "least.b")
-        return found.select("a", "b").distinct()
+            "group").applyInArrow(
+                _search(closest), "root long, far int, a long, b long, key long"), "minhash")
 
     def links(self) -> DataFrame:
         """Confirmed pairs of classes that connect all that is linked."""
@@ -390,13 +432,20 @@ class _Join:
         found = self.confirmed(tried)
         members = materialize(shared.select("key", "node").unionByName(
             shared.select("key", F.col("hub").alias("node"))).distinct(), "minhash")
-        for closest in (True, False):
-            still_open = self.open_members(members, found)
-            pairs = materialize(self.search(still_open, closest).join(
+        still_open = self.open_members(members, found)
+        for number in range(ROUNDS + 1):
+            closest = number < ROUNDS
+            near = self.search(still_open, closest)
+            pairs = near.groupBy("root").agg(F.min(F.struct("far", "a", "b")).alias("least")).select(
+                "least.a", "least.b") if closest else near.select("a", "b")
+            pairs = materialize(pairs.distinct().join(
                 tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                 ["a", "b"], "left_anti"), "minhash")
-            found = found.unionByName(self.confirmed(pairs))
-            tried = tried.unionByName(pairs)
+            found, tried = found.unionByName(self.confirmed(pairs)), tried.unionByName(pairs)
+            if closest:
+                live = still_open.select("key", "node").join(
+                    near.select("key").distinct(), "key", "left_semi")
+                still_open = self.open_members(live, found)
         return found
 
 
@@ -423,12 +472,13 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = materialize(base.mapInArrow(
         _describe, f"id {id_type}, key long, mark long, n long, c1 long, c2 long, "
-                   "signature binary"), "minhash")
+                   "signature binary, more binary"), "minhash")
     classes = materialize(rows.filter("n > 0").groupBy("c1", "c2").agg(
         F.min(F.struct("key", "mark")).alias("first"), F.count("*").alias("n_rows"),
-        F.first("n").alias("n"), F.first("signature").alias("signature")).select(
+        F.first("n").alias("n"), F.first("signature").alias("signature"),
+        F.first("more").alias("more")).select(
         F.monotonically_increasing_id().alias("node"), "c1", "c2", "first.*", "n_rows", "n",
-        "signature"), "minhash")
+        "signature", "more"), "minhash")
     roots = connected_components(_Join(base, classes).links().toDF("u", "v"))
     heads = classes.select("node", "c1", "c2", "key", "n_rows").join(roots, "node", "left")
     linked = heads.filter(F.col("root").isNotNull())

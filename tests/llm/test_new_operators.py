@@ -203,7 +203,9 @@ def test_keys_guarantee_pairs_within_the_distance():
     for k in range(300):
         at = rng.choice(minhash_join.SYMBOLS, minhash_join.DISTANCE, replace=False)
         b[k, at] += np.uint16(1)
-    assert (minhash_join.keys_of(a) == minhash_join.keys_of(b)).any(axis=1).all()
+    shared = minhash_join.keys_of(a) == minhash_join.keys_of(b)
+    assert shared.any(axis=1).all()
+    assert (minhash_join.first_shared_key(a == b) == shared.argmax(axis=1)).all()
 
 
 def test_search_by_blocks_finds_what_hubs_miss(spark, monkeypatch):
