@@ -144,6 +144,16 @@ def merge_dim(stored: DataFrame, staging: DataFrame, key: str, attrs: Sequence[s
     return joined.select(*cols)
 
 
+def changed_rows(stored: DataFrame, staging: DataFrame, key: str,
+                 attrs: Sequence[str]) -> DataFrame:
+    """Staged rows that :func:`merge_dim` would change ``stored`` by: those whose key is
+    not stored, or is with other attributes. A row without a key is always one."""
+    t = stored.select(F.col(key).alias("_key"), F.struct(*attrs).alias("_old"))
+    joined = staging.join(t, F.col(key) == F.col("_key"), "left")
+    same = F.col("_old").isNotNull() & F.struct(*attrs).eqNullSafe(F.col("_old"))
+    return joined.where(~same).select(*staging.columns)
+
+
 PERSON_ATTRS = ["name", "gender", "department"]
 COMPANY_ATTRS = ["company_name", "company_country"]
 

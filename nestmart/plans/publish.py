@@ -1,11 +1,15 @@
 """Publish one day into the warehouse tables (CJ-8, ME-1..ME-4).
 
 For each of ``movies``, ``credits``, ``production_companies``: read the live
-table (or start empty), merge the day's staging table into it, write the
-result as ``<table>__next`` bucketed by the key, then swap all three in and
-drop the staging tables. Writing a new version instead of updating in place
-means a failed day leaves the live tables untouched; a retried task rewrites
-its own output files only.
+table (or start empty), merge the day's staging table into it, and put the
+result in its place once all three are written; then drop the staging tables.
+
+Every film changes every day (its series grows), so ``movies`` is written
+whole as ``movies__next``, bucketed by the key, and swapped in. The two
+dimensions are partitioned by a hash of the key; only partitions with changed
+rows are written, to new files that their catalog entries are then pointed at.
+Live files are never updated in place, so a failed day leaves the live tables
+untouched; a retried task rewrites its own output files only.
 """
 
 from __future__ import annotations
@@ -22,21 +26,13 @@ from nestmart import schemas
 from nestmart.operators import merge
 from nestmart.operators.keys import assert_unique
 from nestmart.plans.concurrent import run_all
+from nestmart.session import materialize
 from nestmart.sources import tables
 
-MERGES = {
-    "movies": lambda stored, staged, day, replace_day: merge.merge_movies(
-        stored, staged, day, replace_day=replace_day),
-    "credits": lambda stored, staged, day, replace_day: merge.merge_credits(stored, staged),
-    "production_companies": lambda stored, staged, day, replace_day: merge.merge_companies(
-        stored, staged),
-}
-
-
-#: Key, attributes and merge of the tables that take a row's last attributes.
+#: Key and attributes of the tables that take a row's last attributes.
 DIMENSIONS = {
-    "credits": ("person_id", merge.PERSON_ATTRS, merge.merge_credits),
-    "production_companies": ("company_id", merge.COMPANY_ATTRS, merge.merge_companies),
+    "credits": ("person_id", merge.PERSON_ATTRS),
+    "production_companies": ("company_id", merge.COMPANY_ATTRS),
 }
 
 
@@ -64,7 +60,8 @@ def choose_buckets(spark: SparkSession, database: str | None, table: str,
     if not tables.table_exists(spark, database, table):
         return default_buckets(spark)
     details = tables.table_details(spark, database, table)
-    current = tables.bucket_count(spark, database, table, details) or default_buckets(spark)
+    current = (tables.bucket_count(spark, database, table, details)
+               or tables.key_buckets(spark, database, table) or default_buckets(spark))
     size = tables.stored_bytes(spark, database, table, details)
     while size / current > GROW_FACTOR * TARGET_BUCKET_BYTES:
         current *= 2
@@ -73,7 +70,8 @@ def choose_buckets(spark: SparkSession, database: str | None, table: str,
 
 def stored_or_empty(spark: SparkSession, database: str | None, table: str) -> DataFrame:
     if tables.table_exists(spark, database, table):
-        return spark.table(tables.qualified(database, table))
+        return spark.table(tables.qualified(database, table)).select(
+            *schemas.WAREHOUSE_SCHEMAS[table].fieldNames())
     return spark.createDataFrame([], schemas.WAREHOUSE_SCHEMAS[table])
 
 
@@ -108,28 +106,84 @@ def sorted_scans(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SCAN_ORDER, before)
 
 
+def _next_movies(spark: SparkSession, database: str | None, days: list[str],
+                 fold: Callable[[DataFrame, DataFrame], DataFrame],
+                 buckets: int | None) -> Callable[[], None]:
+    """Write the next version of ``movies`` beside the live one; returns the swap."""
+    staged = tables.read_staging(spark, database, "movies")
+    n = tables.bucket_count(spark, database, "staging_movies") or choose_buckets(
+        spark, database, "movies", buckets)
+    key = schemas.KEYS["movies"]
+    tables.create_table_as(fold(stored_or_empty(spark, database, "movies"), staged), database,
+                           "movies__next", bucket_by=key, buckets=n, sort_by=[key])
+    tables.set_published(spark, database, "movies__next", *days,
+                         *tables.published_days(spark, database, "movies"))
+    return lambda: tables.swap_table(spark, database, "movies__next", "movies")
+
+
+def _next_dimension(spark: SparkSession, database: str | None, table: str, days: list[str],
+                    staged: DataFrame, buckets: int | None) -> Callable[[], None]:
+    """Write the partitions of a dimension that the staged rows change; returns the switch.
+
+    Staged rows equal to what is stored change nothing, so a day rewrites the
+    partitions of its new and changed keys only; the others keep their files.
+    The whole table is written where it is new, not key-partitioned yet or
+    changes its bucket count. The list of changed partitions (at most the
+    bucket count) is all that reaches the driver.
+
+    A switch that broke off is finished by running the day again: changed
+    partitions have nothing left to change. Rows without a key are inserted
+    each time, so theirs is switched last, right before the day is recorded.
+    """
+    key, attrs = DIMENSIONS[table]
+    n = choose_buckets(spark, database, table, buckets)
+    done = [*days, *tables.published_days(spark, database, table)]
+    stored = stored_or_empty(spark, database, table)
+    schema = schemas.WAREHOUSE_SCHEMAS[table]
+    if tables.key_buckets(spark, database, table) != n:
+        whole = merge.merge_dim(stored, staged, key, attrs, check_unique=False).to(schema)
+        tables.create_key_partitioned(whole, database, f"{table}__next", key, n, table)
+        tables.set_published(spark, database, f"{table}__next", *done)
+        return lambda: tables.swap_table(spark, database, f"{table}__next", table)
+
+    changes = materialize(tables.with_key_bucket(
+        merge.changed_rows(stored, staged, key, attrs).to(schema), key, n), f"changes-{table}")
+    per_bucket = changes.groupBy(tables.KEY_BUCKET).agg(
+        F.max(F.col(key).isNull()).alias("without_key")).collect()
+    changed = [r[0] for r in sorted(per_bucket, key=lambda r: (r.without_key, r[0]))]
+    folder = None
+    if changed:
+        live = spark.table(tables.qualified(database, table)).where(
+            F.col(tables.KEY_BUCKET).isin(changed)).select(*schema.fieldNames())
+        merged = merge.merge_dim(live, changes, key, attrs, check_unique=False).to(schema)
+        folder = tables.write_key_files(tables.with_key_bucket(merged, key, n), database, table,
+                                        key, len(changed))
+
+    def switch() -> None:
+        if folder:
+            tables.point_partitions(spark, database, table, folder, changed)
+        tables.set_published(spark, database, table, *done)
+    return switch
+
+
 def _publish(spark: SparkSession, database: str | None, todo: list[str], days: list[str],
-             merge_table: Callable[[str, DataFrame, DataFrame], DataFrame],
+             fold_movies: Callable[[DataFrame, DataFrame], DataFrame],
+             dimension_rows: Callable[[str, DataFrame], DataFrame],
              buckets: int | None) -> None:
     """Merge the staged tables of ``todo``, then swap all in; record ``days`` in each.
 
     The merges are independent and run side by side; all must succeed before any swap.
     """
-    def merge_one(table: str) -> None:
-        staged = tables.read_staging(spark, database, table)
-        n = tables.bucket_count(spark, database, f"staging_{table}") or choose_buckets(
-            spark, database, table, buckets)
-        merged = merge_table(table, stored_or_empty(spark, database, table), staged)
-        key = schemas.KEYS[table]
-        tables.create_table_as(merged, database, f"{table}__next", bucket_by=key, buckets=n,
-                               sort_by=[key])
-        tables.set_published(spark, database, f"{table}__next", *days,
-                             *tables.published_days(spark, database, table))
+    def prepare(table: str) -> Callable[[], None]:
+        if table == "movies":
+            return _next_movies(spark, database, days, fold_movies, buckets)
+        staged = dimension_rows(table, tables.read_staging(spark, database, table))
+        return _next_dimension(spark, database, table, days, staged, buckets)
 
     with sorted_scans(spark):
-        run_all({t: (lambda t=t: merge_one(t)) for t in todo})
+        switches = run_all({t: (lambda t=t: prepare(t)) for t in todo})
     for table in todo:
-        tables.swap_table(spark, database, f"{table}__next", table)
+        switches[table]()
 
 
 def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt.date,
@@ -146,8 +200,15 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
         tables.recover_table(spark, database, table)
     todo = [t for t in tables.STAGED
             if replace_day or str(run_date) not in tables.published_days(spark, database, t)]
+
+    def dimension_rows(table: str, staged: DataFrame) -> DataFrame:
+        key = DIMENSIONS[table][0]
+        assert_unique(staged, key, f"staging {key}")
+        return staged
+
     _publish(spark, database, todo, [str(run_date)],
-             lambda t, stored, staged: MERGES[t](stored, staged, run_date, replace_day), buckets)
+             lambda stored, staged: merge.merge_movies(stored, staged, run_date, replace_day),
+             dimension_rows, buckets)
     if not keep_staging:
         tables.drop_staging(spark, database)
 
@@ -181,15 +242,14 @@ def publish_days(spark: SparkSession, stagings: Mapping[str, dict[str, DataFrame
                   for d in days[table]]
         return reduce(DataFrame.unionByName, frames)
 
-    def merge_table(table: str, stored: DataFrame, staging: DataFrame) -> DataFrame:
-        if table == "movies":
-            return merge.merge_movie_days(stored, staging, days[table])
-        key, attrs, fold = DIMENSIONS[table]
+    def dimension_rows(table: str, staging: DataFrame) -> DataFrame:
+        key, attrs = DIMENSIONS[table]
         assert_unique(staging, key, f"staging {key}", ["run_date"])
-        return fold(stored, merge.latest_per_key(staging, key, attrs), check_unique=False)
+        return merge.latest_per_key(staging, key, attrs)
 
     stage_day({t: staged(t) for t in todo}, database, buckets)
     for group in sorted({tuple(days[t]) for t in todo}):
         _publish(spark, database, [t for t in todo if tuple(days[t]) == group], list(group),
-                 merge_table, buckets)
+                 lambda stored, films: merge.merge_movie_days(stored, films, list(group)),
+                 dimension_rows, buckets)
     tables.drop_staging(spark, database)

@@ -218,3 +218,90 @@ def test_day_ranges_round_trip():
     text = day_ranges(days)
     assert text == "2023-12-31..2024-01-01,2024-02-28..2024-03-01,2024-05-05"
     assert days_of(text) == set(days) and days_of("") == days_of(None) == set()
+
+
+def _dim_files(spark, db, table):
+    """File names and rows of each key bucket."""
+    from nestmart.sources.tables import KEY_BUCKET, qualified
+    out = {}
+    for r in spark.table(qualified(db, table)).select(
+            KEY_BUCKET, F.col("_metadata.file_path").alias("f")).distinct().collect():
+        out.setdefault(r[KEY_BUCKET], set()).add(r.f)
+    return out
+
+
+def _dim_day(spark, people, companies=()):
+    return {"movies": spark.createDataFrame([], schemas.MOVIES), "credits": _people(spark, people),
+            "production_companies": spark.createDataFrame(list(companies),
+                                                          schemas.PRODUCTION_COMPANIES)}
+
+
+def test_only_changed_key_buckets_are_written(spark, scratch_db):
+    from nestmart.plans.publish import publish_day
+    from nestmart.sources import tables
+    people = [(k, f"p{k}", 1, "X") for k in range(200)]
+    publish_day(spark, _dim_day(spark, people), scratch_db, "2024-01-01", buckets=8)
+    before = _dim_files(spark, scratch_db, "credits")
+    assert len(before) == 8 and tables.key_buckets(spark, scratch_db, "credits") == 8
+
+    # equal rows, one changed to NULL, one new
+    staged = [(3, "p3", 1, "X"), (4, "p4", 1, "X"), (5, None, 1, "X"), (900, "new", 0, None)]
+    publish_day(spark, _dim_day(spark, staged), scratch_db, "2024-01-02")
+    after = _dim_files(spark, scratch_db, "credits")
+    touched = {r[0] for r in tables.with_key_bucket(
+        spark.createDataFrame([(5,), (900,)], "person_id bigint"), "person_id", 8).select(
+        tables.KEY_BUCKET).collect()}
+    assert {k for k in after if after[k] != before[k]} == touched
+    rows = {r.person_id: r for r in
+            spark.table(tables.qualified(scratch_db, "credits")).collect()}
+    assert len(rows) == 201
+    assert rows[5].name is None and rows[900].name == "new" and rows[4].name == "p4"
+    assert tables.published_days(spark, scratch_db, "credits") == {"2024-01-01", "2024-01-02"}
+
+    # a day without changes writes nothing and is recorded
+    publish_day(spark, _dim_day(spark, staged), scratch_db, "2024-01-03")
+    assert _dim_files(spark, scratch_db, "credits") == after
+    assert "2024-01-03" in tables.published_days(spark, scratch_db, "credits")
+
+    # another bucket count: the whole table is laid out again, replaced files go
+    publish_day(spark, _dim_day(spark, [(6, "six", 1, "X")]), scratch_db, "2024-01-04", buckets=3)
+    assert len(_dim_files(spark, scratch_db, "credits")) == 3
+    out = {r.person_id: r.name for r in
+           spark.table(tables.qualified(scratch_db, "credits")).collect()}
+    assert len(out) == 201 and out[6] == "six" and out[5] is None
+    live = tables.stored_bytes(spark, scratch_db, "credits")
+    assert 0 < live < 3 * 8_000
+
+
+def test_switch_of_key_buckets_that_broke_off(spark, scratch_db, monkeypatch):
+    from nestmart.plans.publish import publish_day
+    from nestmart.sources import tables
+    publish_day(spark, _dim_day(spark, [(k, "old", 1, "X") for k in range(50)]), scratch_db,
+                "2024-01-01", buckets=4)
+    staged = [(k, "new", 1, "X") for k in range(0, 60, 2)]
+    real = tables.point_partitions
+
+    def breaks_off(spark, database, table, folder, changed):
+        real(spark, database, table, folder, changed[:1])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "point_partitions", breaks_off)
+    with pytest.raises(RuntimeError):
+        publish_day(spark, _dim_day(spark, staged), scratch_db, "2024-01-02")
+    assert "2024-01-02" not in tables.published_days(spark, scratch_db, "credits")
+    assert spark.table(tables.qualified(scratch_db, "credits")).where("name is null").count() == 0
+    monkeypatch.setattr(tables, "point_partitions", real)
+    publish_day(spark, _dim_day(spark, staged), scratch_db, "2024-01-02")
+    out = {r.person_id: r.name for r in
+           spark.table(tables.qualified(scratch_db, "credits")).collect()}
+    assert out == {**{k: "old" for k in range(50)}, **{k: "new" for k in range(0, 60, 2)}}
+
+
+def test_rows_without_a_key_are_inserted_in_a_bucket(spark, scratch_db):
+    from nestmart.plans.publish import publish_day
+    from nestmart.sources.tables import qualified
+    publish_day(spark, _dim_day(spark, [(1, "a", 1, "X"), (None, "n", 1, "X")]), scratch_db,
+                "2024-01-01", buckets=4)
+    publish_day(spark, _dim_day(spark, [(None, "m", 1, "X")]), scratch_db, "2024-01-02")
+    rows = spark.table(qualified(scratch_db, "credits")).collect()
+    assert sorted((r.person_id or 0, r.name) for r in rows) == [(0, "m"), (0, "n"), (1, "a")]
