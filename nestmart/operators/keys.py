@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,18 +38,55 @@ def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> Da
                            for c in df.columns])
 
 
+# Sketch sizes: entries tracked for each task's fair share (the sketch errs by about
+# 3.5 / tracked of the rows), least entries, and the most that the sketch allows.
+TRACKED_PER_SHARE = 8
+LEAST_TRACKED = 1024
+MOST_TRACKED = 1_000_000
+
+
+def heavy_keys(facts: DataFrame, key: str, shares: int | None = None) -> dict[object, int]:
+    """Keys that hold more than a fair share of the facts, and over how many tasks to deal each.
+
+    A fair share is one of ``shares`` equal parts (the shuffle partitions by
+    default). One pass over the key column with a frequent-items sketch: its
+    size is fixed, it merges map-side, and fewer than ``shares`` keys can be
+    heavy, so that many at most reach the driver. A task count is a power of
+    two, at most ``shares`` rounded up. NULL keys don't count, they never match.
+    """
+    spark = facts.sparkSession
+    n = shares or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(max(n * TRACKED_PER_SHARE, LEAST_TRACKED), MOST_TRACKED)
+    keys = facts.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    row = keys.agg(F.count("*").alias("n"),
+                   F.expr(f"approx_top_k(_key, {min(n, tracked)}, {tracked})").alias("top")).first()
+    found = {}
+    for item, count in (row["top"] or []) if row is not None else []:
+        if count * n > row["n"]:
+            wanted = -(-count * n // row["n"])
+            found[item] = 1 << (wanted - 1).bit_length()
+    return found
+
+
 def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str,
-                   salts: int = 16) -> DataFrame:
-    """Inner join of facts to a dimension on ``key``, with every key spread over ``salts`` tasks.
-
-    A fact's salt follows from its ``spread_by`` column, so a retried task
-    deals the same; the dimension's rows are repeated once per salt. A key
-    that holds a third of the facts is dealt to up to ``salts`` shuffle
-    partitions, also where the dimension is stored bucketed by the key (a
-    bucketed side has no exchange, so the planner could not split it).
+                   heavy: Mapping[object, int] | None = None) -> DataFrame:
+    """Inner join of facts to a dimension on ``key``; only heavy keys are dealt to several tasks.
+
+    ``heavy`` is counted by :func:`heavy_keys` if not given (one small job).
+    Without a heavy key this is the plain join: the dimension is read as it
+    is stored, bucketed or small enough to broadcast. Otherwise facts of a
+    heavy key get a salt that follows from ``spread_by`` (a retried task deals
+    the same), and the dimension rows of these keys alone are repeated, once
+    a salt. A key missed by the sketch costs time only, never rows.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heavy = heavy_keys(facts, key) if heavy is None else heavy
+    if not heavy:
+        return facts.join(dimension, key)
+    tasks = F.lit(1)
+    for n in sorted(set(heavy.values())):
+        tasks = F.when(F.col(key).isin([k for k in heavy if heavy[k] == n]), n).otherwise(tasks)
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), tasks).cast("int"))
+    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
     return salted.join(repeated, [key, "_salt"]).drop("_salt")
 
 

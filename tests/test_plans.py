@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from nestmart import fixtures as fx
 from nestmart import registry
@@ -73,13 +74,48 @@ def test_model_has_no_cartesian_or_window(spark, sf_dir):
     assert "Window" not in text
 
 
-def test_hot_person_is_dealt_to_many_partitions(spark, stored):
+def test_dimension_join_is_plain_without_skew(spark, stored):
+    from nestmart.operators.keys import heavy_keys
+    cast = stored["movies"].selectExpr("movie_id", "explode(casts) AS c").selectExpr(
+        "movie_id", "c.person_id")
+    assert heavy_keys(cast, "person_id") == {}
     text = plan(reports.cast_with_names(stored["movies"], stored["credits"]))
-    assert "_salt" in text
-    films = spark.range(1000).selectExpr("id AS movie_id", "7L AS person_id")
-    people = spark.createDataFrame([(7, "a"), (8, "b")], "person_id long, name string")
-    joined = join_dimension(films, people, "person_id", "movie_id", salts=16)
-    assert joined.count() == 1000 and joined.columns == ["person_id", "movie_id", "name"]
+    assert "_salt" not in text
+
+
+def test_hot_person_is_dealt_to_many_partitions(spark):
+    from nestmart.operators.keys import heavy_keys
+    films = spark.range(9000).selectExpr("id AS movie_id", "IF(id % 3 = 0, 7L, id) AS person_id")
+    people = spark.range(0, 9000).selectExpr("id AS person_id", "concat('p', id) AS name")
+    assert heavy_keys(films, "person_id", shares=64) == {7: 32}
+    joined = join_dimension(films, people, "person_id", "movie_id", heavy_keys(
+        films, "person_id", shares=64))
+    assert "_salt" in plan(joined)
+    assert joined.columns == ["person_id", "movie_id", "name"]
+    assert joined.count() == 9000
+    assert joined.where("name <> concat('p', person_id)").count() == 0
+    tree = joined.withColumn("task", F.spark_partition_id())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        per_task = tree.groupBy("task").count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert per_task < 1000                     # 3,000 rows have the hot key
+
+
+def test_heavy_keys_of_nothing_and_of_nulls(spark):
+    from nestmart.operators.keys import heavy_keys
+    facts = spark.createDataFrame([(1, None), (2, None), (3, 5)], "movie_id long, person_id long")
+    assert heavy_keys(facts.where("movie_id < 0"), "person_id") == {}
+    assert heavy_keys(facts.where("person_id IS NULL"), "person_id") == {}
+    dims = spark.createDataFrame([(5, "a"), (None, "b")], "person_id long, name string")
+    assert [tuple(r) for r in join_dimension(facts, dims, "person_id", "movie_id").collect()] == [
+        (5, 3, "a")]
 
 
 def test_casts_and_crews_are_built_inside_the_row(spark, sf_dir):
