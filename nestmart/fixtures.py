@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -338,3 +339,24 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nestmart import schemas
     return fx(spark, sf_dir, "line").select(
         "person_id", "name", "gender", "department").distinct().to(schemas.CREDITS)
+
+
+def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Films with years of dated metrics: one per customer with orders, an entry per order.
+
+    Popularity is the order's total in thousands (NULL for pending orders),
+    gross the rounded total, the date the order's.
+    """
+    from nestmart import schemas
+    total = F.col("o_totalprice")
+    entry = F.struct(
+        F.col("o_orderdate").cast("date").alias("collect_date"), F.col("o_orderkey"),
+        F.when(F.col("o_orderstatus") != "P", F.round(total / 1000)).alias("popularity"),
+        F.round(total).cast("bigint").alias("gross"))
+    films = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("movie_id")).agg(
+        F.sort_array(F.collect_list(entry)).alias("_entries"))
+    return films.select("movie_id", F.transform("_entries", lambda e: F.struct(
+        e["popularity"].alias("popularity"), F.lit(None).cast("bigint").alias("vote_count"),
+        F.lit(None).cast("double").alias("vote_average"), e["gross"].alias("gross"),
+        e["collect_date"].alias("collect_date"))).cast(
+            T.ArrayType(schemas.METRIC)).alias("metrics"))

@@ -20,6 +20,14 @@ def top_ids(df: DataFrame, k: int = 10_000, score: str = "popularity",
             .select(key, score))
 
 
+# What marks a response as failed, per landed dataset.
+def failed_response(dataset: str) -> Column:
+    """Predicate of a failed response: no popularity, no cast, or a blank worldwide gross."""
+    return {"movie_details": F.col("popularity").isNull(),
+            "movie_credits": F.col("cast").isNull(),
+            "box_office": F.col("worldwide_gross") == ""}[dataset]
+
+
 def split_responses(df: DataFrame, failed: Column) -> tuple[DataFrame, DataFrame]:
     """(ok, failed) by a sentinel predicate; NULL predicate counts as ok."""
     is_failed = F.coalesce(failed, F.lit(False))
@@ -37,3 +45,22 @@ def reconcile_keep(first: DataFrame, retry: DataFrame, failed: Column) -> DataFr
     """First-pass successes plus every retry row, failed or not."""
     ok_first, _ = split_responses(first, failed)
     return ok_first.unionByName(retry)
+
+
+def to_retry(first: DataFrame, retry: DataFrame, key: str, failed: Column) -> DataFrame:
+    """The rows of ``retry`` whose key failed in the first pass; settled keys go before any
+    costly work on them."""
+    _, again = split_responses(first, failed)
+    return retry.join(again.select(key).distinct(), key, "left_semi").select(*retry.columns)
+
+
+def settle(first: DataFrame, retry: DataFrame, key: str, failed: Column) -> DataFrame:
+    """Both passes as one: first-pass successes, and for each failed key its retried rows,
+    failed again or not; a failed key that was not retried keeps its first row.
+
+    ``retry`` holds rows of failed keys only (:func:`to_retry`). Rows without
+    a key match no other and stay.
+    """
+    ok, again = split_responses(first, failed)
+    left = again.join(retry.select(key).distinct(), key, "left_anti").select(*first.columns)
+    return ok.unionByName(retry).unionByName(left)

@@ -103,3 +103,75 @@ def create_dim_date_table(spark: SparkSession, database: str | None,
     from nestmart.sources.tables import create_table_as
     cal = dim_date(spark, start, end).sortWithinPartitions("date_key")
     return create_table_as(cal, database, table)
+
+
+# ---------------------------------------------------------------- dates inside a series
+
+# Calendar attributes that a series entry is given.
+SERIES_ATTRS = ("date_key", "year", "quarter", "month", "month_name", "week_of_year",
+                "day_name", "is_weekend")
+
+
+def join_series_calendar(movies: DataFrame, start: str | dt.date, end: str | dt.date,
+                         attrs: tuple[str, ...] = SERIES_ATTRS) -> DataFrame:
+    """Calendar attributes for every date inside ``metrics`` (JO-6), without exploding it.
+
+    The calendar is a function of the date, so the join is date arithmetic
+    inside the row: each entry gains a struct ``calendar``, with the values
+    that the calendar table has for its ``collect_date``. As in
+    :func:`join_calendar`, an entry without a date or with one outside
+    ``start``..``end`` stays and has a NULL ``calendar``. A NULL series stays NULL.
+    """
+    first, last = (F.lit(str(d)).cast("date") for d in (start, end))
+    types = {f.name: f.dataType for f in schemas.DIM_DATE.fields}
+
+    def dated(entry: Column) -> Column:
+        day = entry["collect_date"]
+        found = dict(zip(schemas.DIM_DATE.fieldNames(), calendar_columns(day)))
+        values = F.struct(*[found[a].cast(types[a]).alias(a) for a in attrs])
+        return entry.withField("calendar", F.when(day.between(first, last), values))
+
+    return movies.withColumn("metrics", F.transform("metrics", dated))
+
+
+def film_months(movies: DataFrame, start: str | dt.date, end: str | dt.date,
+                keys: tuple[str, ...] = ("movie_id",)) -> DataFrame:
+    """Per film, year, month and weekend or not: the series' figures (JO-6).
+
+    ``n_days`` counts entries, ``popularity`` is the sum and ``gross`` the
+    maximum of the known values. The series is summed up inside the row, so
+    what is exploded is one row a film and month (twice, for weekends), not
+    one a film and day. Entries outside the calendar have NULL year, month
+    and ``is_weekend`` and are one group.
+    """
+    dated = join_series_calendar(movies, start, end, ("year", "month", "is_weekend")).select(
+        *keys, "metrics")
+    months = F.array_distinct(F.transform("metrics", lambda m: F.struct(
+        m["calendar"]["year"].alias("year"), m["calendar"]["month"].alias("month"))))
+
+    def group(entries: Column, month: Column, weekend: Column) -> Column:
+        mine = F.filter(entries, lambda m: m["calendar"]["is_weekend"].eqNullSafe(weekend))
+        known = F.filter(mine, lambda m: m["popularity"].isNotNull())
+        return F.struct(
+            month["year"].alias("year"), month["month"].alias("month"),
+            weekend.alias("is_weekend"), F.size(mine).cast("bigint").alias("n_days"),
+            F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda acc, m: (
+                acc + m["popularity"]))).alias("popularity"),
+            F.array_max(F.transform(mine, lambda m: m["gross"])).alias("gross"))
+
+    def groups(month: Column) -> Column:
+        entries = F.filter("metrics", lambda m: m["calendar"]["year"].eqNullSafe(month["year"])
+                           & m["calendar"]["month"].eqNullSafe(month["month"]))
+        weekends = F.array(F.lit(False), F.lit(True), F.lit(None).cast("boolean"))
+        return F.filter(F.transform(weekends, lambda w: group(entries, month, w)),
+                        lambda g: g["n_days"] > 0)
+
+    rows = dated.select(*keys, F.explode(F.flatten(F.transform(months, groups))).alias("_g"))
+    return rows.select(*keys, "_g.*")
+
+
+def month_totals(movies: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
+    """Totals over all films by year, month and weekend: film days, popularity, best gross."""
+    return film_months(movies, start, end).groupBy("year", "month", "is_weekend").agg(
+        F.sum("n_days").alias("n_days"), F.sum("popularity").alias("popularity"),
+        F.max("gross").alias("gross"))

@@ -25,15 +25,18 @@ CLEAN = ("movie_details", "crew_of_movies", "cast_of_movies", "credits_of_movies
 
 
 def run_clean(spark: SparkSession, lake_root: str, run_date: str | dt.date,
-              multi_line: bool = False) -> None:
+              multi_line: bool = False, quarantine: bool = False) -> None:
     """Clean one landed day into the clean layer (five Parquet datasets).
 
     The typed, de-duplicated credits feed the cast, the crew and the nested
     output; they are persisted (memory, spilling to disk) for the writes so the
     day's credits JSON is parsed and de-duplicated once. A lost cached block
-    is recomputed from its lineage.
+    is recomputed from its lineage. With ``quarantine`` records that don't
+    parse are set aside first (``lake.quarantine``); otherwise what can be
+    read of them goes through the cleaning rules.
     """
-    raw = {n: lake.read_raw_json(spark, lake_root, run_date, n, multi_line) for n in RAW}
+    read = lake.quarantine if quarantine else lake.read_raw_json
+    raw = {n: read(spark, lake_root, run_date, n, multi_line) for n in RAW}
     credits = cut_credits(clean_credits(raw["movie_credits"])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         clean = {
@@ -64,9 +67,9 @@ def run_model_and_publish(spark: SparkSession, lake_root: str, run_date: str | d
 
 def run_day(spark: SparkSession, lake_root: str, run_date: str | dt.date,
             database: str | None, multi_line: bool = False, buckets: int | None = None,
-            replace_day: bool = False) -> None:
+            replace_day: bool = False, quarantine: bool = False) -> None:
     """Clean, model and publish one landed day."""
-    run_clean(spark, lake_root, run_date, multi_line)
+    run_clean(spark, lake_root, run_date, multi_line, quarantine)
     run_model_and_publish(spark, lake_root, run_date, database, buckets, replace_day)
 
 

@@ -933,15 +933,15 @@ def q_reconcile_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(reconcile_keep(first, retry, F.col("value").isNull()))
 
 
-def _summary_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _summary_pages(spark: SparkSession, sf_dir: str, layout: Column | None = None) -> DataFrame:
     """A box-office summary page per order, in the layout the extractor reads.
 
-    The layout varies with the order key: complete (0, 5), no performance
+    The layout varies with the order key (or is ``layout``): complete (0, 5), no performance
     block (1), no Budget row (2), no summary block at all (3), no values
     block (4). Figures: gross = total price, opening = a tenth, budget = a third.
     """
     o = fx.table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey") % 6
+    k = F.col("o_orderkey") % 6 if layout is None else layout
     gross = F.format_number(F.round("o_totalprice").cast("bigint"), 0)
     opening = F.format_number(F.round(F.col("o_totalprice") / 10).cast("bigint"), 0)
     budget = F.format_number(F.round(F.col("o_totalprice") / 3).cast("bigint"), 0)
@@ -992,6 +992,36 @@ def q_scrape_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_box_office(_summary_pages(spark, sf_dir).unionByName(web))
 
 
+@register("pages_to_box_office", """
+WITH pages_read AS (
+  SELECT o_orderkey, o_totalprice,
+         CASE WHEN o_orderkey % 6 IN (1, 3, 4) AND o_orderkey % 12 < 6 THEN 0
+              ELSE o_orderkey % 6 END AS layout
+  FROM orders)
+SELECT 'tt' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS imdb_id,
+       CASE WHEN layout NOT IN (1, 3, 4) THEN CAST(round(o_totalprice / 10) AS BIGINT) END
+         AS domestic_opening,
+       CASE WHEN layout NOT IN (1, 3, 4) THEN CAST(round(o_totalprice) AS BIGINT) END
+         AS worldwide_gross,
+       CASE WHEN layout NOT IN (1, 2, 3, 4) THEN CAST(round(o_totalprice / 3) AS BIGINT) END
+         AS budget
+FROM pages_read
+UNION ALL
+SELECT DISTINCT url, NULL, NULL, NULL FROM pages WHERE url IS NOT NULL
+""")
+def q_pages_to_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two passes of pages: of the keys that fail in the first, half answer in full when retried.
+
+    The raw web pages are in both passes and hold no figures in either.
+    """
+    from nestmart.plans.box_office import pages_to_box_office
+    web = fx.table(spark, sf_dir, "pages").select(F.col("url").alias("imdb_id"), "html")
+    key = F.col("o_orderkey")
+    again = _summary_pages(spark, sf_dir, F.when(key % 12 < 6, F.lit(0)).otherwise(key % 6))
+    return presented(pages_to_box_office(_summary_pages(spark, sf_dir).unionByName(web),
+                                         again.unionByName(web)))
+
+
 # Calendar --------------------------------------------------------------------
 
 ORACLE_CALENDAR_COLS = """
@@ -1059,6 +1089,43 @@ def q_film_calendar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(joined.select("movie_id", "title", "release_date", "date_key", "day_name"))
 
 
+SERIES_SPAN = ("1993-01-01", "1997-12-31")
+
+ORACLE_SERIES_DAYS = f"""
+days AS (
+  SELECT o_custkey, o_totalprice, o_orderstatus,
+         CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '{SERIES_SPAN[0]}'
+                   AND DATE '{SERIES_SPAN[1]}' THEN CAST(o_orderdate AS DATE) END AS d
+  FROM orders)
+"""
+
+ORACLE_MONTH_COLS = """CAST(year(d) AS BIGINT) AS year, CAST(month(d) AS BIGINT) AS month,
+       dayofweek(d) IN (0, 6) AS is_weekend, count(*) AS n_days,
+       round(sum(round(o_totalprice / 1000)) FILTER (o_orderstatus <> 'P'), 6) AS popularity,
+       CAST(max(round(o_totalprice)) AS BIGINT) AS gross"""
+
+
+@register("metric_calendar", "WITH " + ORACLE_SERIES_DAYS + f"""
+SELECT o_custkey AS movie_id, {ORACLE_MONTH_COLS}
+FROM days GROUP BY o_custkey, year(d), month(d), dayofweek(d) IN (0, 6)
+""")
+def q_metric_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per film, month and weekend, from the dates inside its series; dates beyond the
+    calendar's five years have no month."""
+    from nestmart.plans.calendar import film_months
+    return presented(film_months(fx.order_series(spark, sf_dir), *SERIES_SPAN))
+
+
+@register("month_totals", "WITH " + ORACLE_SERIES_DAYS + f"""
+SELECT {ORACLE_MONTH_COLS}
+FROM days GROUP BY year(d), month(d), dayofweek(d) IN (0, 6)
+""")
+def q_month_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all films."""
+    from nestmart.plans.calendar import month_totals
+    return presented(month_totals(fx.order_series(spark, sf_dir), *SERIES_SPAN))
+
+
 # Lake round trips and schema conforming ------------------------------------------
 
 @register("raw_json_roundtrip", oracle(["film", "day", "line", "company"], """
@@ -1105,6 +1172,50 @@ def q_clean_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "revenue", "vote_count"))
 
 
+@register("day_range", oracle(["film", "day"], """
+SELECT f.movie_id AS movie_id, CAST(DATE '2024-01-01' + CAST(d.day AS INTEGER) AS VARCHAR)
+         AS landed_on,
+       round(CAST(CAST(d.popularity AS FLOAT) AS DOUBLE), 6) AS popularity,
+       d.vote_count AS vote_count
+FROM fx_film f JOIN fx_day d ON f.movie_id = d.movie_id AND d.day >= 1
+"""))
+def q_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fixture days' clean details in one partitioned dataset; the last two read back."""
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    root = scratch_path(spark, "lake")
+    for d in fx.DAYS:
+        lake.write_days(_clean_details(spark, sf_dir, d).withColumn(
+            "landed_on", F.lit(fx.day_date(d)).cast("date")), root, "movie_details", "landed_on")
+    back = lake.read_days(spark, root, "movie_details", fx.day_date(1), fx.day_date(2))
+    return presented(back.select("movie_id", "landed_on", "popularity", "vote_count"))
+
+
+@register("quarantine", """
+SELECT CASE WHEN o_orderkey % 7 <> 0 THEN 'tt' || o_orderkey END AS imdb_id,
+       CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR)
+         END AS worldwide_gross,
+       CASE WHEN o_orderkey % 7 = 0 THEN '{"imdb_id":"tt' || o_orderkey || '","worldwide_gross'
+         END AS record
+FROM orders
+""")
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing in which every seventh record is cut off: good records, and the bad ones' text."""
+    from nestmart.session import scratch_path
+    from nestmart.sources import lake
+    root, date = scratch_path(spark, "lake"), fx.day_date(0)
+    gross = F.round("o_totalprice").cast("bigint").cast("string")
+    start = F.concat(F.lit('{"imdb_id":"tt'), "o_orderkey", F.lit('","worldwide_gross'))
+    line = F.when(F.col("o_orderkey") % 7 == 0, start).otherwise(
+        F.concat(start, F.lit('":"'), gross, F.lit('"}')))
+    fx.table(spark, sf_dir, "orders").select(line).write.text(
+        lake.day_path(root, "raw", date, "box_office", "json"))
+    good = lake.quarantine(spark, root, date, "box_office")
+    bad = lake.read_quarantine(spark, root, date, "box_office")
+    return good.select("imdb_id", "worldwide_gross").unionByName(
+        bad.select("record"), allowMissingColumns=True)
+
+
 @register("conform_schema", oracle(["film", "line", "day"], """
 SELECT f.movie_id AS movie_id, CAST(f.runtime AS BIGINT) AS runtime,
        c.n AS n_casts, c.first_person AS first_person, c.first_order AS first_order,
