@@ -87,7 +87,10 @@ def _chunk_rows(parts: list[tuple], buckets: int, number: int) -> Iterator[tuple
     later = (keys[doc[order]] != keys[doc[leader]]) | (place[order] != place[leader])
     repeats = np.sort(order[~new & later])
     if len(repeats):
-        yield _row(number % buckets, True, doc[repeats], place[repeats], keys, marks, None)
+        # any bucket may take them; the chunk's first text and number deal them to all
+        first = doc[repeats[0]]
+        bucket = hash((int(keys[first]), int(marks[first]), number)) % buckets
+        yield _row(bucket, True, doc[repeats], place[repeats], keys, marks, None)
     tie = ~new & ~later & (marks[doc[order]] != marks[doc[leader]])
     first = order[new | tie]
     bucket = ((h[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
