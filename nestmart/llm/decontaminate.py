@@ -66,13 +66,17 @@ class Index:
     place: np.ndarray
 
 
-def windows_of(rows: list[tuple[str, str | None]], size: int) -> dict[tuple[bytes, ...], list[str]]:
-    """Word sequence of every window -> ids of the items that have it."""
+def windows_of(rows: list[tuple[str | None, str | None]],
+               size: int) -> dict[tuple[bytes, ...], list[str]]:
+    """Word sequence of every window -> ids of the items that have it (items without one have
+    windows, too)."""
     found: dict[tuple[bytes, ...], set[str]] = {}
     for item, text in rows:
         own = _split(text)
         for k in range(max(1, len(own) - size + 1) if own else 0):
-            found.setdefault(tuple(own[k:k + size]), set()).add(item)
+            ids = found.setdefault(tuple(own[k:k + size]), set())
+            if item is not None:
+                ids.add(item)
     return {w: sorted(ids) for w, ids in sorted(found.items())}
 
 
@@ -191,7 +195,7 @@ def word_counts(texts: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
     return {vocabulary[order[r.word]]: r.n for r in rows}
 
 
-def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str, str | None]]]:
+def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[str | None, str | None]]]:
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // limit))
     for k in range(n):
@@ -216,7 +220,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     an id or have none.
 
     * NULL or empty text: no words, no spans.
-    * NULL or empty item: no windows. NULL item ids are left out.
+    * NULL or empty item: no windows. The windows of an item without an id count
+      for spans, and name no item.
     * Repeated rows and items: a repeated row gives the same result twice, a
       repeated item id is listed once, items with equal windows are all listed.
     * Empty documents: no rows. Empty benchmark: no spans.
@@ -229,7 +234,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      F.lit(None).cast("array<struct<start:long,end:long>>").alias("spans"),
                      F.lit(None).cast("array<string>").alias("items"))
     items = benchmark.select(F.col(item_col).cast("string").alias("item"),
-                             F.col(item_text_col).alias("text")).filter("item is not null")
+                             F.col(item_text_col).alias("text"))
     for rows in _blocks(items, block_bytes):
         found = windows_of(rows, window)
         count = word_counts(texts, sorted({w for own in found for w in own}))

@@ -29,7 +29,7 @@ WITH d AS (SELECT doc_id, regexp_extract_all(
   '{_LETTERS}') AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
   translate(coalesce(text, ''), {_FOLD}),
-  '{_LETTERS}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+  '{_LETTERS}') AS w FROM benchmark),
 k AS (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS pos FROM i WHERE len(w) > 0),
 v AS (SELECT DISTINCT item, len(w[pos:pos + 12]) AS n, array_to_string(w[pos:pos + 12], ' ') AS seq
       FROM k),
@@ -40,7 +40,8 @@ h AS (SELECT p.doc_id, p.pos, p.n, v.item
       FROM p JOIN v ON p.n = v.n AND array_to_string(p.w[p.pos:p.pos + p.n - 1], ' ') = v.seq),
 c AS (SELECT doc_id, count(DISTINCT x) AS n_hit
       FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS x FROM h) GROUP BY doc_id),
-m AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY doc_id)
+m AS (SELECT doc_id, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS items
+      FROM h GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,

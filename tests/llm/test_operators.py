@@ -169,13 +169,14 @@ def test_decontaminate(spark, docs):
     rows = corpus()
     own = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     items = [(1, " ".join(own.findall(rows[2][1] + rows[7][1])[10:40])), (2, "x x"), (3, None),
-             (4, "..."), (10, " ".join(own.findall(rows[7][1])[-14:]).upper()), (None, "x")]
+             (4, "..."), (10, " ".join(own.findall(rows[7][1])[-14:]).upper()),
+             (None, "x"), (None, " ".join(own.findall(rows[2][1])[-16:])), (None, None)]
     window = collections.defaultdict(set)
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
-    for i, t in items[:-1]:
+    for i, t in items:
         w = own.findall(low(t))
         for k in range(max(1, len(w) - 12) if w else 0):
-            window[tuple(w[k:k + 13])].add(str(i))
+            window[tuple(w[k:k + 13])] |= {str(i)} if i is not None else set()
     want = []
     for i, t, *_ in rows:
         w, hit, found = own.findall(low(t)), set(), set()
@@ -193,6 +194,30 @@ def test_decontaminate(spark, docs):
     assert any(w[2] for w in want)
 
 
+def test_decontaminate_sql_with_an_item_without_id(spark, tmp_path):
+    import duckdb
+
+    from nestmart.llm import oracles, queries
+    passage = " ".join(f"w{k}" for k in range(14))
+    for name, rows, schema in (
+            ("documents", [(1, f"see {passage} end"), (2, f"{passage} short"), (3, None)],
+             "doc_id long, text string"),
+            ("benchmark", [(None, passage), (5, "short"), (None, None)],
+             "item_id long, text string")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = queries.QUERIES["op3_decontaminate"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = duck.execute(oracles.DECONTAMINATE)
+    names = [d[0] for d in want.description]
+    rows = sorted(want.fetchall())
+    assert sorted(map(tuple, got.select(*names).collect())) == rows
+    at = {n: names.index(n) for n in ("n_hit", "n_items", "contaminated")}
+    assert [tuple(r[at[n]] for n in at) for r in rows] == [
+        (14, 0, True), (15, 1, True), (0, 0, False)]
+
+
 def test_quality_counts(spark, docs):
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(30)] + [(None, 1, 1)],
                                    "doc_id long, quality int, id int")
