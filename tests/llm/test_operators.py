@@ -261,24 +261,61 @@ def test_secrets(spark, docs, tmp_path):
     assert {tuple(r.rules) for r in added.collect()} == {("zero/1",)}
 
 
+def plain_path(model, text):
+    """Ids of the best segmentation, place by place; of equal ones the longest last piece."""
+    s = pieces.normal(text)
+    total, start = [0.0] + [float("-inf")] * len(s), [0] * (len(s) + 1)
+    for end in range(1, len(s) + 1):
+        for begin in range(max(0, end - model.longest), end):
+            own = model.score_of.get(s[begin:end], model.unknown if end - begin == 1 else None)
+            if own is not None and total[begin] + own > total[end]:
+                total[end], start[end] = total[begin] + own, begin
+    cuts = [len(s)]
+    while cuts[-1]:
+        cuts.append(start[cuts[-1]])
+    cuts.reverse()
+    return [i for a, b in zip(cuts, cuts[1:], strict=False) for i in model.ids(s[a:b])]
+
+
+ODD_TEXTS = ["   a    b" + " " * 40 + "x", "\u65e5\u672c\u8a9e" * 30, "a" * 300, "\n\t \u0378z\u0379",
+             "\u00e9 \u2581\u2581 a", "aab " * 40]
+
+
 def test_pieces(spark, docs):
     model = pieces.load(pieces._model_bytes(pieces.MODEL_FILE))
+    own = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(900 + i, t) for i, t in enumerate(ODD_TEXTS)], "doc_id long, text string"))
+    texts = [(r[0], r[1] or "") for r in corpus()] + [
+        (900 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    want = collections.Counter(
+        (i, tuple(plain_path(model, t) if t else ())) for i, t in texts)
+    for chunk in (pieces.CHUNK, 200, 40, model.longest):
+        found = pieces.encode(own, chunk=chunk).collect()
+        assert collections.Counter((r.doc_id, tuple(r.ids)) for r in found) == want, chunk
+        assert collections.Counter((r.doc_id, model.decode(r.ids)) for r in found) == (
+            collections.Counter((i, t.replace("\u2581", " ")) for i, t in texts))
+
+
+def test_pieces_without_the_library():
+    model = pieces.load(pieces._model_bytes(pieces.MODEL_FILE))
+    words = sorted({w for t in ODD_TEXTS + [r[1] or "" for r in corpus()]
+                    for w in model.split(pieces.normal(t)) if model.by_library(w)})
+    assert len(words) > 100
+    for w in words:
+        assert model.own(w) == np.array(model.library.encode(w), dtype=np.int32).tobytes()
 
-    def score(ids):
-        return sum(model.score_of.get(model.names[i], 0.0) for i in ids)
-
-    whole = pieces.encode(docs).collect()
-    texts = collections.Counter((r[0], r[1] or "") for r in corpus())
-    assert collections.Counter((r.doc_id, model.decode(r.ids)) for r in whole) == texts
-    for r in whole:
-        text = model.decode(r.ids)
-        if len(text) < 400:
-            assert list(r.ids) == (model.library.encode(pieces.normal(text)) if text else [])
-    parts = pieces.encode(docs, chunk=40).collect()
-    assert collections.Counter((r.doc_id, model.decode(r.ids)) for r in parts) == texts
-    assert sorted(round(score(r.ids)) for r in parts) == sorted(round(score(r.ids)) for r in whole)
-    decoded = pieces.decode(spark.createDataFrame([(1, None)], "a int, ids array<int>"))
-    assert decoded.first().text is None
+
+def test_decode_pieces(spark):
+    model = pieces.load(pieces._model_bytes(pieces.MODEL_FILE))
+    ids = model.ids("\u2581the")
+    rows = [(1, None, "a"), (2, [], "b"), (3, ids, "c"), (4, [*ids, -1, 10**9, None, 0], "d")]
+    frame = spark.createDataFrame(rows, "a int, ids array<int>, text string")
+    found = pieces.decode(frame)
+    assert found.columns == ["a", "ids", "text"]
+    assert sorted((r.a, r.text) for r in found.collect()) == [
+        (1, None), (2, ""), (3, "the"), (4, "the")]
+    assert pieces.decode(frame.filter("a > 9"), out_col="other").columns[-1] == "other"
+    assert pieces.decode(frame.filter("a > 9")).count() == 0
 
 
 def test_matrix_product_is_associative():
