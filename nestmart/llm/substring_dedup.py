@@ -12,9 +12,12 @@ A window that is in a third of all texts reaches its bucket once for each
 chunk of about a million windows, not once for each text, so no bucket is
 unbounded; the number of buckets follows the measured size of the input.
 
-Hashes have 64 bits: the chance that any two of n different windows share one
-is about n * n / 2**65 (below 0.001 for 10**8 windows; about 0.7 false pairs are
-expected among the 5 * 10**9 windows of 30 GB). Equal hashes are not verified on words.
+A window has two hashes. The second, of 32 bits, is compared inside a chunk and
+names the bucket; the first, of 64 bits, is compared inside the bucket. So of n
+different windows in b buckets about n * n / (b * 2**65) pairs are expected to be
+taken for equal: 0.0006 among the 5 * 10**9 windows of 30 GB, in about 1,200
+buckets. Beyond that equal hashes are not verified on words; words of equal 64-bit
+hash (about 0.03 pairs among 10**9 different words) are one to both hashes.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keyed import keyed
-from .words import WHITE_SPACE, Lexer, pieces, spans, window_hashes, words
+from .words import WHITE_SPACE, Lexer, mix, pieces, spans, window_hashes, words
 
 WINDOW = 20
 CHUNK_WINDOWS = 1 << 20
@@ -36,6 +39,7 @@ BUCKET_CHARS = 24 << 20
 #: Buckets at least, so that small inputs are spread over tasks too.
 MIN_BUCKETS = 64
 LEXER = Lexer.separated_by(WHITE_SPACE)
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 _ENTRY = ("bucket int, local boolean, keys binary, marks binary, counts binary, "
           "places binary, n long, hashes binary")
@@ -64,13 +68,14 @@ def _row(bucket: int, local: bool, docs: np.ndarray, places: np.ndarray, keys: n
 
 
 def _chunk_rows(parts: list[tuple], buckets: int, number: int) -> Iterator[tuple]:
-    """Rows of one chunk; ``parts`` has (window hash, text, place, keys, marks) per piece."""
-    keys = np.concatenate([p[3] for p in parts])
-    marks = np.concatenate([p[4] for p in parts])
-    shift = np.cumsum([0, *[len(p[3]) for p in parts]])
-    doc = np.concatenate([p[1] + s for p, s in zip(parts, shift, strict=False)])
+    """Rows of one chunk; ``parts`` has (hash, second hash, text, place, keys, marks) per piece."""
+    keys = np.concatenate([p[4] for p in parts])
+    marks = np.concatenate([p[5] for p in parts])
+    shift = np.cumsum([0, *[len(p[4]) for p in parts]])
+    doc = np.concatenate([p[2] + s for p, s in zip(parts, shift, strict=False)])
     h = np.concatenate([p[0] for p in parts])
-    place = np.concatenate([p[2] for p in parts])
+    second = np.concatenate([p[1] for p in parts])
+    place = np.concatenate([p[3] for p in parts])
     by_key = np.argsort(keys, kind="stable")
     if not np.array_equal(by_key, np.arange(len(keys))):
         rank = np.empty(len(keys), dtype=np.int64)
@@ -78,10 +83,11 @@ def _chunk_rows(parts: list[tuple], buckets: int, number: int) -> Iterator[tuple
         doc, keys, marks = rank[doc], keys[by_key], marks[by_key]
     if len(doc) > 1 and (np.diff(doc) < 0).any():
         order = np.lexsort((place, doc))
-        doc, h, place = doc[order], h[order], place[order]
+        doc, h, second, place = doc[order], h[order], second[order], place[order]
     order = np.argsort(h, kind="stable")
-    ordered = h[order]
-    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    ordered, other = h[order], second[order]
+    # equal windows that a false pair stands between meet again in their bucket
+    new = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (other[1:] != other[:-1])))
     first = order[new]
     leader = np.repeat(first, np.diff(np.append(np.flatnonzero(new), len(h))))
     later = (keys[doc[order]] != keys[doc[leader]]) | (place[order] != place[leader])
@@ -93,7 +99,8 @@ def _chunk_rows(parts: list[tuple], buckets: int, number: int) -> Iterator[tuple
         yield _row(bucket, True, doc[repeats], place[repeats], keys, marks, None)
     tie = ~new & ~later & (marks[doc[order]] != marks[doc[leader]])
     first = order[new | tie]
-    bucket = ((h[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    bucket = (second[first].astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(
+        np.int64)
     order = np.lexsort((first, bucket))
     first, bucket = first[order], bucket[order]
     cut = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -123,6 +130,8 @@ def _emit(buckets: int, window: int):
             for piece in pieces(batch.column("text")):
                 found = words(piece, LEXER)
                 h = window_hashes(found.hash, window)
+                second = (window_hashes(mix(found.hash ^ _SECOND), window)
+                          >> np.uint64(32)).astype(np.uint32)
                 doc = found.doc[:len(h)]
                 ok = np.flatnonzero(doc == found.doc[window - 1:][:len(h)]) if len(h) else []
                 if not len(ok):
@@ -132,7 +141,7 @@ def _emit(buckets: int, window: int):
                 ids = key[piece.lo:piece.hi], mark[piece.lo:piece.hi]
                 for lo in range(0, len(ok), chunk):
                     part = slice(lo, lo + chunk)
-                    held.append((h[ok[part]], doc[ok[part]], place[part], *ids))
+                    held.append((h[ok[part]], second[ok[part]], doc[ok[part]], place[part], *ids))
                     size += len(held[-1][0])
                     if size >= chunk:
                         yield flush()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nestmart.llm import line_dedup as line_dedup_module
 from nestmart.llm import page_text, pieces
+from nestmart.llm import substring_dedup as substring_module
 from nestmart.llm.components import connected_components
 from nestmart.llm.decontaminate import decontaminate, hit_words
 from nestmart.llm.langid import fit_languages, predict_languages
@@ -70,6 +71,19 @@ def test_substring_dedup(docs):
     assert any(w[2] for w in want)
 
 
+def test_substring_dedup_tells_windows_of_one_hash_apart():
+    """Three windows share the first hash; only two of them the second."""
+    part = (np.array([5, 5, 5, 9], np.uint64), np.array([1, 1 << 31, 1, 1], np.uint32),
+            np.array([0, 1, 2, 3]), np.array([0, 0, 0, 4]), np.arange(10, 14), np.zeros(4, np.int64))
+    found = collections.defaultdict(list)
+    for bucket, local, keys, _, counts, _, n, hashes in substring_module._chunk_rows(
+            [part], 2, 0):
+        assert not local and n == sum(np.frombuffer(counts, np.int32))
+        found[bucket] += zip(np.frombuffer(keys, np.int64).tolist(),
+                             np.frombuffer(hashes, np.uint64).tolist(), strict=True)
+    assert sorted(found[0]) == [(10, 5), (12, 5), (13, 9)] and found[1] == [(11, 5)]
+
+
 def test_line_dedup(docs):
     rows = ordered(corpus())
     lines = [((i is None, i or 0, k), frozenset(split(x))) for i, t, *_ in rows if t is not None
