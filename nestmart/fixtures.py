@@ -14,7 +14,9 @@ side only, from the flat rules, by ``raw_*`` functions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +31,14 @@ DAYS = (0, 1, 2)
 DIALECT = {
     "spark": {
         "days": "explode(array(0, 1, 2))",
+        # orders meet their customer first: line items, the larger side, are shuffled once
+        "people": "JOIN ({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey)\n"
+                  "  ON l.l_orderkey = o.o_orderkey",
     },
     "duckdb": {
         "days": "unnest([0, 1, 2])",
+        "people": "JOIN {orders} o ON l.l_orderkey = o.o_orderkey\n"
+                  "JOIN {customer} c ON o.o_custkey = c.c_custkey",
     },
 }
 
@@ -79,8 +86,7 @@ SELECT
        ELSE (l.l_orderkey + l.l_linenumber) % 30 END AS ord,
   l.l_returnflag = 'R' AS is_crew
 FROM {lineitem} l
-JOIN {orders} o ON l.l_orderkey = o.o_orderkey
-JOIN {customer} c ON o.o_custkey = c.c_custkey
+{people}
 """
 
 # Every film is observed on two of the three days, all but its ``missing_day``
@@ -141,7 +147,7 @@ def sql(name: str, dialect: str, sf_dir: str | None = None,
     if name == "film":
         return film
     if name == "line":
-        return FX_LINE.format(**refs)
+        return FX_LINE.format(people=DIALECT[dialect]["people"].format(**refs), **refs)
     if name == "day":
         return FX_DAY.format(days=DIALECT[dialect]["days"], fx_film=film)
     if name == "company":
@@ -171,15 +177,17 @@ def day_date(d: int | str) -> str:
 
 
 def raw_movie_details(spark: SparkSession, sf_dir: str, day: int | None = None,
-                      duplicate_rule: bool = False) -> DataFrame:
+                      duplicate_rule: bool = False,
+                      companies: DataFrame | None = None) -> DataFrame:
     """``movie_details`` rows as they land (nested, untyped numbers as double).
 
     With ``day`` set, only films observed that day, carrying that day's
     popularity and vote count. With ``duplicate_rule`` every film of size 1, 11,
     21, ... appears twice (exact duplicates) to exercise de-duplication.
+    ``companies`` are the company arrays if they are stored already.
     """
     film = fx(spark, sf_dir, "film")
-    companies = company_arrays(spark, sf_dir)
+    companies = company_arrays(spark, sf_dir) if companies is None else companies
     if day is not None:
         # The day's figures; on the last day titles change, which a merge must ignore.
         seen = fx(spark, sf_dir, "day").where(F.col("day") == day).select(
@@ -219,9 +227,11 @@ def raw_movie_details(spark: SparkSession, sf_dir: str, day: int | None = None,
     return raw
 
 
-def company_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+def company_arrays(spark: SparkSession, sf_dir: str,
+                   pairs: DataFrame | None = None) -> DataFrame:
     """Per film, its distinct suppliers as raw company structs (sorted by id)."""
-    pairs = fx(spark, sf_dir, "line").select("movie_id", "company_id").distinct()
+    if pairs is None:
+        pairs = fx(spark, sf_dir, "line").select("movie_id", "company_id").distinct()
     comp = fx(spark, sf_dir, "company")
     joined = pairs.join(comp, "company_id")
     return joined.groupBy("movie_id").agg(F.sort_array(F.collect_list(F.struct(
@@ -229,25 +239,63 @@ def company_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("company_country").alias("origin_country")))).alias("production_companies"))
 
 
+def _credit_arrays() -> list[Column]:
+    """The cast and the crew of a film's line items, as they land."""
+    cast = F.struct(F.col("person_id").alias("id"), F.col("gender").cast("bigint").alias("gender"),
+                    "name", F.col("ord").cast("bigint").alias("order"),
+                    F.col("department").alias("known_for_department"))
+    crew = F.struct(F.col("person_id").alias("id"), F.col("gender").cast("bigint").alias("gender"),
+                    "name", "department", "job")
+    return [F.sort_array(F.collect_list(F.when(~F.col("is_crew"), cast))).alias("cast"),
+            F.sort_array(F.collect_list(F.when(F.col("is_crew"), crew))).alias("crew")]
+
+
 def raw_movie_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``movie_credits`` rows as they land: per film, cast and crew arrays.
 
     Cast entries come from non-returned line items, crew from returned ones;
     a film with no entries of a kind carries an empty array.
     """
-    line = fx(spark, sf_dir, "line")
-    cast = F.struct(F.col("person_id").alias("id"), F.col("gender").cast("bigint").alias("gender"),
-                    "name", F.col("ord").cast("bigint").alias("order"),
-                    F.col("department").alias("known_for_department"))
-    crew = F.struct(F.col("person_id").alias("id"), F.col("gender").cast("bigint").alias("gender"),
-                    "name", "department", "job")
-    grouped = line.groupBy("movie_id").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("is_crew"), cast))).alias("cast"),
-        F.sort_array(F.collect_list(F.when(F.col("is_crew"), crew))).alias("crew"),
-    )
+    grouped = fx(spark, sf_dir, "line").groupBy("movie_id").agg(*_credit_arrays())
     return grouped.select(F.col("movie_id").alias("id"), "cast", "crew")
 
 
+class FilmLines(NamedTuple):
+    """What the line items say of each film, stored by film."""
+
+    credits: DataFrame     #: raw ``movie_credits`` rows
+    companies: DataFrame   #: ``company_arrays`` rows
+
+
+def stored_companies(spark: SparkSession, database: str, companies: DataFrame) -> DataFrame:
+    """Company arrays as a table bucketed by film, for inputs of several days."""
+    return _stored(spark, companies, database, "film_companies", "movie_id")
+
+
+def stored_lines(spark: SparkSession, sf_dir: str, database: str) -> FilmLines:
+    """Raw credits and company arrays of all films in one pass over the line items.
+
+    The same rows as :func:`raw_movie_credits` and :func:`company_arrays` give,
+    as tables of ``database`` bucketed by film: inputs of several days and
+    outputs read them without joining and grouping the line items again.
+    """
+    grouped = fx(spark, sf_dir, "line").groupBy("movie_id").agg(
+        *_credit_arrays(), F.collect_set("company_id").alias("company_ids"))
+    lines = _stored(spark, grouped.withColumnRenamed("movie_id", "id"), database, "film_lines",
+                    "id")
+    pairs = lines.select(F.col("id").alias("movie_id"), F.explode("company_ids").alias(
+        "company_id"))
+    return FilmLines(lines.select("id", "cast", "crew"), stored_companies(
+        spark, database, company_arrays(spark, sf_dir, pairs)))
+
+
+def _stored(spark: SparkSession, df: DataFrame, database: str, name: str,
+            key: str) -> DataFrame:
+    from nestmart.sources.tables import create_table_as
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.table(create_table_as(df, database, name, bucket_by=key, buckets=n))
+
+
 def raw_box_office(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``box_office`` rows as they land: money as display strings.
 

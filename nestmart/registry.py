@@ -144,9 +144,10 @@ def q_report_by_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Shared Spark-side steps -------------------------------------------------------
 
 def _clean_details(spark: SparkSession, sf_dir: str, day: int | None = None,
-                   dups: bool = False) -> DataFrame:
+                   dups: bool = False, companies: DataFrame | None = None) -> DataFrame:
     from nestmart.plans.clean import clean_movie_details
-    return clean_movie_details(fx.raw_movie_details(spark, sf_dir, day, duplicate_rule=dups))
+    return clean_movie_details(fx.raw_movie_details(spark, sf_dir, day, duplicate_rule=dups,
+                                                    companies=companies))
 
 
 def _clean_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -662,16 +663,21 @@ def q_full_join_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_days(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Land the raw datasets of every fixture day (independent writes, run side by side)."""
+    """Land the raw datasets of every fixture day (independent writes, run side by side).
+
+    The line items are joined and grouped once for all of them.
+    """
     from nestmart.plans.concurrent import run_all
     from nestmart.sources import lake
+    lines = fx.stored_lines(spark, sf_dir, _scratch_db(spark, "lines"))
     writes = {}
     for d in fx.DAYS:
         date = fx.day_date(d)
         writes[f"details-{d}"] = (lambda d=d, date=date: lake.write_raw_json(
-            fx.raw_movie_details(spark, sf_dir, d), root, date, "movie_details"))
+            fx.raw_movie_details(spark, sf_dir, d, companies=lines.companies), root, date,
+            "movie_details"))
         writes[f"credits-{d}"] = (lambda date=date: lake.write_raw_json(
-            fx.raw_movie_credits(spark, sf_dir), root, date, "movie_credits"))
+            lines.credits, root, date, "movie_credits"))
         writes[f"box-{d}"] = (lambda date=date: lake.write_raw_json(
             fx.raw_box_office(spark, sf_dir), root, date, "box_office"))
     run_all(writes, max_workers=6)

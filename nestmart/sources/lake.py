@@ -13,6 +13,9 @@ from nestmart.session import materialize
 
 CORRUPT = "_corrupt_record"
 
+#: Records in one landed file at most.
+RECORDS_PER_FILE = 250_000
+
 
 def day_path(lake: str, layer: str, date: str | dt.date, name: str, ext: str) -> str:
     """``{lake}/{layer}/YYYY/MM/DD/{name}.{ext}`` (IO-6)."""
@@ -52,16 +55,22 @@ def read_raw_json(spark: SparkSession, lake: str, date: str | dt.date, name: str
 
 
 def write_raw_json(df: DataFrame, lake: str, date: str | dt.date, name: str) -> str:
-    """Land a batch of records for a date as JSON-lines (IO-3); returns the path."""
+    """Land a batch of records for a date as gzipped JSON-lines (IO-3); returns the path.
+
+    Field names and repeated values make up most of such text, so it is
+    landed compressed. A gzipped file is read by one task: a large batch is
+    cut into files of ``RECORDS_PER_FILE``.
+    """
     path = day_path(lake, "raw", date, name, "json")
-    df.write.mode("overwrite").json(path)
+    (df.write.mode("overwrite").option("compression", "gzip")
+     .option("maxRecordsPerFile", RECORDS_PER_FILE).json(path))
     return path
 
 
 def write_clean(df: DataFrame, lake: str, date: str | dt.date, name: str) -> str:
     """Overwrite one day's clean Parquet dataset (IO-4); returns the path."""
     path = day_path(lake, "clean", date, name, "parquet")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return path
 
 
