@@ -229,11 +229,15 @@ def raw_movie_details(spark: SparkSession, sf_dir: str, day: int | None = None,
 
 def company_arrays(spark: SparkSession, sf_dir: str,
                    pairs: DataFrame | None = None) -> DataFrame:
-    """Per film, its distinct suppliers as raw company structs (sorted by id)."""
+    """Per film, its distinct suppliers as raw company structs (sorted by id).
+
+    A film's rows come from all partitions, so they are shuffled as flat rows:
+    lists collected before the shuffle would hold about one entry each.
+    """
     if pairs is None:
         pairs = fx(spark, sf_dir, "line").select("movie_id", "company_id").distinct()
     comp = fx(spark, sf_dir, "company")
-    joined = pairs.join(comp, "company_id")
+    joined = pairs.join(comp, "company_id").repartition("movie_id")
     return joined.groupBy("movie_id").agg(F.sort_array(F.collect_list(F.struct(
         F.col("company_id").alias("id"), F.col("company_name").alias("name"),
         F.col("company_country").alias("origin_country")))).alias("production_companies"))
@@ -256,7 +260,8 @@ def raw_movie_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     Cast entries come from non-returned line items, crew from returned ones;
     a film with no entries of a kind carries an empty array.
     """
-    grouped = fx(spark, sf_dir, "line").groupBy("movie_id").agg(*_credit_arrays())
+    grouped = fx(spark, sf_dir, "line").repartition("movie_id").groupBy("movie_id").agg(
+        *_credit_arrays())
     return grouped.select(F.col("movie_id").alias("id"), "cast", "crew")
 
 
@@ -269,7 +274,7 @@ class FilmLines(NamedTuple):
 
 def stored_companies(spark: SparkSession, database: str, companies: DataFrame) -> DataFrame:
     """Company arrays as a table bucketed by film, for inputs of several days."""
-    return _stored(spark, companies, database, "film_companies", "movie_id")
+    return stored(spark, companies, database, "film_companies", "movie_id")
 
 
 def stored_lines(spark: SparkSession, sf_dir: str, database: str) -> FilmLines:
@@ -279,18 +284,19 @@ def stored_lines(spark: SparkSession, sf_dir: str, database: str) -> FilmLines:
     as tables of ``database`` bucketed by film: inputs of several days and
     outputs read them without joining and grouping the line items again.
     """
-    grouped = fx(spark, sf_dir, "line").groupBy("movie_id").agg(
+    grouped = fx(spark, sf_dir, "line").repartition("movie_id").groupBy("movie_id").agg(
         *_credit_arrays(), F.collect_set("company_id").alias("company_ids"))
-    lines = _stored(spark, grouped.withColumnRenamed("movie_id", "id"), database, "film_lines",
-                    "id")
+    lines = stored(spark, grouped.withColumnRenamed("movie_id", "id"), database, "film_lines",
+                   "id")
     pairs = lines.select(F.col("id").alias("movie_id"), F.explode("company_ids").alias(
         "company_id"))
     return FilmLines(lines.select("id", "cast", "crew"), stored_companies(
         spark, database, company_arrays(spark, sf_dir, pairs)))
 
 
-def _stored(spark: SparkSession, df: DataFrame, database: str, name: str,
-            key: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, database: str, name: str,
+           key: str) -> DataFrame:
+    """``df`` as a table bucketed by ``key``: joins and groups by it need no shuffle of it."""
     from nestmart.sources.tables import create_table_as
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return spark.table(create_table_as(df, database, name, bucket_by=key, buckets=n))

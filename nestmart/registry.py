@@ -343,15 +343,18 @@ def q_lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Model layer -------------------------------------------------------------------
 
-def _day_clean(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFrame]:
+def _day_clean(spark: SparkSession, sf_dir: str, day: int,
+               lines: fx.FilmLines | None = None) -> dict[str, DataFrame]:
     from nestmart.plans.clean import clean_day
-    return clean_day(fx.raw_movie_details(spark, sf_dir, day), fx.raw_movie_credits(spark, sf_dir),
-                     fx.raw_box_office(spark, sf_dir))
+    credits = fx.raw_movie_credits(spark, sf_dir) if lines is None else lines.credits
+    details = fx.raw_movie_details(spark, sf_dir, day, companies=lines and lines.companies)
+    return clean_day(details, credits, fx.raw_box_office(spark, sf_dir))
 
 
-def _day_staging(spark: SparkSession, sf_dir: str, day: int) -> dict[str, DataFrame]:
+def _day_staging(spark: SparkSession, sf_dir: str, day: int,
+                 lines: fx.FilmLines | None = None) -> dict[str, DataFrame]:
     from nestmart.plans.model import model_day
-    return model_day(_day_clean(spark, sf_dir, day), fx.day_date(day))
+    return model_day(_day_clean(spark, sf_dir, day, lines), fx.day_date(day))
 
 
 def _size(c: str | Column) -> Column:
@@ -596,17 +599,20 @@ def _scratch_db(spark: SparkSession, label: str) -> str:
 def _merged_days(spark: SparkSession, sf_dir: str, last_day: int) -> DataFrame:
     """The film table after merging fixture days 0..last_day, as frames (no tables).
 
-    Each day's staging frame is materialised (Parquet under the shared
+    The days' line items are joined and grouped once. Each day's staging frame
+    is stored by film (a scratch table under the shared
     ``spark.checkpoint.dir``) because the key check and the merge both read
     it. The three merges stay one lazy chain; the table path (``publish``)
     cuts lineage at every day by writing the tables.
     """
     from nestmart import schemas
     from nestmart.operators.merge import merge_movies
-    from nestmart.session import materialize
+    db = _scratch_db(spark, "merged_days")
+    lines = fx.stored_lines(spark, sf_dir, db)
     stored = spark.createDataFrame([], schemas.MOVIES)
     for d in fx.DAYS[: last_day + 1]:
-        staged = materialize(_day_staging(spark, sf_dir, d)["movies"], "staging")
+        staged = fx.stored(spark, _day_staging(spark, sf_dir, d, lines)["movies"], db,
+                           f"staging_{d}", "movie_id")
         stored = merge_movies(stored, staged, fx.day_date(d))
     return stored
 
@@ -836,11 +842,14 @@ def q_staging_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the day's staging tables, record their sizes, drop them, check they are gone."""
     from functools import reduce
 
+    from nestmart.plans.model import model_day
     from nestmart.plans.publish import stage_day
-    from nestmart.session import scratch_path
+    from nestmart.session import materialize, scratch_path
     from nestmart.sources.tables import STAGED, drop_staging, read_staging, table_exists
     db = _scratch_db(spark, "staging")
-    stage_day(_day_staging(spark, sf_dir, 0), db)
+    clean = _day_clean(spark, sf_dir, 0, fx.stored_lines(spark, sf_dir, db))
+    clean["movie_details"] = materialize(clean["movie_details"], "details")
+    stage_day(model_day(clean, fx.day_date(0)), db)
     sizes = [read_staging(spark, db, t).groupBy().count()
              .select(F.lit(t).alias("table_name"), F.col("count").alias("n_rows"))
              for t in STAGED]
@@ -1190,8 +1199,10 @@ def q_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nestmart.session import scratch_path
     from nestmart.sources import lake
     root = scratch_path(spark, "lake")
+    companies = fx.stored_companies(spark, _scratch_db(spark, "companies"),
+                                    fx.company_arrays(spark, sf_dir))
     for d in fx.DAYS:
-        lake.write_days(_clean_details(spark, sf_dir, d).withColumn(
+        lake.write_days(_clean_details(spark, sf_dir, d, companies=companies).withColumn(
             "landed_on", F.lit(fx.day_date(d)).cast("date")), root, "movie_details", "landed_on")
     back = lake.read_days(spark, root, "movie_details", fx.day_date(1), fx.day_date(2))
     return presented(back.select("movie_id", "landed_on", "popularity", "vote_count"))

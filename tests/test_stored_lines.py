@@ -46,3 +46,10 @@ def test_large_landing_is_cut_into_files(spark, monkeypatch):
     path = lake.write_raw_json(spark.range(35).coalesce(1), root, "2024-01-01", "box_office")
     assert len([f for f in os.listdir(local_path(path)) if f.startswith("part-")]) == 4
     assert spark.read.json(path).count() == 35
+
+
+@pytest.mark.parametrize("query", ["append_metrics", "merge_movies", "full_join_coalesce",
+                                   "staging_lifecycle", "day_range"])
+def test_queries_of_several_days_read_the_line_items_once(spark, sf_dir, line_reads, query):
+    registry.QUERIES[query](spark, sf_dir)
+    assert line_reads.count("line") == 1
