@@ -7,9 +7,9 @@ text's score is the mean, over its n-grams, of the log ratio of the two
 smoothed multinomials. A text is kept if its base counts pass and its score
 reaches a threshold that is the same for all texts.
 
-Trusted texts are labelled rows with quality 1; at most ``LABELLED`` of each
-label are used, those with the smallest hash of their id (a bounded sample,
-as a model fit may use). Raw-corpus counts and scores cover every text.
+Trusted texts are all labelled rows with quality 1, and the threshold goes by
+all labelled rows; labels are joined to the texts, none reaches the driver.
+Raw-corpus counts and scores cover every text.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from nestmart.session import materialize
 from .words import BASE, WHITE_SPACE, Lexer, Words, mix, pieces, window_hashes, words
 
 BUCKETS = 1 << 16
-LABELLED = 20_000
 SMOOTHING = 0.5
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
@@ -54,27 +53,24 @@ def ngram_buckets(tokens: Words) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate((doc, doc[:-1][inside])))
 
 
-def _count(trusted: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = np.zeros(BUCKETS, dtype=np.int64)
-        target = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
-            chosen = np.isin(np.asarray(batch.column("key")), trusted)
-            for piece in pieces(batch.column("text")):
-                bucket, doc = ngram_buckets(words(piece, TOKEN_LEXER))
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[chosen[piece.lo:piece.hi][doc]], minlength=BUCKETS)
-        seen = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])],
-            names=["bucket", "raw", "target"])
-
-    return run
-
-
-def log_ratios(texts: DataFrame, trusted: np.ndarray) -> np.ndarray:
-    """Log of target over raw probability by bucket; ``texts`` has key, text."""
-    rows = texts.mapInArrow(_count(trusted), "bucket long, raw long, target long").groupBy(
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    raw = np.zeros(BUCKETS, dtype=np.int64)
+    target = np.zeros(BUCKETS, dtype=np.int64)
+    for batch in batches:
+        chosen = np.asarray(batch.column("trusted").to_numpy(zero_copy_only=False), dtype=bool)
+        for piece in pieces(batch.column("text")):
+            bucket, doc = ngram_buckets(words(piece, TOKEN_LEXER))
+            raw += np.bincount(bucket, minlength=BUCKETS)
+            target += np.bincount(bucket[chosen[piece.lo:piece.hi][doc]], minlength=BUCKETS)
+    seen = np.flatnonzero(raw)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])],
+        names=["bucket", "raw", "target"])
+
+
+def log_ratios(texts: DataFrame) -> np.ndarray:
+    """Log of target over raw probability by bucket; ``texts`` has text, trusted."""
+    rows = texts.mapInArrow(_count, "bucket long, raw long, target long").groupBy(
         "bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
     raw = np.full(BUCKETS, SMOOTHING)
     target = np.full(BUCKETS, SMOOTHING)
@@ -161,8 +157,7 @@ def threshold(hist: list[tuple[float, int, int]]) -> float:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", label_id_col: str = "doc_id",
-                   label_col: str = "quality", labelled: int = LABELLED
-                   ) -> tuple[DataFrame, float]:
+                   label_col: str = "quality") -> tuple[DataFrame, float]:
     """Counts and score of every text, and the score from which texts are kept.
 
     The frame has id_col, n_words, word_chars (code points in words),
@@ -179,28 +174,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     label = labels.select(F.col(label_id_col).cast("long").alias("key"),
                           F.col(label_col).cast("int").alias("label")).dropna().groupBy(
-        "key").agg(F.min("label").alias("label"))
-    sample = {}
-    for kind in (0, 1):
-        rows = label.filter(F.col("label") == kind).orderBy(F.xxhash64("key"), "key").limit(
-            labelled).collect()
-        sample[kind] = np.array(sorted(r.key for r in rows), dtype=np.int64)
-    none = -(1 << 63)
-    texts = docs.select(F.col(id_col).alias("id"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(none)).alias("key"),
+        "key").agg(F.min("label").alias("label")).filter(F.col("label").isin(0, 1))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("key"),
                         F.col(text_col).alias("text"))
-    weights = log_ratios(texts.select("key", "text"), sample[1])
+    # the labels grow with the texts: shuffled at any size, never sent whole to every task;
+    # texts without an id match none and are spread by their text
+    good = label.filter("label = 1").select(F.col("key").alias("_good")).hint("merge")
+    spread = F.coalesce(F.col("key"), F.xxhash64("text"))
+    weights = log_ratios(texts.join(
+        good, (spread == F.col("_good")) & F.col("key").isNotNull(), "left").select(
+        "text", F.col("_good").isNotNull().alias("trusted")))
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = materialize(texts.mapInArrow(
         _score(weights), f"id {id_type}, key long, n_words long, word_chars long, n_symbols long, "
                          "n_dup_lines long, n_repeat_words long, score double"), "quality")
 
-    spark = docs.sparkSession
-    kinds = spark.createDataFrame(
-        pa.table({"key": np.concatenate((sample[0], sample[1])),
-                  "label": np.repeat([0, 1], [len(sample[0]), len(sample[1])])}).to_pandas(),
-        "key long, label int")
-    hist = scored.join(F.broadcast(kinds), "key").groupBy(
+    hist = scored.join(label, "key").groupBy(
         F.round("score", 3).alias("score")).agg(
         F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")).collect()
     cut = threshold([(r.score, r.good, r.bad) for r in hist])
