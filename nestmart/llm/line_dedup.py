@@ -8,15 +8,17 @@ are conditions of that join; what passes is verified on the words themselves.
 
 One earlier match settles a line, so most lines of a large group of near copies
 need no look at the rest of the group: each class is first compared with its
-hubs, the first classes that share one of its ``HUBS`` min-hashes. Only classes
-which that leaves open look for partners in the prefix join, among all classes.
+hubs, the first classes that share one of its runs of ``RUN`` words next to each
+other in the order of rarity, begun at ``ANCHORS`` fixed places of that order.
+Only classes which that leaves open look for partners in the prefix join, among
+all classes.
 
 Rarity is the rank of the word's bucket (``RARITY_BUCKETS`` buckets of word
 hashes) by the words counted in it over all lines, ties by hash: any total
 order of the words gives the exact result, a truer one fewer candidates.
 
-Lines are described by tasks in Python (the README has the figures of the form
-in DataFrame operations only); everything after that is joins and groups.
+All of it is DataFrame operations: array functions describe the lines, the rest
+is joins and groups.
 """
 
 from __future__ import annotations
@@ -38,9 +40,15 @@ RARITY_BUCKETS = 1 << 16
 UP, DOWN = 4, 5
 #: Candidate lines that are sent to all tasks to find their words; more are joined by a shuffle.
 BROADCAST_LINES = 500_000
-#: Min-hashes of a class; a pair of similarity s shares none with chance (1 - s) ** HUBS.
+#: Words of a run that names a hub; places where runs begin, equal shares of all words apart.
+RUN, ANCHORS = 4, 5
+#: So many hubs more has a run that more classes share.
+SPREAD = 16
+#: Min-hashes of a class in the description by Arrow tasks.
 HUBS = 3
 LEXER = Lexer.separated_by(WHITE_SPACE)
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WHITE_SPACE = r"[\x20\x09-\x0D]+"
 _SALT = np.uint64(0xA0761D6478BD642F)
 _HUB_SALTS = [np.uint64(int(_SALT) * (i + 2) % (1 << 64)) for i in range(HUBS)]
 #: A line's place: rows that share a key are told apart by mark, which doesn't order them.
@@ -49,6 +57,17 @@ _LINE = ("key long, mark long, line_no int, c1 long, c2 long, size int, p1 long,
          "prefix array<long>, hubs array<long>")
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A scratch copy; shuffle files of its making go with it, not at the driver's next collection."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, "false")
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return materialize(df, "line-dedup")
+    finally:
+        conf.set(_CLEAN_UP, before)
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     return (h & np.uint64(RARITY_BUCKETS - 1)).astype(np.int64)
 
@@ -75,8 +94,70 @@ def rarity_ranks(texts: DataFrame) -> np.ndarray:
     return rank
 
 
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """Words of all texts by the bucket of their hash."""
+    bucket = F.xxhash64("word").bitwiseAND(RARITY_BUCKETS - 1).cast("int").alias("bucket")
+    rows = texts.select(F.explode(F.split("text", _WHITE_SPACE, -1)).alias("word")).groupBy(
+        bucket).agg(F.count("*").alias("n")).collect()
+    n = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for r in rows:
+        n[r.bucket] = r.n
+    return n
+
+
+def describe(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Every line with a word: place, class, size, parity of its words in 128 bits, prefix, hubs.
+
+    A word is known by 63 bits: its bucket's rank by ``counts``, which stands for
+    the bucket's 16 bits of its hash, a one, and 47 others. Marks (a rank, and
+    zeros) are sorted in among the words of every line: runs begin behind them,
+    and the middle one parts the two parities.
+    """
+    rest = 65 - RARITY_BUCKETS.bit_length()
+    by_rarity = np.argsort(counts, kind="stable")
+    top = np.empty(RARITY_BUCKETS, dtype=np.int64)
+    top[by_rarity] = np.arange(-RARITY_BUCKETS // 2, RARITY_BUCKETS // 2) << rest
+    upto = np.cumsum(counts[by_rarity])
+    shares = np.searchsorted(upto, np.arange(ANCHORS) * upto[-1] // ANCHORS, side="right")
+    marks = sorted({int(top[by_rarity[min(k, RARITY_BUCKETS - 1)]]) for k in shares})
+    ranks = F.split(F.lit(",".join(map(str, (top + (1 << rest - 1)).tolist()))), ",").cast(
+        "array<bigint>")
+    none = F.array(F.xxhash64(F.lit("")))
+    mark_array = F.array(*(F.lit(m).cast("long") for m in marks))
+
+    def known(h: Column) -> Column:
+        return ranks[h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")].bitwiseOR(
+            F.shiftrightunsigned(h, 65 - rest))
+
+    def place(mark: int) -> Column:
+        return F.array_position("words", F.lit(mark).cast("long")).cast("int")
+
+    def parity(words: Column) -> Column:
+        return F.aggregate(words, F.lit(0).cast("long"), lambda x, w: x.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int"))))
+
+    def run(k: int, mark: int) -> Column:
+        words = F.slice("words", place(mark) + 1, F.lit(RUN))
+        return F.when(place(mark) + RUN <= F.size("words"), F.xxhash64(F.lit(k), words))
+
+    lines = rows.select("key", "mark", F.posexplode(F.split("text", "\n", -1)).alias(
+        "line_no", "line")).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    words = lines.select(*_PLACE, F.sort_array(F.concat(F.transform(
+        F.array_except(F.transform(F.split("line", _WHITE_SPACE, -1), lambda w: F.xxhash64(w)),
+                       none), known), mark_array)).alias("words"))
+    size, half = F.size("words") - len(marks), marks[len(marks) // 2]
+    length = size - F.ceil(UP * size / DOWN).cast("int") + 1
+    return words.select(
+        *_PLACE, F.xxhash64("words").alias("c1"), F.xxhash64(F.lit(1), "words").alias("c2"),
+        size.alias("size"), parity(F.slice("words", F.lit(1), place(half))).alias("p1"),
+        parity(F.slice("words", place(half) + 1, F.size("words"))).alias("p2"),
+        F.slice(F.array_except(F.slice("words", F.lit(1), length + len(marks)), mark_array),
+                F.lit(1), length).alias("prefix"),
+        F.array_compact(F.array(*(run(k, m) for k, m in enumerate(marks)))).alias("hubs"))
+
+
 def _describe(rank: np.ndarray):
-    """Every line with a word: place, class, size, parity of its words in 128 bits, prefix."""
+    """The description by Arrow tasks, with its own hashes; the query no longer runs it."""
     rest = np.uint64(RARITY_BUCKETS.bit_length() - 1)
     up = np.uint64(64) - rest - np.uint64(1)
 
@@ -137,12 +218,14 @@ def _alike_in_size() -> Column:
     return DOWN * F.least("a.size", "b.size") >= UP * F.greatest("a.size", "b.size")
 
 
+def _odd(*parities: str) -> Column:
+    return sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in parities),
+               F.lit(0))
+
+
 def _alike_in_parity(*parities: str) -> Column:
     """At most as many words stand in one class only as the threshold allows."""
-    size = F.col("a.size") + F.col("b.size")
-    odd = sum((F.bit_count(F.col(f"a.{p}").bitwiseXOR(F.col(f"b.{p}"))) for p in parities),
-              F.lit(0))
-    return odd <= size - 2 * _least_overlap()
+    return _odd(*parities) <= F.col("a.size") + F.col("b.size") - 2 * _least_overlap()
 
 
 def _least_overlap() -> Column:
@@ -156,30 +239,46 @@ def _pair() -> list[Column]:
 
 
 def _hub_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs (class's first line, hub's): the first class of each shared min-hash."""
-    rows = classes.select(*_PLACE, "size", F.col("p1").bitwiseXOR(F.col("p2")).alias("p"),
-                          F.explode("hubs").alias("hub"))
-    hubs = materialize(rows.groupBy("hub").agg(
-        F.min(F.struct(*_PLACE, "size", "p")).alias("first"), F.count("*").alias("n")).filter(
-        "n > 1").select("hub", "first.*"), "line-dedup")
-    return rows.alias("a").join(
+    """Pairs (class's first line, hub's): of a class's hubs the one most alike by parity.
+
+    Hubs are the first class that shares a name and, of a name that many share,
+    the first of each of ``SPREAD`` parts of these.
+    """
+    named = _stored(classes.select(F.explode("hubs").alias("hub")).groupBy("hub").agg(
+        F.count("*").alias("n")).filter("n > 1"))
+    shared = F.broadcast(named) if named.count() <= BROADCAST_LINES else named
+    rows = _stored(classes.select(
+        *_PLACE, "size", "p1", "p2", F.explode("hubs").alias("hub")).join(shared, "hub"))
+    first = F.min(F.struct(*_PLACE, "size", "p1", "p2")).alias("first")
+    part = F.pmod(F.xxhash64(*_PLACE), F.lit(SPREAD)).alias("part")
+    spread = rows.filter(F.col("n") > SPREAD).groupBy("hub", part).agg(first)
+    hubs = rows.groupBy("hub").agg(first).select("hub", "first.*").unionByName(
+        spread.select("hub", "first.*"))
+    found = rows.alias("a").join(
         hubs.alias("b"), (F.col("a.hub") == F.col("b.hub")) & _earlier() & _alike_in_size()
-        & _alike_in_parity("p")).select(*_pair()).distinct()
+        & _alike_in_parity("p1", "p2"))
+    alike = (_odd("p1", "p2") / (F.col("a.size") + F.col("b.size"))).alias("off")
+    others = [f"{c}2" for c in _PLACE]
+    return found.select(*_pair(), alike).groupBy(*_PLACE).agg(
+        F.min(F.struct("off", *others)).alias("best")).select(
+        *_PLACE, *(F.col(f"best.{c}") for c in others))
 
 
-def _candidates(still_open: DataFrame, settled: DataFrame) -> DataFrame:
+def _candidates(classes: DataFrame, settled: DataFrame) -> DataFrame:
     """Pairs (open class's first line, any earlier class's) that pass all filters."""
-    def rows(classes: DataFrame) -> DataFrame:
-        return classes.select(*_PLACE, "size", "p1", "p2",
-                              F.posexplode("prefix").alias("pos", "word"))
-
+    if settled.count() <= BROADCAST_LINES:
+        settled = F.broadcast(settled)
+    rows = classes.join(settled.withColumn("settled", F.lit(True)), _PLACE, "left").select(
+        "p1", "p2", F.posexplode("prefix").alias("pos", "word"), *_PLACE, "size",
+        F.col("settled").isNull().alias("open")).select(
+        "word", "p1", "p2", *_PLACE, "size", "pos", "open")
     rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
-    ok = (_earlier() & _alike_in_size() & _alike_in_parity("p1", "p2")
-          & (rest >= _least_overlap()))
-    a = rows(still_open).alias("a")
-    found = [a.join(rows(b).alias("b"), (F.col("a.word") == F.col("b.word")) & ok).select(*_pair())
-             for b in (still_open, settled)]
-    return found[0].unionByName(found[1]).distinct()
+    # b.key > a.key holds for no pair: with a.open alone the sides differ, and one exchange can't serve both
+    is_open = F.col("a.open") | (F.col("b.open") & (F.col("b.key") > F.col("a.key")))
+    ok = (_earlier() & is_open & _alike_in_size()
+          & (rest >= _least_overlap()) & _alike_in_parity("p1", "p2"))
+    return rows.alias("a").join(rows.alias("b"), (F.col("a.word") == F.col("b.word")) & ok).select(
+        *_pair()).distinct()
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -190,11 +289,11 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         some, by_row = F.broadcast(wanted), F.broadcast(by_row)
     lines = docs.join(by_row, ["key", "mark"], "left_semi").select("key", "mark", F.posexplode(
         F.split("text", "\n", -1)).alias("line_no", "line")).join(some, _PLACE)
-    words = materialize(lines.select(*_PLACE, F.array_distinct(F.array_remove(
-        F.split("line", r"[\x20\x09-\x0D]+", -1), "")).alias("words")), "line-dedup")
+    words = _stored(lines.select(*_PLACE, F.array_distinct(F.array_remove(
+        F.split("line", _WHITE_SPACE, -1), "")).alias("words")))
     # repeated rows have the same lines
-    return words if words.count() == n else materialize(
-        words.dropDuplicates(_PLACE), "line-dedup")
+    return words if words.count() == n else _stored(
+        words.dropDuplicates(_PLACE))
 
 
 def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -210,11 +309,11 @@ def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Later lines (key, line_no, mark) of candidate pairs whose Jaccard is 4/5 or more."""
-    pairs = materialize(pairs, "line-dedup")
+    pairs = _stored(pairs)
     own = pairs.select(*_PLACE).unionByName(
         pairs.select(*(F.col(f"{c}2").alias(c) for c in _PLACE)))
-    words = _words_of(docs, materialize(own.distinct(), "line-dedup"))
-    return materialize(_matches(pairs, words), "line-dedup")
+    words = _words_of(docs, _stored(own.distinct()))
+    return _stored(_matches(pairs, words))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,25 +338,22 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * Empty table: no rows. Other columns of ``docs`` are not read.
     """
     base = keyed(docs, id_col, text_col)
-    lines = materialize(base.select("key", "mark", "text").mapInArrow(
-        _describe(rarity_ranks(base.select("text"))), _LINE), "line-dedup")
-    classes = materialize(lines.groupBy("c1", "c2").agg(
+    lines = _stored(describe(base, bucket_counts(base.select("text"))))
+    classes = _stored(lines.groupBy("c1", "c2").agg(
         F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n_lines"),
         *(F.first(c).alias(c) for c in ("size", "p1", "p2", "prefix", "hubs"))).select(
-        "c1", "c2", "first.*", "n_lines", "size", "p1", "p2", "prefix", "hubs"), "line-dedup")
+        "c1", "c2", "first.*", "n_lines", "size", "p1", "p2", "prefix", "hubs"))
     # sets of up to three words match only their equals
     joined = classes.filter(F.col("size") > 3)
     settled = _verified(base, _hub_pairs(joined))
-    matched = settled.unionByName(_verified(base, _candidates(
-        joined.join(settled, _PLACE, "left_anti"),
-        joined.join(settled, _PLACE, "left_semi"))))
+    matched = settled.unionByName(_verified(base, _candidates(joined, settled)))
     heads = classes.select("c1", "c2", *_PLACE, "n_lines").join(
         matched.withColumn("matched", F.lit(True)), _PLACE, "left").filter(
         "matched or n_lines > 1").select(
         "c1", "c2", F.struct("key", "line_no").alias("first"),
         F.coalesce("matched", F.lit(False)).alias("matched"))
     gone = lines.select("key", "mark", "line_no", "c1", "c2").join(
-        materialize(heads, "line-dedup"), ["c1", "c2"]).filter(
+        _stored(heads), ["c1", "c2"]).filter(
         F.col("matched") | (F.struct("key", "line_no") > F.col("first")))
     by_row = gone.select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))
