@@ -24,13 +24,15 @@ is joins and groups.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestmart.session import materialize
+from nestmart.session import discard, materialize
 
 from .keyed import keyed
 from .words import WHITE_SPACE, Lexer, mix, pieces, words
@@ -94,11 +96,23 @@ def rarity_ranks(texts: DataFrame) -> np.ndarray:
     return rank
 
 
+def _parts(text: Column, blanked: Column | None = None) -> Column:
+    """The words of a text, and perhaps empty strings; a plain split, of ``blanked`` if given,
+    unless other white space than blanks and line feeds is there."""
+    others = reduce(or_, (F.contains(text, F.lit(c)) for c in "\t\x0b\x0c\r"))
+    return F.when(others, F.split(text, _WHITE_SPACE, -1)).otherwise(
+        F.split(text if blanked is None else blanked, " ", -1))
+
+
+def _bucket_of(word: Column) -> Column:
+    return F.hash(word).bitwiseAND(RARITY_BUCKETS - 1)
+
+
 def bucket_counts(texts: DataFrame) -> np.ndarray:
     """Words of all texts by the bucket of their hash."""
-    bucket = F.xxhash64("word").bitwiseAND(RARITY_BUCKETS - 1).cast("int").alias("bucket")
-    rows = texts.select(F.explode(F.split("text", _WHITE_SPACE, -1)).alias("word")).groupBy(
-        bucket).agg(F.count("*").alias("n")).collect()
+    blanked = F.replace("text", F.lit("\n"), F.lit(" "))
+    rows = texts.select(F.explode(_parts(F.col("text"), blanked)).alias("word")).groupBy(_bucket_of(F.col("word")).alias("bucket")).agg(
+        F.count("*").alias("n")).collect()
     n = np.zeros(RARITY_BUCKETS, dtype=np.int64)
     for r in rows:
         n[r.bucket] = r.n
@@ -109,9 +123,9 @@ def describe(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     """Every line with a word: place, class, size, parity of its words in 128 bits, prefix, hubs.
 
     A word is known by 63 bits: its bucket's rank by ``counts``, which stands for
-    the bucket's 16 bits of its hash, a one, and 47 others. Marks (a rank, and
+    the 16 bits of one hash, a one, and 47 of another. Marks (a rank, and
     zeros) are sorted in among the words of every line: runs begin behind them,
-    and the middle one parts the two parities.
+    and the middle one parts the two parities. ``hubs`` has NULL where no run is.
     """
     rest = 65 - RARITY_BUCKETS.bit_length()
     by_rarity = np.argsort(counts, kind="stable")
@@ -122,38 +136,37 @@ def describe(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     marks = sorted({int(top[by_rarity[min(k, RARITY_BUCKETS - 1)]]) for k in shares})
     ranks = F.split(F.lit(",".join(map(str, (top + (1 << rest - 1)).tolist()))), ",").cast(
         "array<bigint>")
-    none = F.array(F.xxhash64(F.lit("")))
     mark_array = F.array(*(F.lit(m).cast("long") for m in marks))
 
-    def known(h: Column) -> Column:
-        return ranks[h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")].bitwiseOR(
-            F.shiftrightunsigned(h, 65 - rest))
-
-    def place(mark: int) -> Column:
-        return F.array_position("words", F.lit(mark).cast("long")).cast("int")
+    def known(w: Column) -> Column:
+        # never NULL; arrays that can't hold one sort as plain longs
+        return F.coalesce(ranks[_bucket_of(w)], F.lit(0).cast("long")).bitwiseOR(
+            F.shiftrightunsigned(F.xxhash64(w), 65 - rest))
 
     def parity(words: Column) -> Column:
         return F.aggregate(words, F.lit(0).cast("long"), lambda x, w: x.bitwiseXOR(F.call_function(
             "shiftleft", F.lit(1).cast("long"), w.bitwiseAND(63).cast("int"))))
 
-    def run(k: int, mark: int) -> Column:
-        words = F.slice("words", place(mark) + 1, F.lit(RUN))
-        return F.when(place(mark) + RUN <= F.size("words"), F.xxhash64(F.lit(k), words))
+    def run(k: int) -> Column:
+        words = F.slice("words", F.col(f"at{k}") + 1, F.lit(RUN))
+        return F.when(F.col(f"at{k}") + RUN <= F.size("words"), F.xxhash64(F.lit(k), words))
 
     lines = rows.select("key", "mark", F.posexplode(F.split("text", "\n", -1)).alias(
         "line_no", "line")).filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    words = lines.select(*_PLACE, F.sort_array(F.concat(F.transform(
-        F.array_except(F.transform(F.split("line", _WHITE_SPACE, -1), lambda w: F.xxhash64(w)),
-                       none), known), mark_array)).alias("words"))
-    size, half = F.size("words") - len(marks), marks[len(marks) // 2]
+    words = lines.select(*_PLACE, F.sort_array(F.concat(F.array_except(
+        F.transform(_parts(F.col("line")), known), F.array(known(F.lit("")))), mark_array)).alias(
+        "words"))
+    words = words.select("*", *(F.array_position("words", F.lit(m).cast("long")).cast("int").alias(
+        f"at{k}") for k, m in enumerate(marks)))
+    size, half = F.size("words") - len(marks), F.col(f"at{len(marks) // 2}")
     length = size - F.ceil(UP * size / DOWN).cast("int") + 1
     return words.select(
         *_PLACE, F.xxhash64("words").alias("c1"), F.xxhash64(F.lit(1), "words").alias("c2"),
-        size.alias("size"), parity(F.slice("words", F.lit(1), place(half))).alias("p1"),
-        parity(F.slice("words", place(half) + 1, F.size("words"))).alias("p2"),
+        size.alias("size"), parity(F.slice("words", F.lit(1), half)).alias("p1"),
+        parity(F.slice("words", half + 1, F.size("words"))).alias("p2"),
         F.slice(F.array_except(F.slice("words", F.lit(1), length + len(marks)), mark_array),
                 F.lit(1), length).alias("prefix"),
-        F.array_compact(F.array(*(run(k, m) for k, m in enumerate(marks)))).alias("hubs"))
+        F.array(*(run(k) for k in range(len(marks)))).alias("hubs"))
 
 
 def _describe(rank: np.ndarray):
@@ -209,9 +222,10 @@ def _describe(rank: np.ndarray):
     return run
 
 
-def _earlier() -> Column:
-    return ((F.col("b.key") < F.col("a.key"))
-            | ((F.col("b.key") == F.col("a.key")) & (F.col("b.line_no") < F.col("a.line_no"))))
+def _earlier(b: str = "b", a: str = "a") -> Column:
+    return ((F.col(f"{b}.key") < F.col(f"{a}.key")) | (
+        (F.col(f"{b}.key") == F.col(f"{a}.key"))
+        & (F.col(f"{b}.line_no") < F.col(f"{a}.line_no"))))
 
 
 def _alike_in_size() -> Column:
@@ -244,8 +258,8 @@ def _hub_pairs(classes: DataFrame) -> DataFrame:
     Hubs are the first class that shares a name and, of a name that many share,
     the first of each of ``SPREAD`` parts of these.
     """
-    named = _stored(classes.select(F.explode("hubs").alias("hub")).groupBy("hub").agg(
-        F.count("*").alias("n")).filter("n > 1"))
+    named = _stored(classes.select(F.explode("hubs").alias("hub")).filter(
+        "hub is not null").groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1"))
     shared = F.broadcast(named) if named.count() <= BROADCAST_LINES else named
     rows = _stored(classes.select(
         *_PLACE, "size", "p1", "p2", F.explode("hubs").alias("hub")).join(shared, "hub"))
@@ -265,32 +279,56 @@ def _hub_pairs(classes: DataFrame) -> DataFrame:
 
 
 def _candidates(classes: DataFrame, settled: DataFrame) -> DataFrame:
-    """Pairs (open class's first line, any earlier class's) that pass all filters."""
+    """Pairs (open class's first line, any earlier class's) that pass all filters.
+
+    Classes meet by a word of their prefixes and the bits of the larger one's
+    size, so words shared by lines of other lengths make no pairs. The smaller
+    one is there a second time if its partner may have one bit more: it then
+    has the word among its first ``size`` - 2 UP / (UP + DOWN) ``size`` + 1.
+    """
     if settled.count() <= BROADCAST_LINES:
         settled = F.broadcast(settled)
+    bits = F.length(F.bin("size"))
+    near = DOWN * F.col("size") >= UP * F.call_function("shiftleft", F.lit(1), F.col("bits"))
+    short = F.col("pos") <= F.floor((DOWN - UP) * F.col("size") / (UP + DOWN))
     rows = classes.join(settled.withColumn("settled", F.lit(True)), _PLACE, "left").select(
         "p1", "p2", F.posexplode("prefix").alias("pos", "word"), *_PLACE, "size",
-        F.col("settled").isNull().alias("open")).select(
-        "word", "p1", "p2", *_PLACE, "size", "pos", "open")
-    rest = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
-    # b.key > a.key holds for no pair: with a.open alone the sides differ, and one exchange can't serve both
-    is_open = F.col("a.open") | (F.col("b.open") & (F.col("b.key") > F.col("a.key")))
-    ok = (_earlier() & is_open & _alike_in_size()
-          & (rest >= _least_overlap()) & _alike_in_parity("p1", "p2"))
+        bits.alias("bits"), F.col("settled").isNull().alias("open")).select("*", F.explode(
+            F.when(near & short, F.array("bits", F.col("bits") + 1)).otherwise(F.array("bits"))
+        ).alias("as_bits")).select(
+        F.xxhash64("word", "as_bits").alias("word"), "p1", "p2", *_PLACE, "pos", "open",
+        F.when(F.col("bits") == F.col("as_bits"), F.col("size")).otherwise(
+            -F.col("size")).alias("size"))  # below 0 where it can only be the smaller one
+    # a is the larger one, of equal ones the later; all conditions name both sides and
+    # both have the same columns: nothing is cut before the exchange, and one serves both
+    a, b = F.col("a.size"), F.abs("b.size")
+    larger = (a > b) | ((a == b) & _earlier())
+    least = F.ceil(UP * (a + b) / (UP + DOWN))
+    is_open = (_earlier() & F.col("a.open")) | (_earlier("a", "b") & F.col("b.open"))
+    ok = (larger & (DOWN * b >= UP * a) & (F.least(a - F.col("a.pos"), b - F.col("b.pos")) >= least)
+          & is_open & (_odd("p1", "p2") <= a + b - 2 * least))
+
+    def pick(name: str, first: str, other: str) -> Column:
+        return F.when(_earlier(), F.col(f"{first}.{name}")).otherwise(F.col(f"{other}.{name}"))
+
     return rows.alias("a").join(rows.alias("b"), (F.col("a.word") == F.col("b.word")) & ok).select(
-        *_pair()).distinct()
+        *(pick(c, "a", "b").alias(c) for c in _PLACE),
+        *(pick(c, "b", "a").alias(f"{c}2") for c in _PLACE)).distinct()
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Distinct words of the wanted lines (key, line_no, mark), one row for each."""
-    n, by_row = wanted.count(), wanted.select("key", "mark").distinct()
-    some = wanted
+    n = wanted.count()
+    by_row = wanted.groupBy("key", "mark").agg(F.collect_list("line_no").alias("numbers"))
     if n <= BROADCAST_LINES:
-        some, by_row = F.broadcast(wanted), F.broadcast(by_row)
-    lines = docs.join(by_row, ["key", "mark"], "left_semi").select("key", "mark", F.posexplode(
-        F.split("text", "\n", -1)).alias("line_no", "line")).join(some, _PLACE)
+        by_row = F.broadcast(by_row)
+    lines = docs.join(by_row, ["key", "mark"]).select(
+        "key", "mark", "numbers", F.split("text", "\n", -1).alias("lines")).select(
+        "key", "mark", F.explode(F.arrays_zip("numbers", F.transform(
+            "numbers", lambda k: F.get("lines", k)).alias("line"))).alias("at")).select(
+        "key", F.col("at.numbers").alias("line_no"), "mark", F.col("at.line").alias("line"))
     words = _stored(lines.select(*_PLACE, F.array_distinct(F.array_remove(
-        F.split("line", _WHITE_SPACE, -1), "")).alias("words")))
+        _parts(F.col("line")), "")).alias("words")))
     # repeated rows have the same lines
     return words if words.count() == n else _stored(
         words.dropDuplicates(_PLACE))
@@ -338,11 +376,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * Empty table: no rows. Other columns of ``docs`` are not read.
     """
     base = keyed(docs, id_col, text_col)
-    lines = _stored(describe(base, bucket_counts(base.select("text"))))
-    classes = _stored(lines.groupBy("c1", "c2").agg(
-        F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n_lines"),
-        *(F.first(c).alias(c) for c in ("size", "p1", "p2", "prefix", "hubs"))).select(
-        "c1", "c2", "first.*", "n_lines", "size", "p1", "p2", "prefix", "hubs"))
+    described = _stored(describe(base, bucket_counts(base.select("text"))))
+    classes = _stored(described.groupBy("c1", "c2").agg(
+        F.min(F.struct(*_PLACE, "size", "p1", "p2", "prefix", "hubs")).alias("first"),
+        F.count("*").alias("n_lines")).select("c1", "c2", "first.*", "n_lines"))
+    lines = _stored(described.select(*_PLACE, "c1", "c2"))
+    discard(described)
     # sets of up to three words match only their equals
     joined = classes.filter(F.col("size") > 3)
     settled = _verified(base, _hub_pairs(joined))
@@ -358,7 +397,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_row = gone.select("key", "mark", "line_no").distinct().groupBy("key", "mark").agg(
         F.sort_array(F.collect_list("line_no")).alias("removed"))
     rows = base.select("id", "key", "mark", F.xxhash64("text").alias("own_mark"), F.when(F.col("text").isNull(), 0).otherwise(
-        F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
+        F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    ).cast("long").alias("n_lines"))
     return rows.join(by_row, ["key", "mark"], "left").select(
         F.col("id").alias(id_col), "n_lines",
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),

@@ -74,6 +74,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame that ``materialize`` returned; nothing may read it later."""
+    spark = df.sparkSession
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = hpath(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side checks can look at a local path."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -92,4 +101,4 @@ def new_id() -> str:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "path_exists",
-           "local_path", "new_id", "materialize"]
+           "local_path", "new_id", "materialize", "discard"]
