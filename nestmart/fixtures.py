@@ -294,6 +294,13 @@ def stored_lines(spark: SparkSession, sf_dir: str, database: str) -> FilmLines:
         spark, database, company_arrays(spark, sf_dir, pairs)))
 
 
+def drop_stored_lines(spark: SparkSession, database: str) -> None:
+    """Drop the tables of :func:`stored_lines`; nothing may read them later."""
+    from nestmart.sources.tables import drop_table
+    for name in ("film_lines", "film_companies"):
+        drop_table(spark, database, name)
+
+
 def stored(spark: SparkSession, df: DataFrame, database: str, name: str,
            key: str) -> DataFrame:
     """``df`` as a table bucketed by ``key``: joins and groups by it need no shuffle of it."""

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestmart.session import discard, materialize
+
 
 class DuplicateKeyError(ValueError):
     """Raised when a merge source holds several rows for one key."""
@@ -38,6 +42,29 @@ def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> Da
                            for c in df.columns])
 
 
+# Repeated keys that are broadcast at most.
+MOST_REPEATED = 500_000
+
+
+def dedupe_stored(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
+    """The rows of :func:`dedupe`, shuffling wide rows only where their key is repeated.
+
+    For a stored ``df``, which is read again: a first pass counts the keys
+    alone, then rows of a key of their own stay where they are. With more than
+    ``MOST_REPEATED`` repeated keys it is the plain :func:`dedupe`.
+    """
+    names = [f"_key_{i}" for i in range(len(keys))]
+    again = materialize(df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).count()
+                        .where(F.col("count") > 1).select(*names), "repeated-keys")
+    found = again.limit(MOST_REPEATED + 1).count()
+    if not 0 < found <= MOST_REPEATED:
+        discard(again)
+        return dedupe(df, keys, prefer) if found else df
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    alone = df.join(F.broadcast(again), same, "left_anti")
+    return alone.unionByName(dedupe(df.join(F.broadcast(again), same, "left_semi"), keys, prefer))
+
+
 # Sketch sizes: entries tracked for each task's fair share (the sketch errs by about
 # 3.5 / tracked of the rows), least entries, and the most that the sketch allows.
 TRACKED_PER_SHARE = 8

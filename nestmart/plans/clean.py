@@ -37,6 +37,11 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
     is); drop rows without id or popularity; one row per id; rename; 0 to
     NULL for budget and revenue.
     """
+    return finish_details(dedupe(typed_details(raw), ["id"]))
+
+
+def typed_details(raw: DataFrame) -> DataFrame:
+    """Film details up to the de-duplication by ``id``."""
     typed = raw.select(
         try_cast("id", "bigint").alias("id"),
         "imdb_id",
@@ -54,24 +59,33 @@ def clean_movie_details(raw: DataFrame) -> DataFrame:
         try_cast("vote_average", "float").alias("vote_average"),
         try_cast("vote_count", "int").alias("vote_count"),
     )
-    one = dedupe(require(typed, ["id", "popularity"]), ["id"])
+    return require(typed, ["id", "popularity"])
+
+
+def finish_details(one: DataFrame) -> DataFrame:
+    """Film details from the de-duplication by ``id`` on."""
     return one.withColumnRenamed("id", "movie_id").withColumns(
         {c: zero_to_null(c) for c in ZERO_IS_UNKNOWN})
 
 
 def clean_credits(raw: DataFrame) -> DataFrame:
     """Typed credits, one row per film, cast and crew still nested and whole."""
+    return dedupe(typed_credits(raw), ["movie_id"])
+
+
+def typed_credits(raw: DataFrame) -> DataFrame:
+    """Credits up to the de-duplication by ``movie_id``."""
     typed = raw.select(
         try_cast("id", "bigint").alias("movie_id"),
         retype_entries("cast", CAST_FIELDS).alias("cast"),
         retype_entries("crew", CREW_FIELDS).alias("crew"),
     )
-    return dedupe(require(typed, ["movie_id"]), ["movie_id"])
+    return require(typed, ["movie_id"])
 
 
 def cut_credits(credits: DataFrame, jobs: tuple[str, ...] = CREW_JOBS,
                 max_order: int = CAST_MAX_ORDER) -> DataFrame:
-    """Credits with only the entries that the clean layer keeps, for what is cached of a day."""
+    """Credits with only the entries that the clean layer keeps, all that a day's datasets need."""
     return credits.select("movie_id", keep_by_order("cast", max_order).alias("cast"),
                           keep_values("crew", "job", jobs).alias("crew"))
 
@@ -132,5 +146,6 @@ def clean_day(raw_details: DataFrame, raw_credits: DataFrame,
     }
 
 
-__all__ = ["clean_movie_details", "clean_credits", "cut_credits", "nest_credits", "clean_crew", "clean_cast",
+__all__ = ["clean_movie_details", "typed_details", "finish_details", "clean_credits",
+           "typed_credits", "cut_credits", "nest_credits", "clean_crew", "clean_cast",
            "clean_box_office", "clean_day", "CREW_JOBS", "CAST_MAX_ORDER"]

@@ -46,11 +46,12 @@ def film_join_chain(details: DataFrame, people: Sequence[DataFrame],
     ``people`` holds frames with ``movie_id`` and arrays: the nested credits of
     the clean layer, or casts and crews collected from their exploded datasets.
     The right sides are unique per key (one row per film, one box office row
-    per imdb id), so no film is multiplied. Frames of ``people`` join on
-    ``movie_id`` like the film side is keyed, so the planner can reuse one
-    hash partitioning for all; box office joins on the imdb id, with NULL
-    ids spread out (see ``spread_null_key``). Box office columns keep a
-    ``bo_`` prefix.
+    per imdb id), so no film is multiplied. Box office joins first, on the imdb
+    id, with NULL ids spread out (see ``spread_null_key``): films don't carry
+    their people through that shuffle. Frames of ``people`` join on
+    ``movie_id``, so the planner can use one hash partitioning for all, which
+    the staging table's buckets can keep. Box office columns keep a ``bo_``
+    prefix and stand last.
     """
     films = details.select(
         "movie_id", "imdb_id", "original_title", "title",
@@ -67,11 +68,11 @@ def film_join_chain(details: DataFrame, people: Sequence[DataFrame],
         F.col("domestic_opening").alias("bo_opening"),
         F.col("worldwide_gross").alias("bo_gross"),
     )
+    joined = films.join(bo, (spread_null_key(F.col("imdb_id"), F.col("movie_id"))
+                             == F.col("bo_imdb_id")) & F.col("imdb_id").isNotNull(), "left")
     for frame in people:
-        films = films.join(frame, "movie_id", "left")
-    return (films
-            .join(bo, (spread_null_key(F.col("imdb_id"), F.col("movie_id"))
-                       == F.col("bo_imdb_id")) & F.col("imdb_id").isNotNull(), "left"))
+        joined = joined.join(frame, "movie_id", "left")
+    return joined.select(*[c for c in joined.columns if c not in bo.columns], *bo.columns)
 
 
 def model_movies(details: DataFrame, people: Sequence[DataFrame],

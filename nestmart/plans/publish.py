@@ -17,7 +17,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from nestmart import schemas
 from nestmart.operators import merge
 from nestmart.operators.keys import assert_unique
 from nestmart.plans.concurrent import run_all
-from nestmart.session import materialize
+from nestmart.session import materialize, shuffles_removed
 from nestmart.sources import tables
 
 #: Key and attributes of the tables that take a row's last attributes.
@@ -76,14 +75,23 @@ def stored_or_empty(spark: SparkSession, database: str | None, table: str) -> Da
 
 
 def stage_day(staging: dict[str, DataFrame], database: str | None,
-              buckets: int | None = None) -> None:
+              buckets: int | None = None, append: bool = False, parts: int = 1) -> None:
     """Write the day's three staging tables (IO-7), side by side.
 
     Each is bucketed and sorted as the next version of its table will be.
+    With ``append`` the day is added to the days that are staged already.
+    Films are staged in ``parts``, each with every so many buckets, one after
+    another: shuffle files stand for one part at a time, and a bucket's rows
+    are still written at once.
     """
-    def write(table: str, df: DataFrame) -> str:
+    def write(table: str, df: DataFrame) -> None:
+        key = schemas.KEYS[table]
         n = choose_buckets(df.sparkSession, database, table, buckets)
-        return tables.write_staging(df, database, table, schemas.KEYS[table], n)
+        cuts = min(parts, n) if table == "movies" else 1
+        bucket = F.pmod(F.hash(key), F.lit(n))  # as Spark buckets rows
+        for k in range(cuts):
+            rows = df.where(bucket % cuts == k) if cuts > 1 else df
+            tables.write_staging(rows, database, table, key, n, append or k > 0)
 
     run_all({t: (lambda df=df, t=t: write(t, df)) for t, df in staging.items()})
 
@@ -215,21 +223,24 @@ def publish_staged(spark: SparkSession, database: str | None, run_date: str | dt
 
 def publish_day(spark: SparkSession, staging: dict[str, DataFrame], database: str | None,
                 run_date: str | dt.date, buckets: int | None = None,
-                replace_day: bool = False) -> None:
+                replace_day: bool = False, parts: int = 1) -> None:
     """Stage the day's frames, then merge, swap and clean up."""
-    stage_day(staging, database, buckets)
-    publish_staged(spark, database, run_date, buckets=buckets, replace_day=replace_day)
+    with shuffles_removed(spark):
+        stage_day(staging, database, buckets, parts=parts)
+        publish_staged(spark, database, run_date, buckets=buckets, replace_day=replace_day)
 
 
 def publish_days(spark: SparkSession, stagings: Mapping[str, dict[str, DataFrame]],
-                 database: str | None, buckets: int | None = None) -> None:
-    """Publish several days in one pass: one staging write, one merge and one swap a table.
+                 database: str | None, buckets: int | None = None, parts: int = 1) -> None:
+    """Publish several days in one pass: one merge and one swap a table.
 
     ``stagings`` has each day's three staging frames by date. The result is
     that of publishing them one after another in date order: films gain an
     entry or a placeholder for every day, money keeps its last known value,
     persons and companies take their last day's attributes. Days that a table
-    already carries are left out of it.
+    already carries are left out of it. The days are staged one after another,
+    so the shuffle files of one day (of one of its ``parts``, see
+    :func:`stage_day`) stand at a time.
     """
     for table in tables.STAGED:
         tables.recover_table(spark, database, table)
@@ -237,19 +248,19 @@ def publish_days(spark: SparkSession, stagings: Mapping[str, dict[str, DataFrame
             for t in tables.STAGED}
     todo = [t for t in tables.STAGED if days[t]]
 
-    def staged(table: str) -> DataFrame:
-        frames = [stagings[d][table].withColumn("run_date", F.lit(d).cast("date"))
-                  for d in days[table]]
-        return reduce(DataFrame.unionByName, frames)
-
     def dimension_rows(table: str, staging: DataFrame) -> DataFrame:
         key, attrs = DIMENSIONS[table]
         assert_unique(staging, key, f"staging {key}", ["run_date"])
         return merge.latest_per_key(staging, key, attrs)
 
-    stage_day({t: staged(t) for t in todo}, database, buckets)
-    for group in sorted({tuple(days[t]) for t in todo}):
-        _publish(spark, database, [t for t in todo if tuple(days[t]) == group], list(group),
-                 lambda stored, films: merge.merge_movie_days(stored, films, list(group)),
-                 dimension_rows, buckets)
+    with shuffles_removed(spark):
+        tables.drop_staging(spark, database)
+        for day in sorted(stagings):
+            rows = {t: stagings[day][t].withColumn("run_date", F.lit(day).cast("date"))
+                    for t in todo if day in days[t]}
+            stage_day(rows, database, buckets, append=True, parts=parts)
+        for group in sorted({tuple(days[t]) for t in todo}):
+            _publish(spark, database, [t for t in todo if tuple(days[t]) == group], list(group),
+                     lambda stored, films: merge.merge_movie_days(stored, films, list(group)),
+                     dimension_rows, buckets)
     tables.drop_staging(spark, database)

@@ -671,22 +671,27 @@ def q_full_join_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land_days(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Land the raw datasets of every fixture day (independent writes, run side by side).
 
-    The line items are joined and grouped once for all of them.
+    The line items are joined and grouped once for all of them, into scratch
+    tables that go when the days have landed.
     """
     from nestmart.plans.concurrent import run_all
+    from nestmart.session import shuffles_removed
     from nestmart.sources import lake
-    lines = fx.stored_lines(spark, sf_dir, _scratch_db(spark, "lines"))
-    writes = {}
-    for d in fx.DAYS:
-        date = fx.day_date(d)
-        writes[f"details-{d}"] = (lambda d=d, date=date: lake.write_raw_json(
-            fx.raw_movie_details(spark, sf_dir, d, companies=lines.companies), root, date,
-            "movie_details"))
-        writes[f"credits-{d}"] = (lambda date=date: lake.write_raw_json(
-            lines.credits, root, date, "movie_credits"))
-        writes[f"box-{d}"] = (lambda date=date: lake.write_raw_json(
-            fx.raw_box_office(spark, sf_dir), root, date, "box_office"))
-    run_all(writes, max_workers=6)
+    db = _scratch_db(spark, "lines")
+    with shuffles_removed(spark):
+        lines = fx.stored_lines(spark, sf_dir, db)
+        writes = {}
+        for d in fx.DAYS:
+            date = fx.day_date(d)
+            writes[f"details-{d}"] = (lambda d=d, date=date: lake.write_raw_json(
+                fx.raw_movie_details(spark, sf_dir, d, companies=lines.companies), root, date,
+                "movie_details"))
+            writes[f"credits-{d}"] = (lambda date=date: lake.write_raw_json(
+                lines.credits, root, date, "movie_credits"))
+            writes[f"box-{d}"] = (lambda date=date: lake.write_raw_json(
+                fx.raw_box_office(spark, sf_dir), root, date, "box_office"))
+        run_all(writes, max_workers=6)
+        fx.drop_stored_lines(spark, db)
 
 
 @register("publish_day", _oracle_series(2))

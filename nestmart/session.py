@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +85,29 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Removes a statement's shuffle files when it ends, not at the driver's next collection.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a statement's shuffle files go when it ends.
+
+    For chains of writes, whose frames run once: a frame that runs again makes
+    its shuffles again. Set it around threads, not in them, as it holds for
+    the session.
+    """
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side checks can look at a local path."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -96,9 +121,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder (Hadoop content summary, any file system)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
 def new_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "path_exists",
-           "local_path", "new_id", "materialize", "discard"]
+           "local_path", "new_id", "materialize", "discard", "shuffles_removed",
+           "folder_bytes"]

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestmart import schemas
-from nestmart.session import materialize
+from nestmart.session import folder_bytes, materialize
 
 CORRUPT = "_corrupt_record"
 
 #: Records in one landed file at most.
 RECORDS_PER_FILE = 250_000
+#: Of the clean layer, which stays on disk.
+ZSTD_LEVEL = 9
 
 
 def day_path(lake: str, layer: str, date: str | dt.date, name: str, ext: str) -> str:
@@ -70,7 +72,8 @@ def write_raw_json(df: DataFrame, lake: str, date: str | dt.date, name: str) ->
 def write_clean(df: DataFrame, lake: str, date: str | dt.date, name: str) -> str:
     """Overwrite one day's clean Parquet dataset (IO-4); returns the path."""
     path = day_path(lake, "clean", date, name, "parquet")
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    (df.write.mode("overwrite").option("compression", "zstd")
+     .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path))
     return path
 
 
@@ -79,6 +82,11 @@ def read_clean(spark: SparkSession, lake: str, date: str | dt.date, name: str) -
     return spark.read.parquet(day_path(lake, "clean", date, name, "parquet"))
 
 
+def clean_bytes(spark: SparkSession, lake: str, date: str | dt.date, name: str) -> int:
+    """Stored size of one day's clean dataset."""
+    return folder_bytes(spark, day_path(lake, "clean", date, name, "parquet"))
+
+
 # Records that don't parse -------------------------------------------------------
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

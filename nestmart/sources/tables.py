@@ -90,13 +90,16 @@ def _delete(spark: SparkSession, location: str) -> None:
 
 def create_table_as(df: DataFrame, database: str | None, table: str, replace: bool = True,
                     bucket_by: str | None = None, buckets: int | None = None,
-                    sort_by: Sequence[str] = ()) -> str:
+                    sort_by: Sequence[str] = (), append: bool = False) -> str:
     """CREATE [OR REPLACE] TABLE ... AS (IO-9), optionally bucketed by a key.
 
+    With ``append`` the rows are added to the table, which must be laid out so.
+
     Bucketing by the merge key lets later joins on it keep the table's
     partitioning instead of shuffling it again.
     """
-    writer = df.write.mode("overwrite" if replace else "errorifexists").format("parquet")
+    mode = "append" if append else "overwrite" if replace else "errorifexists"
+    writer = df.write.mode(mode).format("parquet").option("compression", "zstd")
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by)
         if sort_by:
@@ -107,17 +110,17 @@ def create_table_as(df: DataFrame, database: str | None, table: str, replace: bo
 
 
 def write_staging(df: DataFrame, database: str | None, table: str, key: str | None = None,
-                  buckets: int | None = None) -> str:
-    """Overwrite ``staging_<table>`` (IO-7).
+                  buckets: int | None = None, append: bool = False) -> str:
+    """Overwrite ``staging_<table>`` (IO-7), or add a further day's rows to it.
 
     With ``key`` and ``buckets`` it is laid out like a table that is bucketed
-    so: one sorted file for each bucket. Their merge join then needs neither
-    an exchange nor a sort.
+    so: one sorted file for each bucket (and write). The merge join of a single
+    day then needs neither an exchange nor a sort, that of several no exchange.
     """
     if not (key and buckets):
-        return create_table_as(df, database, f"staging_{table}")
+        return create_table_as(df, database, f"staging_{table}", append=append)
     return create_table_as(df.repartition(buckets, key), database, f"staging_{table}",
-                           bucket_by=key, buckets=buckets, sort_by=[key])
+                           bucket_by=key, buckets=buckets, sort_by=[key], append=append)
 
 
 def read_staging(spark: SparkSession, database: str | None, table: str) -> DataFrame:
@@ -254,7 +257,7 @@ def write_key_files(df: DataFrame, database: str | None, table: str, key: str,
     home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
     folder = f"{home.rstrip('/')}/{table}{FILES}/{uuid.uuid4().hex[:12]}"
     (df.repartition(max(buckets, 1), KEY_BUCKET).sortWithinPartitions(KEY_BUCKET, key)
-     .write.partitionBy(KEY_BUCKET).parquet(folder))
+     .write.partitionBy(KEY_BUCKET).option("compression", "zstd").parquet(folder))
     return folder
 
 
