@@ -82,7 +82,8 @@ def stage_day(staging: dict[str, DataFrame], database: str | None,
     With ``append`` the day is added to the days that are staged already.
     Films are staged in ``parts``, each with every so many buckets, one after
     another: shuffle files stand for one part at a time, and a bucket's rows
-    are still written at once.
+    are still written at once. The tables of a day cut so don't go side by
+    side either.
     """
     def write(table: str, df: DataFrame) -> None:
         key = schemas.KEYS[table]
@@ -93,7 +94,8 @@ def stage_day(staging: dict[str, DataFrame], database: str | None,
             rows = df.where(bucket % cuts == k) if cuts > 1 else df
             tables.write_staging(rows, database, table, key, n, append or k > 0)
 
-    run_all({t: (lambda df=df, t=t: write(t, df)) for t, df in staging.items()})
+    run_all({t: (lambda df=df, t=t: write(t, df)) for t, df in staging.items()},
+            max_workers=1 if parts > 1 else 4)
 
 
 #: Lets a scan of one sorted file per bucket tell the planner its order.

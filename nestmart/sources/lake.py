@@ -15,8 +15,8 @@ CORRUPT = "_corrupt_record"
 
 #: Records in one landed file at most.
 RECORDS_PER_FILE = 250_000
-#: Of the clean layer, which stays on disk.
-ZSTD_LEVEL = 9
+#: Of landings and the clean layer, which stay on disk; gzip takes far longer beyond SEVEN.
+GZIP_LEVEL, ZSTD_LEVEL = "SEVEN", 9
 
 
 def day_path(lake: str, layer: str, date: str | dt.date, name: str, ext: str) -> str:
@@ -65,6 +65,7 @@ def write_raw_json(df: DataFrame, lake: str, date: str | dt.date, name: str) ->
     """
     path = day_path(lake, "raw", date, name, "json")
     (df.write.mode("overwrite").option("compression", "gzip")
+     .option("zlib.compress.level", GZIP_LEVEL)
      .option("maxRecordsPerFile", RECORDS_PER_FILE).json(path))
     return path
 
